@@ -203,11 +203,17 @@ def to_text_scalar(c) -> Column:
             (F.is_variant_null(c) | c.isNull(), F.lit(None).cast("string")),
             (kind == "STRING", F.variant_get(c, "$", "string")),
         ],
-        F.to_json(c),
+        spaced_json(F.to_json(c)),
     )
 
 
+def spaced_json(c) -> Column:
+    """A space after every separator that stands outside quotes."""
+    outside = r'(?=(?:[^"]*"(?:[^"\\]|\\.)*")*[^"]*$)'
+    return F.regexp_replace(as_col(c), r"([:,])" + outside, "$1 ")
+
+
 def sorted_json(mapping) -> Column:
     """JSON text of a string map, keys sorted."""
     m = as_col(mapping)
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m))))
+    return spaced_json(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m)))))
