@@ -45,7 +45,7 @@ def main() -> int:
     args = ap.parse_args()
     if args.module:
         importlib.import_module(f"lexmill.plans.{args.module}")
-        chosen = dict(QUERIES)
+        chosen = {n: q for n, q in QUERIES.items() if q.build.__module__.endswith(args.module)}
     else:
         chosen = load_all()
     if args.names:

@@ -73,7 +73,7 @@ def citation_topology(cases: DataFrame, cites: str = "cites", celex: str = "cele
 def case_medians(lengths: DataFrame, key: str = "case_id") -> DataFrame:
     """Median length per case from its length histogram."""
     histogram = lengths.groupBy(key, "length").agg(F.count("*").alias("n"))
-    return histogram.groupBy(key).agg(F.percentile("length", F.lit(0.5), "n").alias("median"))
+    return histogram.groupBy(key).agg(F.percentile("length", F.lit(0.5), F.col("n")).alias("median"))
 
 
 def flag_stubs(texts: DataFrame, ratio: float = fixed.STUB_RATIO, min_median: int = fixed.STUB_MIN_MEDIAN,
