@@ -226,7 +226,8 @@ FROM {{lineitem}}
 SELECT doc_id AS case_id, lang AS language,
   concat('Zaak C‑', lpad(CAST(doc_id % 900 + 1 AS STRING), 4, '0'), '/', lpad(CAST(doc_id % 7 + 95 AS STRING), 2, '0'), ' en T-',
     CAST(doc_id % 500 + 3 AS STRING), '/96. ', text, ' EHRM ', {ecli_sql('doc_id')}, ' (application no. ', {appno_sql('CAST(floor(doc_id / 2) AS BIGINT)')},
-    ') richtlijn 95/46/EG art. 7; Kamerstukken II 2001/02, 28', lpad(CAST(doc_id % 1000 AS STRING), 3, '0'), ', nr. 3.') AS text,
+    ') Richtlijn ', CAST(1970 + doc_id % 50 AS STRING), '/', CAST(doc_id % 97 + 1 AS STRING), '/EG, art. ', CAST(doc_id % 9 + 1 AS STRING),
+    '; Kamerstukken II 2001/02, 28', lpad(CAST(doc_id % 1000 AS STRING), 3, '0'), ', nr. ', CAST(doc_id % 4 + 1 AS STRING), '.') AS text,
   CASE WHEN doc_id % 3 = 0 THEN concat('Zie C-', CAST(doc_id % 800 + 1 AS STRING), '/97') END AS summary,
   CASE doc_id % 3 WHEN 0 THEN 'RECHTSPRAAK' WHEN 1 THEN 'HUDOC' ELSE 'CELLAR_ITEM' END AS text_source
 FROM {{documents}}
