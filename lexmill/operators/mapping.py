@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ids
 from ..functions import text as X
+from .aggregates import union_all
 
 
 def fan_out(df: DataFrame, keys: Sequence[str], cells: Mapping[str, str]) -> DataFrame:
@@ -47,3 +49,39 @@ def rewrite_cell(df: DataFrame, key: str, column: str, table: DataFrame, old: st
         .withColumn(column, F.coalesce("__cell", column))
         .drop("__cell")
     )
+
+
+def case_identifiers(cases: DataFrame, echr_docs: DataFrame, rs_docs: DataFrame | None = None) -> DataFrame:
+    """Identifier rows of every scheme in normal form; a primary row beats a secondary one.
+
+    cases: case_id, ecli, celex_id; echr_docs: case_id, ecli, appno; rs_docs: case_id, ecli_raw,
+    zaaknummer, replaces_identifier.
+    """
+    from .dedup import dedup_identifiers
+
+    def rows(df, scheme, raw, norm, source, primary, celex=None):
+        return df.select(
+            "case_id", F.lit(scheme).alias("scheme"), raw.alias("value"), norm.alias("value_normalized"), F.lit(source).alias("source"),
+            F.lit(primary).alias("is_primary"), (celex if celex is not None else F.lit(None).cast("string")).alias("celex"))
+
+    celex = F.col("celex_id")
+    number = ids.case_number("celex_id")
+    parts = [
+        rows(cases, "ecli", F.col("ecli"), ids.norm_ecli("ecli"), "cases.ecli", True, celex),
+        rows(cases, "celex", celex, F.upper(X.strip("celex_id")), "cases.celex_id", True, celex),
+        rows(cases, "cjeu_case_number", number, number, "cases.case_number", True, celex),
+        rows(echr_docs, "ecli", F.col("ecli"), ids.norm_ecli("ecli"), "documents.ecli", False),
+        rows(echr_docs, "echr_appno", F.col("appno"), ids.norm_appno("appno"), "documents.appno", False),
+    ]
+    if rs_docs is not None:
+        docket = F.regexp_replace(F.upper("zaaknummer"), r"\s", "")
+        replaced = F.col("replaces_identifier")
+        old_ecli = F.when(F.upper(replaced).startswith("ECLI:"), ids.norm_ecli("replaces_identifier"))
+        ljn = X.blank_to_null(F.regexp_extract(F.upper(replaced), r"\b([A-Z]{2}[0-9]{4})\b", 1))
+        parts += [
+            rows(rs_docs, "ecli", F.col("ecli_raw"), ids.norm_ecli("ecli_raw"), "rs.ecli", True),
+            rows(rs_docs, "nl_zaaknummer", F.col("zaaknummer"), docket, "rs.zaaknummer", False),
+            rows(rs_docs, "ecli", replaced, old_ecli, "rs.replaces", False),
+            rows(rs_docs, "ljn", replaced, F.when(old_ecli.isNull(), ljn), "rs.replaces", False),
+        ]
+    return dedup_identifiers(union_all(parts).where("value_normalized IS NOT NULL"))
