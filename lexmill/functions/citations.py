@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .text import as_col, first_match, first_rule, lookup, strip
+from .text import as_col, first_match, first_rule, let, lookup, strip
 
 _MONTH = "|".join(sorted(fixed.MONTHS, key=len, reverse=True))
 DAY_MONTH_YEAR = rf"(?iU)\b(\d{{1,2}})(?:er|st|nd|rd|th)?\s+({_MONTH})\.?\s+((?:19|20)\d{{2}})\b"
@@ -19,24 +19,26 @@ def _ymd(year: Column, month: Column, day: Column) -> Column:
 
 
 def date_in_text(c) -> Column:
-    """First calendar date: day-month-year words, month-day-year words, then digits (pivot 50)."""
+    """First calendar date: day-month-year words, month-day-year words, then digits (pivot 50).
+
+    Each pattern runs once over the text; its parts are read from the short match.
+    """
     c = as_col(c)
-    pick = lambda pattern, group: F.regexp_extract(c, pattern, group)
+
+    def dated(pattern: str, parts) -> Column:
+        group = lambda m, i: F.regexp_extract(m, pattern, i)
+        return let(F.regexp_extract(c, pattern, 0),
+                   lambda m: F.when(m != "", _ymd(*parts(*[group(m, i) for i in (1, 2, 3)]))))
+
     month = lambda word: lookup(F.lower(word), fixed.MONTHS)
-    year = pick(NUMERIC_DATE, 3)
-    year = first_rule(
-        [
-            (F.length(year) == 4, year),
-            (year >= "50", F.concat(F.lit("19"), year)),
-        ],
-        F.concat(F.lit("20"), year),
-    )
-    found = lambda pattern, value: F.when(c.rlike(pattern), value)
-    return F.coalesce(
-        found(DAY_MONTH_YEAR, _ymd(pick(DAY_MONTH_YEAR, 3), month(pick(DAY_MONTH_YEAR, 2)), pick(DAY_MONTH_YEAR, 1))),
-        found(MONTH_DAY_YEAR, _ymd(pick(MONTH_DAY_YEAR, 3), month(pick(MONTH_DAY_YEAR, 1)), pick(MONTH_DAY_YEAR, 2))),
-        found(NUMERIC_DATE, _ymd(year, pick(NUMERIC_DATE, 2), pick(NUMERIC_DATE, 1))),
+    century = lambda y: first_rule(
+        [(F.length(y) == 4, y), (y >= "50", F.concat(F.lit("19"), y))], F.concat(F.lit("20"), y))
+    words = F.coalesce(
+        dated(DAY_MONTH_YEAR, lambda d, m, y: (y, month(m), d)),
+        dated(MONTH_DAY_YEAR, lambda m, d, y: (y, month(m), d)),
     )
+    # word dates need a four-digit year, so texts without one skip both word patterns
+    return F.coalesce(F.when(c.rlike(r"(?:19|20)\d{2}"), words), dated(NUMERIC_DATE, lambda d, m, y: (century(y), m, d)))
 
 
 def year_in_text(c, date) -> Column:
@@ -44,11 +46,13 @@ def year_in_text(c, date) -> Column:
     text = F.regexp_replace(as_col(c), fixed.APPNO, " ")
     text = F.regexp_replace(text, r"§+\s*[\d\-–,\s]+", " ")
     low, high = fixed.YEAR_RANGE
-    steps = [F.year(as_col(date))]
-    for pattern in fixed.YEAR_PATTERNS:
-        year = F.regexp_extract(text, pattern, 1).try_cast("int")
-        steps.append(F.when(year.between(low, high), year))
-    return F.coalesce(*steps)
+
+    def plausible(t: Column) -> Column:
+        years = [F.regexp_extract(t, pattern, 1).try_cast("int") for pattern in fixed.YEAR_PATTERNS]
+        return F.coalesce(*[let(y, lambda v: F.when(v.between(low, high), v)) for y in years])
+
+    known = F.year(as_col(date))
+    return F.when(known.isNotNull(), known).otherwise(let(text, plausible))
 
 
 def cue_flags(c) -> Column:

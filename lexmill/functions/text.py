@@ -14,6 +14,11 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Bind a costly expression once and use it several times in ``body``."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip(c) -> Column:
     """Trim every kind of whitespace, not only spaces."""
     return F.btrim(as_col(c), F.lit(fixed.WHITESPACE))
@@ -109,16 +114,18 @@ def caps_heading(c) -> Column:
     opening = F.left(F.coalesce(as_col(c), F.lit("")), F.lit(60))
     phrase = r"[\p{L}]{2,}(?:(?U:\s)+[\p{L}]+){1,2}"
     found = F.regexp_extract_all(opening, F.lit(phrase), F.lit(0))
-    gaps = F.split(opening, phrase)
-    # start of match i = text before it: gaps up to i, plus the earlier matches
-    start = lambda i: F.aggregate(
-        F.sequence(F.lit(0), i), F.lit(0),
-        lambda acc, j: acc + F.length(F.get(gaps, j))
-        + F.when(j > 0, F.length(F.get(found, j - 1))).otherwise(0),
-    )
-    upper = lambda m: m.rlike(r"^[\p{Lu}\s]+$")
-    hit = F.transform(found, lambda m, i: upper(m) & (start(i) < 40))
-    return F.exists(hit, lambda h: h)
+    gaps = F.transform(F.split(opening, phrase, -1), F.length)
+
+    def any_upper(v: Column) -> Column:
+        # start of match i = gaps up to i, plus the earlier matches
+        def start(i: Column) -> Column:
+            before = F.aggregate(F.slice(v["gaps"], F.lit(1), i + 1), F.lit(0), lambda a, n: a + n)
+            return F.aggregate(F.slice(v["found"], F.lit(1), i), before, lambda a, m: a + F.length(m))
+
+        hits = F.transform(v["found"], lambda m, i: m.rlike(r"^[\p{Lu}\s]+$") & (start(i) < 40))
+        return F.exists(hits, lambda h: h)
+
+    return let(F.struct(found.alias("found"), gaps.alias("gaps")), any_upper)
 
 
 def carries_date(opening, date) -> Column:

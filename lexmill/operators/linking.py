@@ -43,23 +43,23 @@ def _matches(text: Column, pattern: Pattern, field: str) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(0))
     gaps = F.transform(F.split(text, pattern.regex, -1), F.length)
-    sizes = F.transform(found, F.length)
     add = lambda a, b: a + b
 
-    def one(match: Column, i: Column) -> Column:
-        start = (F.aggregate(F.slice(gaps, F.lit(1), i + 1), F.lit(0), add)
-                 + F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), add))
-        opening = F.greatest(start - 60, F.lit(0))
-        return F.struct(
-            F.lit(pattern.scheme).alias("scheme"), F.lit(field).alias("text_field"), match.alias("raw_text"),
-            start.alias("char_start"), (start + F.length(match)).alias("char_end"),
-            F.substring(text, opening + 1, start - opening + F.length(match) + 60).alias("context"),
-        )
-
-    hits = F.transform(found, one)
-    if pattern.cue:
-        hits = F.when(text.rlike(pattern.cue), hits)
-    return hits
+    def all_hits(v: Column) -> Column:
+        def one(match: Column, i: Column) -> Column:
+            before = F.aggregate(F.slice(v["gaps"], F.lit(1), i + 1), F.lit(0), add)
+            start = F.aggregate(F.slice(v["sizes"], F.lit(1), i), before, add)
+            return X.let(start, lambda s: F.struct(
+                F.lit(pattern.scheme).alias("scheme"), F.lit(field).alias("text_field"), match.alias("raw_text"),
+                s.alias("char_start"), (s + F.length(match)).alias("char_end"),
+                F.substring(text, F.greatest(s - 60, F.lit(0)) + 1, F.least(s, F.lit(60)) + F.length(match) + 60).alias("context")))
+
+        return F.transform(v["found"], one)
+
+    # only texts with a match are split; everything is bound once per text
+    split_up = lambda f: F.struct(f.alias("found"), gaps.alias("gaps"), F.transform(f, F.length).alias("sizes"))
+    hits = X.let(found, lambda f: F.when(F.size(f) > 0, X.let(split_up(f), all_hits)))
+    return F.when(text.rlike(pattern.cue), hits) if pattern.cue else hits
 
 
 def scan_mentions(texts: DataFrame, keys: Sequence[str], fields: Sequence[str], patterns: Sequence[Pattern]) -> DataFrame:
