@@ -361,13 +361,13 @@ def _(t):
 
 @query("rewrite_cells", "P39", f"""
 WITH x AS (SELECT case_id, unnest({toks_sql('cites')}) AS tok, generate_subscripts({toks_sql('cites')}, 1) AS pos FROM fx_cases),
- m AS (SELECT case_id, pos, CASE WHEN tok LIKE 'http%' THEN CASE WHEN CAST(split_part(tok, 'cellar/', 2) AS INT) % 2 = 0 THEN concat('62020CJ', lpad(split_part(tok, 'cellar/', 2), 4, '0')) END ELSE tok END AS tok FROM x),
+ m AS (SELECT case_id, pos, CASE WHEN tok LIKE 'http%' THEN CASE WHEN CAST(split_part(tok, 'cellar/', 2) AS INT) < 25 THEN concat('62020CJ', lpad(split_part(tok, 'cellar/', 2), 4, '0')) END ELSE tok END AS tok FROM x),
  f AS (SELECT case_id, tok, min(pos) AS pos FROM m WHERE tok IS NOT NULL GROUP BY 1, 2)
 SELECT c.case_id, coalesce(r.cell, '') AS cites FROM fx_cases c LEFT JOIN (SELECT case_id, string_agg(tok, ';' ORDER BY pos) AS cell FROM f GROUP BY 1) r USING (case_id)""")
 def _(t):
     uris = mapping.collect_uris(t.cases, "cites")
     number = F.substring_index("uri", "/", -1)
-    resolved = uris.where(number.cast("int") % 2 == 0).select(
+    resolved = uris.where(number.cast("int") < 25).select(
         "uri", F.concat(F.lit("62020CJ"), F.lpad(number, 4, "0")).alias("celex"))
     return mapping.rewrite_cell(t.cases.select("case_id", "cites"), "case_id", "cites", resolved, "uri", "celex")
 

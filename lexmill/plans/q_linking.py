@@ -125,19 +125,21 @@ def _uuid(key):
 
 
 @query("resolve_raw_relations", "L09", f"""
-WITH u AS (SELECT p_partkey, {_UUID_SQL.replace('k)', 'CAST(p_partkey AS VARCHAR))')} AS uuid FROM part), nums AS (SELECT uuid, concat('C-', CAST(p_partkey AS VARCHAR), '/95') AS number FROM u WHERE p_partkey % 2 = 0),
+WITH u AS (SELECT p_partkey, {_UUID_SQL.replace('k)', 'CAST(p_partkey AS VARCHAR))')} AS uuid FROM part), nums AS (SELECT uuid, concat('C-', CAST(p_partkey AS VARCHAR), '/95') AS number FROM u JOIN part USING (p_partkey) WHERE p_size > 25), cels AS (SELECT uuid, concat('6', CAST(1995 + p_partkey % 7 AS VARCHAR), 'CJ', lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0')) AS celex FROM u JOIN part USING (p_partkey) WHERE p_size <= 25),
  r AS (SELECT edge_id, coalesce(target_ecli_raw, target_celex_raw, CASE WHEN weight % 2 = 0 THEN concat('C-', CAST(target_case_id % 3000 AS VARCHAR), '/95') ELSE concat('http://x/', {_UUID_SQL.replace('k)', 'CAST(target_case_id % 3000 AS VARCHAR))')}) END) AS raw_target,
    CASE WHEN target_ecli_raw IS NOT NULL THEN 'ecli' WHEN target_celex_raw IS NOT NULL THEN 'celex' WHEN weight % 2 = 0 THEN 'case_number' ELSE 'uuid' END AS kind FROM fx_edges),
  cn AS (SELECT case_number, min(case_id) AS id FROM fx_stored_cases GROUP BY 1), cx AS (SELECT celex_id, min(case_id) AS id FROM fx_stored_cases GROUP BY 1)
-SELECT edge_id, raw_target, kind, CASE kind WHEN 'ecli' THEN e.case_id WHEN 'celex' THEN cx.id WHEN 'case_number' THEN cn.id ELSE un.id END AS target_case_id FROM r LEFT JOIN fx_stored_cases e ON kind = 'ecli' AND e.ecli = raw_target
- LEFT JOIN cx ON kind = 'celex' AND cx.celex_id = raw_target LEFT JOIN cn ON kind = 'case_number' AND cn.case_number = raw_target LEFT JOIN nums ON kind = 'uuid' AND contains(raw_target, nums.uuid) AND right(raw_target, 36) = nums.uuid LEFT JOIN cn un ON un.case_number = nums.number""")
+SELECT edge_id, raw_target, kind, CASE kind WHEN 'ecli' THEN e.case_id WHEN 'celex' THEN cx.id WHEN 'case_number' THEN cn.id ELSE coalesce(ux.id, un.id) END AS target_case_id FROM r LEFT JOIN fx_stored_cases e ON kind = 'ecli' AND e.ecli = raw_target
+ LEFT JOIN cx ON kind = 'celex' AND cx.celex_id = raw_target LEFT JOIN cn ON kind = 'case_number' AND cn.case_number = raw_target LEFT JOIN nums ON kind = 'uuid' AND contains(raw_target, nums.uuid) AND right(raw_target, 36) = nums.uuid LEFT JOIN cn un ON un.case_number = nums.number LEFT JOIN cels ON kind = 'uuid' AND right(raw_target, 36) = cels.uuid LEFT JOIN cx ux ON ux.celex_id = cels.celex""")
 def _(t):
     number = F.concat(F.lit("C-"), (F.col("target_case_id") % 3000).cast("string"), F.lit("/95"))
     raw = F.coalesce("target_ecli_raw", "target_celex_raw", F.when(F.col("weight") % 2 == 0, number).otherwise(F.concat(F.lit("http://x/"), _uuid(F.col("target_case_id") % 3000))))
     rows = t.edges.select("edge_id", raw.alias("raw_target"))
-    even = t.part.where("p_partkey % 2 = 0").select(_uuid(F.col("p_partkey")).alias("uuid"), F.concat(F.lit("C-"), F.col("p_partkey").cast("string"), F.lit("/95")).alias("case_number"))
-    celexes = t.part.where("p_partkey < 0").select(_uuid(F.col("p_partkey")).alias("uuid"), F.lit("62000CJ0001").alias("celex"))
-    return L.resolve_relations(rows, t.stored_cases, even, celexes)
+    key = F.col("p_partkey")
+    numbers = t.part.where("p_size > 25").select(_uuid(key).alias("uuid"), F.concat(F.lit("C-"), key.cast("string"), F.lit("/95")).alias("case_number"))
+    celex = F.concat(F.lit("6"), (F.lit(1995) + key % 7).cast("string"), F.lit("CJ"), F.lpad((key % 10000).cast("string"), 4, "0"))
+    celexes = t.part.where("p_size <= 25").select(_uuid(key).alias("uuid"), celex.alias("celex"))
+    return L.resolve_relations(rows, t.stored_cases, numbers, celexes)
 
 
 @query("link_opinions", "L10", r"""
@@ -211,7 +213,7 @@ def _(t):
     return L.link_echr_fulltext(texts, with_scl, catalog(t)).withColumn("rule", F.substring("rule", 1, 12))
 
 
-@query("edge_build_audit", "L13", f"""WITH {scl_sql(_SCL_ENTRIES)}, o AS (SELECT DISTINCT s, t FROM (SELECT s, t FROM edge WHERE t % 3 <> 0 UNION SELECT source_case_id, target_case_id FROM fx_edges WHERE target_case_id IS NOT NULL AND relation_type = 'cites') x)
+@query("edge_build_audit", "L13", f"""WITH {scl_sql(_SCL_ENTRIES)}, o AS (SELECT DISTINCT s, t FROM (SELECT s, t FROM edge WHERE rule NOT LIKE '%earliest%' UNION SELECT source_case_id, target_case_id FROM fx_edges WHERE target_case_id IS NOT NULL AND relation_type = 'cites') x)
 SELECT 'status' AS section, st AS key, count(*) AS n FROM (SELECT CASE WHEN o.s IS NULL THEN 'added' WHEN edge.s IS NULL THEN 'dropped' ELSE 'kept' END AS st FROM o FULL JOIN edge ON o.s = edge.s AND o.t = edge.t) y GROUP BY 2
 UNION ALL SELECT 'rules', rule, count(*) FROM edge GROUP BY 2 UNION ALL SELECT 'after', 'edges', count(*) FROM edge UNION ALL SELECT 'before', 'edges', count(*) FROM o""")
 def _(t):
@@ -220,7 +222,7 @@ def _(t):
 
     new = cut(scl_edges(t))
     legacy = t.edges.where("target_case_id IS NOT NULL AND relation_type = 'cites'").select("source_case_id", "target_case_id")
-    old = new.where("target_case_id % 3 <> 0").select("source_case_id", "target_case_id").unionByName(legacy)
+    old = new.where("rule NOT LIKE '%earliest%'").select("source_case_id", "target_case_id").unionByName(legacy)
     sources = t.scl.groupBy(F.col("source_case_id").alias("case_id")).agg(F.min("source_date").alias("date_decision"))
     report = L.edge_audit(old, new, sources, catalog(t), _scl_entries(t))
     part = lambda name, key: report[name].select(F.lit(name).alias("section"), F.col(key).alias("key"), "n")
