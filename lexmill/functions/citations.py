@@ -52,7 +52,8 @@ def year_in_text(c, date) -> Column:
         return F.coalesce(*[let(y, lambda v: F.when(v.between(low, high), v)) for y in years])
 
     known = F.year(as_col(date))
-    return F.when(known.isNotNull(), known).otherwise(let(text, plausible))
+    searched = F.when(as_col(c).rlike(r"(?:19|20)\d{2}"), let(text, plausible))
+    return F.when(known.isNotNull(), known).otherwise(searched)
 
 
 def cue_flags(c) -> Column:

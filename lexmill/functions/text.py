@@ -26,7 +26,7 @@ def strip(c) -> Column:
 
 def collapse(c) -> Column:
     """One space per whitespace run, ends trimmed."""
-    return strip(F.regexp_replace(as_col(c), fixed.WHITESPACE_RUN, " "))
+    return strip(F.regexp_replace(as_col(c), fixed.WHITESPACE_TO_COLLAPSE, " "))
 
 
 def blank_to_null(c) -> Column:
@@ -87,8 +87,7 @@ def parse_date(c) -> Column:
 
 def body_digest(c, min_chars: int = fixed.SHARED_BODY_MIN_CHARS) -> Column:
     """md5 of the body with whitespace collapsed; null for short or missing bodies."""
-    body = collapse(c)
-    return F.when(F.length(body) >= min_chars, F.md5(body.cast("binary")))
+    return let(collapse(c), lambda body: F.when(F.length(body) >= min_chars, F.md5(body.cast("binary"))))
 
 
 def body_sha256(c) -> Column:

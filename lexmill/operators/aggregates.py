@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, ids
 from ..functions import text as X
+from .lineage import cut
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -243,13 +244,20 @@ def degree_summary(edges: DataFrame) -> DataFrame:
     return out.withColumn("targets", targets.scalar())
 
 
-def shared_body_groups(texts: DataFrame) -> DataFrame:
-    """Bodies of 500 or more characters held by several ECLIs in one language."""
-    rows = texts.select(
-        X.strip("ecli").alias("ecli"), F.lower(X.strip("language")).alias("language"),
-        X.body_digest("text").alias("digest"), F.coalesce("text_source", F.lit("")).alias("text_source"),
-    ).where("digest IS NOT NULL")
-    per_ecli = rows.groupBy("language", "digest", "ecli").agg(
+def body_rows(texts: DataFrame) -> DataFrame:
+    """Narrow row per text: key, source, digest and flags; the body itself stays behind."""
+    return texts.select(
+        F.coalesce(X.strip("ecli"), F.lit("")).alias("ecli"),
+        F.coalesce(F.lower(X.strip("language")), F.lit("")).alias("language"),
+        F.coalesce("text_source", F.lit("")).alias("text_source"),
+        F.coalesce(F.col("celex").rlike(fixed.DERIVED_ANYWHERE), F.lit(False)).alias("derived"),
+        X.is_blank("text").alias("blank"), X.body_digest("text").alias("digest"),
+    )
+
+
+def shared_body_groups(rows: DataFrame) -> DataFrame:
+    """Bodies of 500 or more characters held by several ECLIs in one language (from body rows)."""
+    per_ecli = rows.where("digest IS NOT NULL").groupBy("language", "digest", "ecli").agg(
         F.bool_or(F.col("text_source") != fixed.SOURCE_CELLAR).alias("untrusted"))
     return per_ecli.groupBy("language", "digest").agg(
         F.count("*").alias("eclis"), F.bool_or("untrusted").alias("gated")).where("eclis > 1")
@@ -258,13 +266,7 @@ def shared_body_groups(texts: DataFrame) -> DataFrame:
 def integrity_report(cases: DataFrame, texts: DataFrame) -> DataFrame:
     """(metric, value) rows of a build: duplicates, blanks, malformed and missing rows, sources."""
     c = cases.select(F.coalesce(X.strip("ecli"), F.lit("")).alias("ecli"), ids.primary_celex("celex").alias("celex"))
-    x = texts.select(
-        F.coalesce(X.strip("ecli"), F.lit("")).alias("ecli"),
-        F.coalesce(F.lower(X.strip("language")), F.lit("")).alias("language"),
-        F.coalesce("text_source", F.lit("")).alias("text_source"),
-        F.coalesce(F.col("celex").rlike(fixed.DERIVED_ANYWHERE), F.lit(False)).alias("derived"),
-        X.is_blank("text").alias("blank"),
-    )
+    x = cut(body_rows(texts))  # the only pass over the bodies
     per_ecli = c.groupBy("ecli").agg(F.count("*").alias("n"))
     known = F.col("ecli") != ""
     case_rows = metrics(per_ecli, {
@@ -288,7 +290,7 @@ def integrity_report(cases: DataFrame, texts: DataFrame) -> DataFrame:
     missing = metrics(text_eclis.join(case_eclis, "ecli", "left_anti"), {"fulltext_eclis_not_in_cases": F.count("*")})
     uncovered = metrics(case_eclis.join(text_eclis.where("filled"), "ecli", "left_anti"),
                         {"cases_without_any_fulltext": F.count("*")})
-    shared = metrics(shared_body_groups(texts), {
+    shared = metrics(shared_body_groups(x), {
         "shared_text_bodies": F.count_if("gated"), "shared_cellar_only_bodies": F.count_if(~F.col("gated"))})
     sources = x.where(~F.col("blank")).groupBy("text_source").agg(F.count("*").alias("value")).select(
         F.concat(F.lit("source:"), "text_source").alias("metric"), "value")

@@ -1,7 +1,7 @@
 """Citation graph, index and vector jobs.
 
-Iterative jobs keep one narrow (node, value) table per round and checkpoint it to the shared
-folder every few rounds, so plans stay short and a lost executor costs at most those rounds.
+Iterative jobs keep one narrow (node, value) table per round and write it to the shared folder,
+so plans stay short and a lost executor costs at most one round.
 Hubs never gather their neighbours: every round is a join on the edge and a combining aggregate.
 """
 
@@ -37,16 +37,15 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, iterations: int = 20) -> Dat
     e = cut(e.join(out, "src").withColumn("share", 1.0 / F.col("degree")).select("src", "dst", "share"))
     nodes = cut(e.select(F.col("src").alias("node")).union(e.select("dst")).distinct())
     n = nodes.count()
-    dangling = nodes.join(e.select(F.col("src").alias("node")), "node", "left_anti")
+    dangling = cut(nodes.join(e.select(F.col("src").alias("node")), "node", "left_anti"))
     rank = nodes.withColumn("rank", F.lit(1.0 / n))
-    for i in range(iterations):
+    for _ in range(iterations):
+        # the ranks feed two branches, so each round is written once and read back
         flow = e.join(rank.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(
             F.sum(F.col("rank") * F.col("share")).alias("flow"))
-        lost = rank.join(dangling, "node", "left_semi").agg(F.coalesce(F.sum("rank"), F.lit(0.0)))
-        rank = nodes.join(flow, "node", "left").select(
-            "node", (F.lit((1 - alpha) / n) + alpha * (F.coalesce("flow", F.lit(0.0)) + lost.scalar() / n)).alias("rank"))
-        if (i + 1) % ROUNDS_PER_CHECKPOINT == 0:
-            rank = cut(rank)
+        lost = rank.join(dangling, "node", "left_semi").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
+        rank = cut(nodes.join(flow, "node", "left").select(
+            "node", (F.lit((1 - alpha) / n + alpha * lost / n) + alpha * F.coalesce("flow", F.lit(0.0))).alias("rank")))
     return rank
 
 
@@ -65,8 +64,10 @@ def _push(e: DataFrame, values: DataFrame, column: str, read: str, write: str) -
 
 
 def _scaled(values: DataFrame, column: str) -> DataFrame:
-    norm = values.agg(F.sqrt(F.sum(F.col(column) * F.col(column))))
-    return values.withColumn(column, F.col(column) / F.nullif(norm.scalar(), F.lit(0.0)))
+    """Values written once, then divided by their length."""
+    values = cut(values)
+    norm = values.agg(F.sqrt(F.sum(F.col(column) * F.col(column)))).first()[0] or 1.0
+    return values.withColumn(column, F.col(column) / F.lit(norm))
 
 
 def network_metrics(edges: DataFrame, iterations: int = 20) -> DataFrame:
@@ -77,15 +78,13 @@ def network_metrics(edges: DataFrame, iterations: int = 20) -> DataFrame:
     hub = nodes.withColumn("hub", F.lit(1.0))
     eigen = nodes.withColumn("eigen", F.lit(1.0))
     authority = None
-    for i in range(iterations):
+    for _ in range(iterations):
         authority = _scaled(_push(e, hub, "hub", "src", "dst").withColumnRenamed("hub", "authority"), "authority")
         hub = _scaled(_push(e, authority, "authority", "dst", "src").withColumnRenamed("authority", "hub"), "hub")
         # own value is added, so the iteration also settles on graphs without cycles
         pulled = _push(e, eigen, "eigen", "src", "dst").withColumnRenamed("eigen", "pulled")
         eigen = eigen.join(pulled, "node", "left").select("node", (F.col("eigen") + F.coalesce("pulled", F.lit(0.0))).alias("eigen"))
         eigen = _scaled(eigen, "eigen")
-        if (i + 1) % ROUNDS_PER_CHECKPOINT == 0:
-            hub, authority, eigen = cut(hub), cut(authority), cut(eigen)
     zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
     return deg.join(hub, "node", "left").join(authority, "node", "left").join(eigen, "node", "left").select(
         "node", "in_degree", "out_degree", zero("hub"), zero("authority"), zero("eigen"))
@@ -215,8 +214,7 @@ def clusters(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     links = cut(both.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     mark = None
     for _ in range(max_rounds):
-        links = _small_star(_large_star(links))
-        links = cut(links)
+        links = cut(_small_star(cut(_large_star(links))))
         now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == (now.n, now.h):
             return nodes.join(links.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select(

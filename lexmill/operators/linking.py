@@ -21,6 +21,7 @@ from . import aggregates as A
 from . import joins as J
 from .dedup import dedup_targets, top_per_key
 from .filters import text_match
+from .lineage import cut
 from .sets import classify_drops, compare_edges
 from .topk import stratified_sample, top_change
 
@@ -152,6 +153,7 @@ def link_text(texts: DataFrame, identifiers: DataFrame, corpus: str, fields: Seq
     table = TEXT_PATTERNS[corpus]
     mentions = scan_mentions(texts, ["case_id"], fields, [p for p, _ in table])
     mentions = mentions.withColumn("value", norm_mention("scheme", "raw_text")).where("value IS NOT NULL")
+    mentions = cut(mentions.select("case_id", "scheme", "text_field", "char_start", "value"))
     values = with_leads(mentions, ["case_id"]).groupBy("case_id", "scheme", "value").agg(
         F.min("lead").alias("lead"), F.count("*").alias("mentions"))
     resolved = resolve_mentions(values.select("case_id", "scheme", "value", "lead"), identifiers)
@@ -227,7 +229,9 @@ def resolve_relations(rows: DataFrame, cases: DataFrame, uuid_numbers: DataFrame
 
 def parse_entries(sources: DataFrame, order: Sequence[str], column: str = "scl") -> DataFrame:
     """Distinct entries of each source's citation strings with everything read from them."""
-    exploded = sources.select("source_case_id", "source_date", F.struct(*order).alias("o"), F.posexplode(C.split_citations(column)).alias("p", "entry"))
+    # equal strings of a source collapse before the costly split, which then runs on all cores
+    strings = sources.groupBy("source_case_id", column).agg(F.min(F.struct(*order)).alias("o"), F.min("source_date").alias("source_date"))
+    exploded = strings.select("source_case_id", "source_date", "o", F.posexplode(C.split_citations(column)).alias("p", "entry"))
     firsts = exploded.groupBy("source_case_id", "entry").agg(
         F.min(F.struct("o", "p")).alias("entry_order"), F.min("source_date").alias("source_date"))
     return read_entries(firsts)
@@ -254,7 +258,8 @@ def resolve_entries(entries: DataFrame, catalog: DataFrame) -> DataFrame:
     first counted per flag vector (map-side combine, at most 64 vectors an entry); the steps
     then run on those few rows, however many cases share a number.
     """
-    cites = entries.where(F.size("appnos") > 0).withColumn("entry_key", F.md5(F.col("entry").cast("binary")))
+    # the parsed entries feed three branches, so their patterns run once
+    cites = cut(entries.where(F.size("appnos") > 0).withColumn("entry_key", F.md5(F.col("entry").cast("binary"))))
     numbers = cites.select("source_case_id", "source_date", "entry_key", F.posexplode("appnos").alias("pos", "appno"))
     owned = catalog.where("kind IN ('judgment', 'decision')").select(
         F.col("case_id").alias("target_case_id"), "kind", "date_decision", "is_gc", "secondary", "item_id",

@@ -67,7 +67,7 @@ def consolidate_texts(texts: DataFrame, cases: DataFrame, position: Sequence[str
     """
     keyed = texts.where(~X.is_blank("ecli"))
     loose = texts.where(X.is_blank("ecli"))
-    chosen = best_text(keyed, position)
+    chosen = cut(best_text(keyed, position))
     kept = drop_misattached(chosen).select(
         "text_id", F.col("ecli").alias("__ecli"), F.col("language").alias("__language"), "effective_source")
     windows = joined_set(
@@ -111,6 +111,7 @@ def corpus_index(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = corpus.where(~X.is_blank("text")).select(
         ids.norm_ecli("ecli").alias("ecli"), F.lower(X.strip("language")).alias("language"), "text_id",
         F.coalesce("text_source", F.lit("")).alias("own_source"), F.md5(F.col("text").cast("binary")).alias("own_digest"))
+    rows = cut(rows)
     own = top_per_key(rows, ["ecli", "language"], [F.col("text_id").desc()]).drop("text_id")
     users = rows.select("language", F.col("own_digest").alias("digest"), "ecli").distinct()
     two = Window.partitionBy("language", "digest").orderBy("ecli")

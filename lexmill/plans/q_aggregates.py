@@ -171,7 +171,7 @@ def _(t):
 WITH r AS (SELECT DISTINCT ecli, lower(language) AS language, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS digest, text_source FROM fx_texts WHERE length(trim(regexp_replace(text, '\s+', ' ', 'g'))) >= 500)
 SELECT language, digest, count(DISTINCT ecli) AS eclis, bool_or(text_source <> 'CELLAR_ITEM') AS gated FROM r GROUP BY 1, 2 HAVING count(DISTINCT ecli) > 1""")
 def _(t):
-    return A.shared_body_groups(t.texts)
+    return A.shared_body_groups(A.body_rows(t.texts))
 
 
 @query("integrity_report", "A18", r"""
