@@ -76,12 +76,19 @@ def secondary_kind(name, conclusion) -> Column:
 
 
 def split_citations(c) -> Column:
-    """Entries of a citation string: repair missing separators, then split twice."""
+    """Entries of a citation string: repair missing separators, then split twice.
+
+    Short tests keep strings away from the costly patterns they cannot match.
+    """
     text = as_col(c)
-    for pattern, replacement in fixed.CITATION_REPAIRS:
+    (line_break, joined), *repairs = fixed.CITATION_REPAIRS
+    text = F.when(F.contains(text, F.lit("\n")), F.regexp_replace(text, line_break, joined)).otherwise(text)
+    for pattern, replacement in repairs:
         text = F.regexp_replace(text, pattern, replacement)
     chunks = F.transform(F.split(text, r"[;\n]+"), strip)
-    parts = F.flatten(F.transform(chunks, lambda chunk: F.split(chunk, fixed.CITATION_SUBSPLIT)))
+    wide = lambda chunk: chunk.rlike(r"\s\s|\s[:.]\s")
+    parts = F.flatten(F.transform(
+        chunks, lambda chunk: F.when(wide(chunk), F.split(chunk, fixed.CITATION_SUBSPLIT)).otherwise(F.array(chunk))))
     return F.filter(F.transform(parts, strip), lambda p: p != "")
 
 

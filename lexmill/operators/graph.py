@@ -17,8 +17,6 @@ from .dedup import top_per_key
 from .filters import tokens
 from .lineage import cut
 
-ROUNDS_PER_CHECKPOINT = 3
-
 
 def build_edges(cases: DataFrame, source: str = "celex_id", cell: str = "cites") -> DataFrame:
     """(source, target) for every token whose target is in the corpus."""
@@ -138,14 +136,14 @@ def trigram_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     both = left.select(F.col(column).alias("v")).union(right.select(F.col(column).alias("v"))).distinct()
     rarity = both.select(F.explode(trigrams("v")).alias("g")).groupBy("g").agg(F.count("*").alias("df"))
 
-    def prefixes(df: DataFrame, id_col: str, name: str) -> DataFrame:
+    def prefixes(df: DataFrame, name: str) -> DataFrame:
         values = df.select(F.col(column).alias("v")).distinct().withColumn("grams", trigrams("v"))
         ranked = values.select("v", F.explode("grams").alias("g")).join(rarity, "g").groupBy("v").agg(
             F.array_sort(F.collect_list(F.struct("df", "g"))).alias("by_rarity"))
         keep = F.floor((1 - threshold) * F.size("by_rarity") + 1e-9).cast("int") + 1
         return ranked.select(F.col("v").alias(name), F.explode(F.slice("by_rarity", F.lit(1), keep)).alias("s")).select(name, "s.g")
 
-    cand = prefixes(left, left_id, "a").join(prefixes(right, right_id, "b"), "g").select("a", "b").distinct()
+    cand = prefixes(left, "a").join(prefixes(right, "b"), "g").select("a", "b").distinct()
     ga, gb = trigrams("a"), trigrams("b")
     scored = cand.withColumn("similarity", F.size(F.array_intersect(ga, gb)) / F.size(F.array_union(ga, gb))).where(F.col("similarity") >= threshold)
     return scored.join(left.select(left_id, F.col(column).alias("a")), "a").join(right.select(right_id, F.col(column).alias("b")), "b").select(left_id, right_id, "similarity")
@@ -265,9 +263,7 @@ def timeline(edges: DataFrame, cases: DataFrame, roots: DataFrame, relations: Se
     seen = frontier
     for level in range(1, depth + 1):
         reached = frontier.join(steps, "case_id").select("root", F.col("next_id").alias("case_id")).distinct()
-        frontier = reached.join(seen, ["root", "case_id"], "left_anti").withColumn("step", F.lit(level))
-        if level % ROUNDS_PER_CHECKPOINT == 0:
-            frontier = cut(frontier)
+        frontier = cut(reached.join(seen, ["root", "case_id"], "left_anti").withColumn("step", F.lit(level)))
         seen = seen.unionByName(frontier)
     return seen.join(cases.select("case_id", "date_decision"), "case_id", "left")
 

@@ -1,6 +1,5 @@
 """Source and sink queries: tables written by Spark to a fresh folder and read back."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,8 +15,7 @@ from .registry import query
 def fresh_folder(spark, name: str) -> str:
     """New folder inside the shared checkpoint folder (a private one in local sessions)."""
     ensure_checkpoint_dir(spark)
-    base = spark.sparkContext.getCheckpointDir() or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 
