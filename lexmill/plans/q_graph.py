@@ -86,7 +86,7 @@ def _(t):
 
 @query("nearest_segments", "X06", """
 WITH c AS (SELECT label, list(x ORDER BY i) AS vec FROM (SELECT label, i, avg(CAST(v AS DOUBLE)) AS x FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) u GROUP BY 1, 2) y GROUP BY 1),
- s AS (SELECT c.label AS query_id, vec_id AS segment_id, list_cosine_similarity(vec, CAST(embedding AS DOUBLE[])) AS sim FROM embeddings e, c)
+ s AS (SELECT CAST(c.label AS BIGINT) AS query_id, vec_id AS segment_id, list_cosine_similarity(vec, CAST(embedding AS DOUBLE[])) AS sim FROM embeddings e, c)
 SELECT query_id, segment_id, round(sim, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, segment_id) rn FROM s) r WHERE rn <= 5""")
 def _(t):
     parts = t.embeddings.select("label", F.posexplode("embedding").alias("i", "v")).groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("x"))

@@ -144,7 +144,7 @@ def _(t):
 
 @query("link_opinions", "L10", r"""
 WITH d AS (SELECT celex_id, min(case_id) AS case_id FROM fx_cases GROUP BY 1)
-SELECT o.case_id AS source_case_id, coalesce(j.case_id, r.case_id) AS target_case_id, 'opinion_of' AS relation_type, CASE WHEN j.case_id IS NOT NULL THEN 'celex/swapped_cc_cj' ELSE 'celex/swapped_cc_co' END AS match_method, 0.98 AS confidence
+SELECT o.case_id AS source_case_id, coalesce(j.case_id, r.case_id) AS target_case_id, 'opinion_of' AS relation_type, CASE WHEN j.case_id IS NOT NULL THEN 'celex/swapped_cc_cj' ELSE 'celex/swapped_cc_co' END AS match_method, CAST(0.98 AS DOUBLE) AS confidence
 FROM fx_cases o LEFT JOIN d j ON j.celex_id = replace(o.celex_id, 'CC', 'CJ') LEFT JOIN d r ON r.celex_id = replace(o.celex_id, 'CC', 'CO') WHERE regexp_matches(o.celex_id, '^6\d{4}CC\d{4}$') AND (j.case_id IS NOT NULL OR r.case_id IS NOT NULL)""")
 def _(t):
     from ..operators.joins import opinion_links
@@ -198,7 +198,7 @@ def scl_edges(t):
 
 
 @query("resolve_citation_strings", "L11", f"""WITH {scl_sql(_SCL_ENTRIES)} SELECT s AS source_case_id, t AS target_case_id, e AS scl_reference, appno, rule,
-  CASE WHEN rule LIKE '%earliest%' THEN 0.80 WHEN rule LIKE '%decision_no_judgment%' THEN 0.85 WHEN rule LIKE '%year%' THEN 0.90 ELSE 0.95 END AS confidence FROM edge""")
+  CAST(CASE WHEN rule LIKE '%earliest%' THEN 0.80 WHEN rule LIKE '%decision_no_judgment%' THEN 0.85 WHEN rule LIKE '%year%' THEN 0.90 ELSE 0.95 END AS DOUBLE) AS confidence FROM edge""")
 def _(t):
     return scl_edges(t)
 
@@ -402,7 +402,7 @@ WITH s AS (SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS
    FROM lineitem JOIN fx_echr_docs a ON a.item_id = concat('001-', lpad(CAST(l_orderkey AS VARCHAR), 12, '0')) JOIN fx_echr_docs b ON b.item_id = concat('001-', lpad(CAST(l_partkey * 7 AS VARCHAR), 12, '0'))),
  m AS (SELECT ecli, min(g) AS g FROM fx_echr_docs WHERE ecli IS NOT NULL GROUP BY 1),
  r AS (SELECT staged_id, rule, coalesce(m1.g, sg) AS source_case_id, coalesce(m2.g, tg) AS target_case_id FROM s LEFT JOIN m m1 ON m1.ecli = se LEFT JOIN m m2 ON m2.ecli = te)
-SELECT source_case_id, target_case_id, staged_id, concat('appno/', rule) AS match_method, CASE WHEN rule LIKE '%earliest%' THEN 0.8 WHEN rule LIKE '%decision_no_judgment%' THEN 0.85 WHEN rule LIKE '%year%' THEN 0.9 ELSE 0.95 END AS confidence
+SELECT source_case_id, target_case_id, staged_id, concat('appno/', rule) AS match_method, CAST(CASE WHEN rule LIKE '%earliest%' THEN 0.8 WHEN rule LIKE '%decision_no_judgment%' THEN 0.85 WHEN rule LIKE '%year%' THEN 0.9 ELSE 0.95 END AS DOUBLE) AS confidence
 FROM (SELECT *, row_number() OVER (PARTITION BY source_case_id, target_case_id ORDER BY staged_id) rn FROM r WHERE source_case_id <> target_case_id) x WHERE rn = 1""")
 def _(t):
     docs = t.echr_docs.select("item_id", "ecli", "g")

@@ -58,7 +58,7 @@ def _(t):
 
 
 @query("json_scalars_to_text", "S05", """
-SELECT event_id, concat('{"a": ', CAST(user_id AS VARCHAR), ', "k": ', regexp_extract(props, '(\\d+)', 1), '}') AS obj, concat('["', event_type, '", ', CAST(user_id AS VARCHAR), ']') AS arr, event_type AS str, CAST(user_id AS VARCHAR) AS num, NULL AS nothing FROM events""")
+SELECT event_id, concat('{"a": ', CAST(user_id AS VARCHAR), ', "k": ', regexp_extract(props, '(\\d+)', 1), '}') AS obj, concat('["', event_type, '", ', CAST(user_id AS VARCHAR), ']') AS arr, event_type AS str, CAST(user_id AS VARCHAR) AS num, CAST(NULL AS VARCHAR) AS nothing FROM events""")
 def _(t):
     k = F.regexp_extract("props", r"(\d+)", 1)
     user = F.col("user_id").cast("string")
@@ -86,7 +86,7 @@ def _(t):
 
 
 @query("link_records", "S09", """
-SELECT CAST(source_case_id AS VARCHAR) AS source, target_ecli_raw AS target, relation_type, source_dataset, weight AS char_start, edge_id AS raw_text FROM fx_edges""")
+SELECT CAST(source_case_id AS VARCHAR) AS source, target_ecli_raw AS target, relation_type, source_dataset, CAST(weight AS BIGINT) AS char_start, edge_id AS raw_text FROM fx_edges""")
 def _(t):
     path = fresh_folder(t.spark, "links")
     none = F.lit(None).cast("string")
