@@ -108,8 +108,8 @@ def pack(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(start) + 1, np.int64)
     np.cumsum(size, out=offsets[1:])
     mark = np.zeros(len(data) + 1, np.int8)
-    mark[start] += 1
-    np.subtract.at(mark, stop, 1)
+    mark[start] = 1
+    mark[stop] -= 1  # places where ranges end are distinct
     kept = data[np.cumsum(mark[:-1], dtype=np.int8).astype(bool)] if len(start) else data[:0]
     return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept))])
 

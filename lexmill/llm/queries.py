@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import lines, mixing, tokens
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,30 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, ceiling=2.0, keep=["doc_id"])
     return mixed.select("doc.doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokens.write_tokens(read(spark, sf_dir, "documents"), tokens.default_tokenizer(), end_id=0)
+    return tokens.read_tokens(manifest)
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+#: fixed value: white space of a line key
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SQL["op6_line_dedup"] = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS MATERIALIZED (
+  SELECT rn, i, l[i] AS line, translate(trim(l[i], {_BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT rn, l, unnest(range(1, len(l) + 1)) AS i FROM docs)),
+gone AS MATERIALIZED (SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rn) >= 10),
+marked AS (SELECT rn, i, line, key IN (SELECT key FROM gone) AS drop_it FROM lines),
+kept AS (SELECT rn, count(*) AS n_lines, count(*) FILTER (drop_it) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT drop_it), '') AS text FROM marked GROUP BY rn)
+SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM docs JOIN kept USING (rn)
+"""
