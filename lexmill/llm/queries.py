@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, tokens
-from .common import read
+from . import lines, mixing, quality, tokens
+from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,17 @@ kept AS (SELECT rn, count(*) AS n_lines, count(*) FILTER (drop_it) AS n_dropped,
          coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT drop_it), '') AS text FROM marked GROUP BY rn)
 SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM docs JOIN kept USING (rn)
 """
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
+    """Fitted on the labels of the documents outside the held-out fold."""
+    labels = read(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
+    return quality.fit(docs, labels, "quality")
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, sf_dir, docs), keep=["doc_id"])
+    held_out = F.coalesce(fold(F.col("doc.doc_id").cast("string"), 3) == 1, F.lit(False))
+    return scored.select("doc.doc_id", held_out.alias("held_out"), "score", "predicted")
