@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, quality, tokens
+from . import lines, lm, mixing, quality, tokens
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, quality_model(spark, sf_dir, docs), keep=["doc_id"])
     held_out = F.coalesce(fold(F.col("doc.doc_id").cast("string"), 3) == 1, F.lit(False))
     return scored.select("doc.doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score_held_out(read(spark, sf_dir, "documents"), fold("doc_id", 5) == 1, order=3)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
