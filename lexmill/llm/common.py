@@ -89,9 +89,9 @@ class Words:
         return np.fromiter(found, np.uint64, len(self.vocabulary))
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte range of every word, and the n+1 first words of the texts."""
-    word = ~_IS_SPACE[data]
+def spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte range of every word, and the n+1 first words of the texts; ``between`` says which bytes part words."""
+    word = ~between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     opens = word.copy()
@@ -114,8 +114,8 @@ def pack(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept))])
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    start, stop, first = spans(data, offsets)
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _IS_SPACE) -> Words:
+    start, stop, first = spans(data, offsets, between)
     if not len(start):
         return Words(start, stop, first, np.zeros(0, np.int64), pa.array([], pa.large_binary()))
     coded = pack(data, start, stop).dictionary_encode()

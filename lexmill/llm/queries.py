@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, lm, mixing, quality, tokens
+from . import decontaminate, lines, lm, mixing, quality, tokens
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm.score_held_out(read(spark, sf_dir, "documents"), fold("doc_id", 5) == 1, order=3)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc.doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
