@@ -36,7 +36,7 @@ from .common import _IS_SPACE, pack, pieces, raw
 
 MAGIC, BITS, BLOCK = b"DACF", 8, 512
 #: ids in one file, at least, before the next file begins
-FILE_IDS = 8 << 20
+FILE_IDS = 4 << 20
 
 
 # ---------------------------------------------------------------- codes
@@ -127,7 +127,7 @@ class TokenFile:
 #: white space and these marks never belong to one part of the split pattern with a letter before them
 MARKS = b".,;:!?)"
 #: distinct parts a worker remembers
-CACHE = 400_000
+CACHE = 150_000
 
 
 @functools.cache
@@ -267,7 +267,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 0, folder:
             number += 1
             return row
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 4 << 20):
             ids, starts = token_ids(batch.column("text"), tokenizer_path, end_id)
             doc = batch.column("id")
             held.append((ids, starts, pc.fill_null(doc, 0).to_numpy(zero_copy_only=False), pc.is_valid(doc).to_numpy(zero_copy_only=False)))
@@ -306,7 +306,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                         "start": starts[a:b] + base, "n_tokens": np.diff(starts[a:b + 1]), "ids_crc32": np.array(crc, np.int64)})
                 file.close()
 
-    spread = manifest.select("uri", "base").repartition(F.col("uri"))
+    spread = manifest.select("uri", "base").repartition(max(1, manifest.count()), "uri")
     return spread.mapInPandas(load, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -322,7 +322,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                     yield pd.DataFrame({"doc_id": pd.array([int(d) if p else None], "Int64"), "ids": [file.slice(int(a), int(b)).astype(np.int64)]})
                 file.close()
 
-    return manifest.select("uri").repartition(F.col("uri")).mapInPandas(load, "doc_id long, ids array<long>")
+    return manifest.select("uri").repartition(max(1, manifest.count()), "uri").mapInPandas(load, "doc_id long, ids array<long>")
 
 
 def default_tokenizer() -> str:
