@@ -152,7 +152,7 @@ def _roots(linked: np.ndarray, bipartite: bool) -> np.ndarray:
 
 def _verify(threshold: float):
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["block", "set"])
+        frame = frame.drop_duplicates(["block", "set"]).sort_values(["block", "set"])  # equal rows give a set more than once
         sets = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
         m = int((frame["block"] == frame["block"].iloc[0]).sum())
         split = key[1] != key[2]
@@ -197,7 +197,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS,
             packed = pa.array([blob(s) for s in shingles(batch.column("text"), n)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("set", "component", "blocks", "block")), packed], ["set", "component", "blocks", "block", "shingles"])
 
-    texts = rows.select("k1", "k2", "text").join(placed, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    texts = rows.select("k1", "k2", "text").join(placed, ["k1", "k2"])
     taken = texts.select("text", "set", "component", "blocks", "block").mapInArrow(take, "set binary, component binary, blocks int, block int, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = taken.withColumn("other", other).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lineage import cut
 from . import store
-from .common import blob, lower, mix64, pieces, raw, words
+from .common import PIECE_BYTES, blob, lower, mix64, pieces, raw, words
 
 #: text bytes counted into one shard, on average
 SHARD_BYTES = 8 << 20
@@ -82,7 +82,7 @@ def history_start(order: int) -> np.uint64:
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return ((keys >> np.uint64(40)) % np.uint64(shards)).astype(np.int32)
+    return ((keys >> np.uint64(40)) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
 
 
 def _five(keys: np.ndarray) -> bytes:
@@ -148,6 +148,11 @@ def _steps(items: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return g >> np.uint64(32), g & np.uint64(0xFFFFFFFF) | np.uint64(1)
 
 
+def _bit(a: np.ndarray, b: np.ndarray, probe_number: int, size: int) -> np.ndarray:
+    """The place of one bit of an item: 32 hash bits scaled to the size of the filter."""
+    return ((a + np.uint64(probe_number) * b) & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)
+
+
 def build_filter(items: np.ndarray, count: np.ndarray, base: float) -> np.ndarray:
     level = levels_of(count, base)
     size = max(64, -(-BITS * int(level.sum()) // 64) * 64)
@@ -155,7 +160,7 @@ def build_filter(items: np.ndarray, count: np.ndarray, base: float) -> np.ndarra
     for q in range(1, int(level.max(initial=0)) + 1):
         a, b = _steps(items[level >= q], q)
         for i in range(PROBES):
-            bits[(a + np.uint64(i) * b) % np.uint64(size)] = True
+            bits[_bit(a, b, i, size)] = True
     return np.packbits(bits, bitorder="little")
 
 
@@ -165,7 +170,7 @@ def probe(bits: np.ndarray, items: np.ndarray) -> np.ndarray:
     while len(left):
         a, b = _steps(items[left], q)
         for i in range(PROBES):
-            at = (a + np.uint64(i) * b) % np.uint64(len(bits) * 8)
+            at = _bit(a, b, i, len(bits) * 8)
             hit = bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
             left, a, b = left[hit], a[hit], b[hit]
         level[left] = q
@@ -225,7 +230,7 @@ def score(docs: DataFrame, model: Model, base: float = BASE, mu: float = MU, id_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = model.tokens + 0.5 * (model.vocabulary + 1)
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE_BYTES // 2):
             t = tokens(batch.column("text"), model.order)
             n = len(t.word)
             vocabulary, exact = np.append(t.hashes, _END), np.zeros(len(t.hashes) + 1, np.int64)
@@ -234,7 +239,8 @@ def score(docs: DataFrame, model: Model, base: float = BASE, mu: float = MU, id_
             items = [_item(vocabulary, 0), *(_item(k, i + 1) for i, k in enumerate(t.keys[1:])),
                      np.array([int(_item(np.array([k], np.uint64), i)[0]) for i, k in enumerate(starts)], np.uint64)]
             key, item = np.concatenate(asked), np.concatenate(items)
-            level = np.zeros(len(key), np.int64)
+            del asked, items
+            level = np.zeros(len(key), np.int32)
             shard = _shard(key, model.shards)
             by = np.argsort(shard, kind="stable")
             edge = np.searchsorted(shard[by], np.arange(model.shards + 1))
@@ -247,7 +253,7 @@ def score(docs: DataFrame, model: Model, base: float = BASE, mu: float = MU, id_
                 if len(known):
                     at = np.minimum(np.searchsorted(known, vocabulary[own]), len(known) - 1)
                     exact[own] = np.where(known[at] == vocabulary[own], count[at], 0)
-            count = expected(level, base)
+            count = expected(np.arange(level.max() + 1), base)[level]
             plain = np.log10((exact + 0.5) / total)[t.word]
             p = ((count[:len(vocabulary)] + 0.5) / total)[t.word]
             grams = [count[:len(vocabulary)][t.word], *np.split(count[len(vocabulary):len(count) - len(starts)], max(1, model.order - 1))]

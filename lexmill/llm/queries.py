@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, lines, lm, mixing, neighbours, quality, tokens
+from . import automaton, decontaminate, jaccard, lines, lm, mixing, neighbours, quality, tokens
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,23 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query
+def op2_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = automaton.dedup_words(read(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op2_repeated_words"] = r"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT rn, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT rn, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)),
+again AS MATERIALIZED (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+hits AS MATERIALIZED (SELECT rn, i FROM windows WHERE h IN (SELECT h FROM again)),
+gone AS MATERIALIZED (SELECT DISTINCT rn, i + k AS i FROM hits, range(0, 35) r(k)),
+words AS MATERIALIZED (SELECT rn, i, w[i] AS word FROM (SELECT rn, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
+kept AS (SELECT words.rn, count(gone.i) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY words.i) FILTER (gone.i IS NULL), '') AS text
+         FROM words LEFT JOIN gone ON words.rn = gone.rn AND words.i = gone.i GROUP BY words.rn)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (rn)
+"""
