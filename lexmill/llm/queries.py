@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automaton, decontaminate, jaccard, lines, lm, mixing, neighbours, quality, tokens
+from . import automaton, decontaminate, jaccard, lines, lm, mixing, neighbours, quality, suffixes, tokens
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,9 @@ kept AS (SELECT words.rn, count(gone.i) AS n_removed, coalesce(string_agg(word,
          FROM words LEFT JOIN gone ON words.rn = gone.rn AND words.i = gone.i GROUP BY words.rn)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (rn)
 """
+
+
+@query
+def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.dedup_bytes(read(spark, sf_dir, "documents"), window=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
