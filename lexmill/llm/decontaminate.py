@@ -1,9 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every stretch of a test item gives its rarest word n-gram, by count over all documents, as a seed;
-so an item has seeds all along, however common its text has become. A document that holds a seed is
-aligned with the item around it, word by word; edited and paraphrased copies score lower than exact
-ones. Test items go to the workers in blocks of bounded size, and every block looks at all documents.
+Seeds are the word n-grams of a test item that are rare: by count over all documents, in few of
+them, or hardly more common than the item's rarest, so a passage that has leaked into many documents
+keeps its seeds. The rarest of every stretch is one in any case, so an item has seeds all along.
+N-grams that no document holds are no help and don't count. A document that holds a seed is aligned
+with the item around it, word by word; edited and paraphrased copies score lower than exact ones.
+Test items go to the workers in blocks of bounded size, and every block looks at all documents.
 
 Words are runs of letters and digits, A-Z lower-cased; marks don't count.
 
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import gram_hashes, inside, lower, pieces, raw, words
 
 SEED, STRETCH, MIN_SCORE = 4, 6, 0.4
+#: an n-gram is rare with at most this share of the documents, or so many times the count of the item's rarest
+RARE_SHARE, RARE_TIMES = 1e-3, 10
 #: items and text bytes of one block, which is broadcast
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -57,15 +61,17 @@ class Items:
         item = np.searchsorted(first, at, "right") - 1
         return Items([r.item for r in rows], hashes, first, gram_hashes(hashes, seed)[at], item, at - first[item])
 
-    def rarest(self, count: dict[int, int], stretch: int) -> Items:
-        """Keep the rarest n-gram of every ``stretch`` n-grams in a row, of the first ones the first."""
-        n = np.array([count.get(int(g), 0) for g in self.gram.view(np.int64)])
-        keep = np.zeros(len(n), bool)
+    def rarest(self, count: dict[int, int], documents: int, stretch: int) -> Items:
+        """Keep the seeds, sorted by n-gram."""
+        n = np.array([count.get(int(g), 0) for g in self.gram.view(np.int64)], float)
+        n[n == 0] = np.inf
+        keep = n <= RARE_SHARE * documents
         edge = np.flatnonzero(np.diff(self.item, prepend=-1, append=len(self.ids) + 1))
         for a, b in zip(edge[:-1], edge[1:]):
+            keep[a:b] |= n[a:b] <= RARE_TIMES * n[a:b].min()
             for i in range(a, max(a + 1, b - stretch + 1)):
                 keep[i + int(np.argmin(n[i:min(i + stretch, b)]))] = True
-        by = np.flatnonzero(keep)
+        by = np.flatnonzero(keep & np.isfinite(n))
         by = by[np.argsort(self.gram[by], kind="stable")]
         return Items(self.ids, self.words, self.first, self.gram[by], self.item[by], self.offset[by])
 
@@ -157,7 +163,7 @@ def find_leaks(
     texts = rows.select("text")
     total = tests.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     blocks = max(-(-total.n // BLOCK_ITEMS), -(-(total.b or 0) // BLOCK_BYTES))
-    schema = rows.schema
+    schema, documents = rows.schema, docs.count()
 
     def count_of(items: Items):
         seeds = np.unique(items.gram)
@@ -200,5 +206,5 @@ def find_leaks(
         own = tests.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).orderBy("item", "text").collect()
         items = Items.of(own, seed)
         count = texts.mapInArrow(count_of(items), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-        rows = rows.mapInArrow(leaks_of(items.rarest({r.gram: r.n for r in count}, stretch)), schema)
+        rows = rows.mapInArrow(leaks_of(items.rarest({r.gram: r.n for r in count}, documents, stretch)), schema)
     return rows.select("doc", "hits")
