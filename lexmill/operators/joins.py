@@ -126,28 +126,24 @@ def assign_by_era(rows: DataFrame, rules: DataFrame, row_id: Sequence[str]) -> D
 
 
 def match_by_date_and_token(entries: DataFrame, docs: DataFrame) -> DataFrame:
-    """Same decision date, and the token occurs in the docket number.
+    """Same decision date, and the token, of four characters or more, occurs in the docket number.
 
-    A date can hold very many decisions, so the date alone is a poor key: digit runs of both
-    sides join the key, and the containment test runs only on rows that share one.
+    A date can hold very many decisions, so the date alone is a poor key. Every token has
+    trigrams, and all of them occur in a number that holds it: the rarest one on that date is the
+    join key, and the containment test runs only on rows that share it.
     """
-    compact = F.regexp_replace(F.lower(F.coalesce("zaaknummer", F.lit(""))), r"\s", "")
-    runs = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(r"\d+"), F.lit(0)))
-    # Any run of the token that is not at its edges must equal a run of the docket number; edge
-    # runs may be cut out of a longer one, so suffixes/prefixes of docket runs are offered too.
-    grams = lambda c: F.array_distinct(F.flatten(F.transform(
-        runs(c), lambda r: F.when(F.length(r) <= 3, F.array(r)).otherwise(
-            F.transform(F.sequence(F.lit(1), F.length(r) - 2), lambda i: F.substring(r, i, F.lit(3)))))))
-    longest = F.array_max(F.transform(runs("token"), lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))
-    key = F.left(longest["r"], F.lit(3))
-    e = entries.where(F.length("token") >= 4).withColumn("__short", F.length(key) < 3).withColumn("__key", key)
-    d = docs.withColumn("__compact", compact)
-    keyed = d.select("doc_id", "date_decision", "instance", "__compact", F.explode(grams("__compact")).alias("__key"))
-    hit = F.contains(F.col("__compact"), F.col("token"))
-    long_hits = e.where(~F.col("__short")).join(keyed, ["date_decision", "__key"]).where(hit)
-    short_hits = e.where(F.col("__short")).join(d.select("doc_id", "date_decision", "instance", "__compact"), "date_decision").where(hit)
-    columns = [*entries.columns, "doc_id", "instance"]
-    return long_hits.select(*columns).unionByName(short_hits.select(*columns)).distinct()
+    compact = F.regexp_replace(F.lower(F.coalesce("zaaknummer", F.lit(""))), r"(?U)\s", "")
+    grams = lambda c: F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))
+    keyed = docs.select("doc_id", "date_decision", "instance", compact.alias("__compact")).withColumn("__key", F.explode(grams("__compact")))
+    counts = keyed.groupBy("date_decision", "__key").agg(F.count("*").alias("n"))
+    asked = entries.where(F.length("token") >= 4).select("date_decision", "token").distinct()
+    split = asked.withColumn("__grams", grams(F.col("token"))).withColumn("__size", F.size("__grams")).withColumn("__key", F.explode("__grams"))
+    # a token with a trigram that no number of that date has occurs in none of them
+    key = split.join(counts, ["date_decision", "__key"]).groupBy("date_decision", "token").agg(
+        F.min(F.struct("n", "__key"))["__key"].alias("__key"), F.count("*").alias("found"), F.first("__size").alias("__size")).where("found = __size")
+    hits = key.join(keyed, ["date_decision", "__key"]).where(F.contains("__compact", "token")).select("date_decision", "token", "doc_id", "instance")
+    return entries.join(hits, ["date_decision", "token"]).select(*entries.columns, "doc_id", "instance").distinct()
 
 
 def court_type(c) -> Column:

@@ -570,7 +570,8 @@ def link_existing(edges: DataFrame, new_cases: DataFrame) -> DataFrame:
         F.struct(F.lit("celex").alias("scheme"), F.col("celex_id").alias("value")))))
     table = keys.where("value IS NOT NULL").groupBy("scheme", "value").agg(F.min("case_id").alias("bound"))
     hits = raw_targets(edges).where(link_rule("source_dataset", "scheme")).join(table, ["scheme", "value"])
-    hits = hits.withColumn("target_case_id", F.col("bound"))
+    # of several open rows that would become twins only the first gets the target
+    hits = top_per_key(hits.withColumn("target_case_id", F.col("bound")), EDGE_TWIN, [F.col("edge_id").asc()])
     twins = edges.where("target_case_id IS NOT NULL").select(*EDGE_TWIN).distinct()
     return hits.join(twins, EDGE_TWIN, "left_anti").select("edge_id", "target_case_id", "source_dataset", "scheme")
 

@@ -124,9 +124,9 @@ def apply_count_deltas(counts: DataFrame, changes: DataFrame) -> DataFrame:
 
 def delete_cases(edges: DataFrame, cases: DataFrame, doomed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges after the delete, twin collisions): incoming links fall back to raw identifiers."""
-    gone = cases.join(doomed, "case_id", "left_semi").select(F.col("case_id").alias("target_case_id"), F.col("ecli").alias("__ecli"), F.col("celex_id").alias("__celex"))
+    gone = cases.join(doomed, "case_id", "left_semi").select(F.col("case_id").alias("target_case_id"), F.col("ecli").alias("__ecli"), F.col("celex_id").alias("__celex"), F.lit(True).alias("__gone"))
     left = edges.join(doomed.select(F.col("case_id").alias("source_case_id")), "source_case_id", "left_anti")
-    hit = left.join(gone, "target_case_id", "left").withColumn("__gone", F.col("__ecli").isNotNull())
+    hit = left.join(gone, "target_case_id", "left").withColumn("__gone", F.coalesce("__gone", F.lit(False)))
     after = hit.withColumn("target_ecli_raw", F.coalesce("target_ecli_raw", "__ecli")).withColumn(
         "target_celex_raw", F.coalesce("target_celex_raw", "__celex")).withColumn(
         "target_case_id", F.when(~F.col("__gone"), F.col("target_case_id")))
@@ -148,7 +148,7 @@ def swap_dataset(edges: DataFrame, staged: DataFrame, sources: DataFrame, old_da
 
 def rollback_swap(live: DataFrame, archive: DataFrame, new_dataset: str) -> DataFrame:
     """The table before the swap, from the archive."""
-    return live.where(F.col("source_dataset") != new_dataset).unionByName(archive.select(*live.columns))
+    return live.where(~F.col("source_dataset").eqNullSafe(new_dataset)).unionByName(archive.select(*live.columns))
 
 
 def rekey_language(texts: DataFrame, names=fixed.LANGUAGE_NAMES) -> DataFrame:
@@ -170,13 +170,16 @@ def rekey_language(texts: DataFrame, names=fixed.LANGUAGE_NAMES) -> DataFrame:
 def merge_people(people: DataFrame, links: DataFrame, merges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(people, links) after merging duplicates; aliases move along, colliding links collapse.
 
-    merges: old_name, new_name. A canonical name nobody holds is taken by renaming.
+    merges: old_name, new_name. People of a listed name join the first holder of the new name; one
+    that nobody holds is taken by renaming. Namesakes that are not listed stay apart.
     """
     spec = merges.groupBy("old_name").agg(F.min("new_name").alias("new_name"))
     named = people.join(spec, F.col("full_name") == F.col("old_name"), "left").withColumn("final_name", F.coalesce("new_name", "full_name"))
-    holder = named.groupBy("final_name").agg(F.min(F.struct(F.col("new_name").isNotNull().alias("moved"), "person_id")).alias("h")).select(
-        "final_name", F.col("h.person_id").alias("keep_id"))
-    mapped = named.join(holder, "final_name")
+    first = named.groupBy("final_name").agg(
+        F.min(F.struct(F.col("new_name").isNotNull().alias("moved"), "person_id")).alias("h"), F.bool_or(F.col("new_name").isNotNull()).alias("listed"))
+    taker = first.where("listed").select(F.col("final_name").alias("new_name"), F.col("h.person_id").alias("taker"))
+    mapped = named.join(taker, "new_name", "left").withColumn("keep_id", F.coalesce("taker", "person_id"))
+    holder = mapped.select("keep_id", "final_name").distinct()
     empty = F.array().cast("array<string>")
     own = F.filter(F.concat(F.coalesce("aliases", empty), F.when(F.col("old_name").isNotNull(), F.array("old_name")).otherwise(empty)), lambda a: a.isNotNull())
     alias_rows = mapped.select("keep_id", "final_name", F.explode(own).alias("a")).distinct()

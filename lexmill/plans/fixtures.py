@@ -187,7 +187,8 @@ SELECT item_id, g,
        ELSE CASE k % 2 WHEN 0 THEN 'HEJUD' ELSE 'HFJUD' END END AS doctype,
   CASE WHEN g % 7 = 0 THEN 'GRANDCHAMBER' ELSE 'CHAMBER' END AS doctype_branch,
   concat('CASE OF NAME', CAST(g AS STRING), ' v. STATE',
-    CASE WHEN g % 13 = 0 THEN ' (JUST SATISFACTION)' WHEN g % 17 = 0 THEN ' (REVISION)' ELSE '' END) AS docname,
+    CASE WHEN g % 13 = 0 THEN CASE k % 2 WHEN 0 THEN ' (JUST SATISFACTION)' ELSE ' (SATISFACTION ÉQUITABLE)' END
+      WHEN g % 17 = 0 THEN CASE k % 2 WHEN 0 THEN ' (REVISION)' ELSE ' (RÉVISION)' END ELSE '' END) AS docname,
   CASE g % 4 WHEN 0 THEN 'Violation of Art. 6' WHEN 1 THEN 'Non-pecuniary damage - award' WHEN 2 THEN 'Struck out of the list' END AS conclusion,
   CASE WHEN g % 6 <> 0 THEN d END AS judgement_date, CASE WHEN g % 12 <> 0 THEN d END AS reference_date, d AS decided,
   {appno_sql('h')} AS appno,
@@ -206,7 +207,7 @@ FROM (
 SELECT l_orderkey AS source_case_id, l_linenumber AS line_no, CAST(l_suppkey AS BIGINT) AS tie,
   CAST(l_shipdate AS DATE) AS source_date,
   concat('Name', CAST(l_suppkey AS STRING), ' v. State', CASE WHEN l_linenumber % 3 = 0 THEN ' [GC]' ELSE '' END,
-    CASE l_suppkey % 9 WHEN 0 THEN ' (dec.)' WHEN 1 THEN ' (just satisfaction)' ELSE '' END,
+    CASE l_suppkey % 9 WHEN 0 THEN ' (dec.)' WHEN 1 THEN CASE WHEN l_linenumber % 2 = 0 THEN ' (just satisfaction)' ELSE ' (SATISFACTION ÉQUITABLE)' END ELSE '' END,
     ', no. 00', {appno_sql('l_partkey')}, ', § 70, ',
     CASE l_suppkey % 5
       WHEN 0 THEN concat(substring(CAST({group_date_sql('(l_partkey * 3 + l_suppkey % 3)')} AS STRING), 9, 2), '.',

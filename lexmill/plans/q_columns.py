@@ -208,7 +208,12 @@ def _(t):
             .select("text_id", "head", "s.*"))
 
 
-@query("caps_heading", "P23")
+@query("caps_heading", "P23", r"""
+WITH RECURSIVE o AS (SELECT text_id, left(coalesce(left(regexp_replace(left(text, 800), '\s+', ' ', 'g'), 400), ''), 60) AS o FROM fx_stored_texts),
+ w AS (SELECT text_id, o, 0 AS upto, CAST(NULL AS VARCHAR) AS m, 0 AS put FROM o
+   UNION ALL SELECT text_id, o, upto + position(f IN substring(o, upto + 1)) - 1 + length(f), f, upto + position(f IN substring(o, upto + 1)) - 1
+   FROM (SELECT *, regexp_extract(substring(o, upto + 1), '\p{L}{2,}(?:\s+\p{L}+){1,2}', 0) AS f FROM w) z WHERE f <> '')
+SELECT text_id, coalesce(bool_or(regexp_full_match(m, '[\p{Lu}\s]+') AND put < 40), false) AS caps FROM w GROUP BY 1""")
 def _(t):
     return t.stored_texts.select("text_id", X.caps_heading(X.head("text")).alias("caps"))
 
@@ -264,14 +269,14 @@ def _(t):
 @query("cue_flags", "P28", f"""
 WITH x AS (SELECT source_case_id, line_no, tie, {_ENTRY} AS e FROM fx_scl)
 SELECT source_case_id, line_no, tie, contains(e, '(dec.)') AS decision_cue, contains(e, '[GC]') AS grand_chamber,
-  CASE WHEN contains(e, 'just satisfaction') THEN 'just_satisfaction' END AS secondary_cue FROM x""")
+  CASE WHEN (contains(e, 'just satisfaction') OR contains(e, 'ÉQUITABLE')) THEN 'just_satisfaction' END AS secondary_cue FROM x""")
 def _(t):
     return _entries(t).select("source_case_id", "line_no", "tie", C.cue_flags("e").alias("f")).select(
         "source_case_id", "line_no", "tie", "f.*")
 
 
 @query("secondary_kind", "P29", """
-SELECT item_id, CASE WHEN contains(docname, 'JUST SATISFACTION') THEN 'just_satisfaction' WHEN contains(docname, 'REVISION') THEN 'revision'
+SELECT item_id, CASE WHEN (contains(docname, 'JUST SATISFACTION') OR contains(docname, 'ÉQUITABLE')) THEN 'just_satisfaction' WHEN (contains(docname, 'REVISION') OR contains(docname, 'RÉVISION')) THEN 'revision'
   WHEN conclusion LIKE 'Non-pecuniary damage%' THEN 'just_satisfaction' WHEN conclusion LIKE 'Struck out%' THEN 'striking_out' END AS secondary FROM fx_echr_docs""")
 def _(t):
     return t.echr_docs.select("item_id", C.secondary_kind("docname", "conclusion").alias("secondary"))

@@ -191,7 +191,13 @@ def _(t):
     return rows.select("ecli", F.col("date_decision").cast("string").alias("day"))
 
 
-@query("stratified_sample", "K03")
+@query("stratified_sample", "K03", """
+WITH e AS (SELECT edge_id, concat(relation_type, '/', source_dataset) AS stratum_code FROM fx_edges), c AS (SELECT stratum_code AS stratum, count(*) AS n FROM e GROUP BY 1),
+ b AS (SELECT *, least(n, 25) AS base, sum(n) OVER () AS total, 320 - sum(least(n, 25)) OVER () AS rest FROM c),
+ d AS (SELECT stratum, n, base + CASE WHEN rest > 0 THEN least(n - base, CAST(round_even(CAST(rest AS DOUBLE) * n / total, 0) AS BIGINT)) ELSE 0 END AS k, total FROM b),
+ m AS (SELECT *, least(320, total) - sum(k) OVER () AS missing, row_number() OVER (ORDER BY CASE WHEN n > k THEN 0 ELSE 1 END, stratum) AS pos FROM d),
+ w AS (SELECT stratum, k + CASE WHEN n > k AND pos <= missing THEN 1 ELSE 0 END AS k FROM m)
+SELECT edge_id, stratum_code FROM (SELECT *, row_number() OVER (PARTITION BY stratum_code ORDER BY md5(concat(edge_id, '|20261126')), edge_id) AS r FROM e) x JOIN w ON stratum = stratum_code WHERE r <= k""")
 def _(t):
     edges = t.edges.select("edge_id", F.concat_ws("/", "relation_type", "source_dataset").alias("stratum_code"))
     return topk.stratified_sample(edges, "stratum_code", ["edge_id"], 320, 25, 20261126)
@@ -206,7 +212,7 @@ def _(t):
     return topk.allocate(t.edges.groupBy(F.col("relation_type").alias("stratum")).agg(F.count("*").alias("n")), 320, 25)
 
 
-@query("seeded_sample", "K04")
+@query("seeded_sample", "K04", "SELECT edge_id, source_case_id FROM fx_edges ORDER BY md5(concat(edge_id, '|20261126')), edge_id LIMIT 60")
 def _(t):
     return topk.sample_rows(t.edges.select("edge_id", "source_case_id"), ["edge_id"], 60, 20261126)
 

@@ -130,13 +130,18 @@ def _(t):
 
 
 @query("match_by_date_and_token", "J12", """
-WITH e AS (SELECT o_orderkey AS entry_id, CAST(o_orderdate AS DATE) AS d, concat(CAST(o_orderkey % 100000 AS VARCHAR), '/', CASE WHEN o_orderstatus = 'O' THEN left(CAST(o_custkey AS VARCHAR), 1) ELSE CAST(o_custkey AS VARCHAR) END) AS token FROM orders)
+WITH e AS (SELECT o_orderkey AS entry_id, CAST(o_orderdate AS DATE) AS d, concat(CAST(o_orderkey % 100000 AS VARCHAR), '/', CASE WHEN o_orderstatus = 'O' THEN left(CAST(o_custkey AS VARCHAR), 1) ELSE CAST(o_custkey AS VARCHAR) END) AS token FROM orders
+  UNION ALL SELECT -r.doc_id, r.date_decision, substring(replace(lower(zaaknummer), ' ', ''), 1 + CAST(r.doc_id % 3 AS INT), 4) FROM fx_rs_docs r)
 SELECT entry_id, doc_id FROM e JOIN fx_rs_docs r ON r.date_decision = e.d WHERE length(token) >= 4 AND contains(replace(lower(zaaknummer), ' ', ''), token)""")
 def _(t):
     cust = F.col("o_custkey").cast("string")
     tail = F.when(F.col("o_orderstatus") == "O", F.left(cust, F.lit(1))).otherwise(cust)
     entries = t.orders.select(F.col("o_orderkey").alias("entry_id"), F.col("o_orderdate").cast("date").alias("date_decision"),
                               F.concat((F.col("o_orderkey") % 100000).cast("string"), F.lit("/"), tail).alias("token"))
+    # short pieces of docket numbers, mostly without a digit
+    number = F.replace(F.lower("zaaknummer"), F.lit(" "), F.lit(""))
+    pieces = t.rs_docs.select((-F.col("doc_id")).alias("entry_id"), "date_decision", F.substring(number, (F.col("doc_id") % 3 + 1).cast("int"), F.lit(4)).alias("token"))
+    entries = entries.unionByName(pieces)
     return J.match_by_date_and_token(entries, t.rs_docs).select("entry_id", "doc_id")
 
 

@@ -158,7 +158,7 @@ CATALOG_SQL = """cat AS (SELECT g AS t, CASE WHEN bool_or(doctype LIKE '%JUD%')
   min(decided) AS td, min(item_id) AS item, min(ecli) AS ecli, min(appno) AS appno,
   coalesce(max(CASE WHEN doctype = 'HEJUD' THEN docname END), max(CASE WHEN doctype = 'HFJUD' THEN docname END), max(docname)) AS docname,
   coalesce(max(CASE WHEN doctype = 'HEJUD' THEN conclusion END), max(CASE WHEN doctype = 'HFJUD' THEN conclusion END), max(conclusion)) AS conclusion FROM fx_echr_docs GROUP BY 1)"""
-_SECONDARY_SQL = """CASE WHEN kind = 'judgment' THEN CASE WHEN contains(docname, 'JUST SATISFACTION') THEN 'just_satisfaction' WHEN contains(docname, 'REVISION') THEN 'revision' WHEN conclusion LIKE 'Non-pecuniary%' THEN 'just_satisfaction' WHEN conclusion LIKE 'Struck out%' THEN 'striking_out' END END"""
+_SECONDARY_SQL = """CASE WHEN kind = 'judgment' THEN CASE WHEN (contains(docname, 'JUST SATISFACTION') OR contains(docname, 'ÉQUITABLE')) THEN 'just_satisfaction' WHEN (contains(docname, 'REVISION') OR contains(docname, 'RÉVISION')) THEN 'revision' WHEN conclusion LIKE 'Non-pecuniary%' THEN 'just_satisfaction' WHEN conclusion LIKE 'Struck out%' THEN 'striking_out' END END"""
 
 
 def scl_sql(entries: str) -> str:
@@ -166,7 +166,7 @@ def scl_sql(entries: str) -> str:
     steps = (("a", "f_date", "'_exact_date'"), ("b", "f_year", "'_year'"), ("c", "f_gc", "'_gc'"),
              ("f", "f_sec", "concat('_', coalesce(sec, 'principal'))"), ("g", "f_own", "'_ecli_appno'"))
     sql = f"""{CATALOG_SQL}, {entries},
- pars AS (SELECT *, ltrim(regexp_extract(e, '(\\d+/\\d\\d)', 1), '0') AS appno, contains(e, '(dec.)') AS cue, contains(e, '[GC]') AS gc, CASE WHEN contains(e, 'just satisfaction') THEN 'just_satisfaction' END AS sec, {ENTRY_DATE_SQL} AS d FROM ent),
+ pars AS (SELECT *, ltrim(regexp_extract(e, '(\\d+/\\d\\d)', 1), '0') AS appno, contains(e, '(dec.)') AS cue, contains(e, '[GC]') AS gc, CASE WHEN (contains(e, 'just satisfaction') OR contains(e, 'ÉQUITABLE')) THEN 'just_satisfaction' END AS sec, {ENTRY_DATE_SQL} AS d FROM ent),
  pars2 AS (SELECT *, {ENTRY_YEAR_SQL} AS y FROM pars),
  cand AS (SELECT p.*, c.t, c.kind, c.td, c.item, (kind = 'decision') = cue AS f_kind, coalesce(td = d, false) AS f_date, coalesce(year(td) = y, false) AS f_year, is_gc AND gc AS f_gc,
    CASE WHEN sec IS NULL THEN ({_SECONDARY_SQL}) IS NULL ELSE coalesce(({_SECONDARY_SQL}) = sec, false) END AS f_sec, coalesce(regexp_matches(c.ecli, '(JUD|DEC|COM)\\d{{9}}$') AND p.appno = c.appno, false) AS f_own
@@ -375,7 +375,7 @@ def _loader_names(t):
 WITH e AS (SELECT *, CASE WHEN source_dataset = 'ds_O' THEN 'rs_body_cite' WHEN weight % 2 = 0 THEN 'cellar_sparql' ELSE 'other' END AS ds FROM fx_edges), cx AS (SELECT celex_id, min(case_id) AS id FROM fx_cases GROUP BY 1),
  h AS (SELECT edge_id, source_case_id, relation_type, ds, c.case_id AS tgt, 'ecli' AS scheme FROM e JOIN fx_cases c ON c.ecli = target_ecli_raw WHERE target_case_id IS NULL AND ds = 'rs_body_cite'
    UNION ALL SELECT edge_id, source_case_id, relation_type, ds, cx.id, 'celex' FROM e JOIN cx ON cx.celex_id = target_celex_raw WHERE target_case_id IS NULL AND target_ecli_raw IS NULL AND ds = 'cellar_sparql')
-SELECT edge_id, tgt AS target_case_id, ds AS source_dataset, scheme FROM h WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.target_case_id = h.tgt AND x.source_case_id = h.source_case_id AND x.relation_type = h.relation_type AND x.ds = h.ds)""")
+SELECT min(edge_id) AS edge_id, tgt AS target_case_id, ds AS source_dataset, arg_min(scheme, edge_id) AS scheme FROM h WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.target_case_id = h.tgt AND x.source_case_id = h.source_case_id AND x.relation_type = h.relation_type AND x.ds = h.ds) GROUP BY source_case_id, tgt, relation_type, ds""")
 def _(t):
     return L.link_existing(_loader_names(t), t.cases.select("case_id", "ecli", "celex_id"))
 

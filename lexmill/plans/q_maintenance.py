@@ -97,10 +97,12 @@ def _(t):
 
 
 @query("delete_cases", "M09", """
-WITH d AS (SELECT case_id, ecli, celex_id FROM fx_cases WHERE sector = '8')
+WITH d AS (SELECT case_id, CASE WHEN case_id % 5 > 0 THEN ecli END AS ecli, celex_id FROM fx_cases WHERE sector = '8')
 SELECT edge_id, CASE WHEN d.case_id IS NULL THEN target_case_id END AS target_case_id, coalesce(target_ecli_raw, d.ecli) AS target_ecli_raw, coalesce(target_celex_raw, d.celex_id) AS target_celex_raw FROM fx_edges e LEFT JOIN d ON d.case_id = target_case_id WHERE source_case_id NOT IN (SELECT case_id FROM d)""")
 def _(t):
-    after, _ = M.delete_cases(t.edges, t.cases, t.cases.where("sector = '8'").select("case_id"))
+    # some cases have no ECLI; their links fall back to the CELEX number
+    cases = t.cases.withColumn("ecli", F.when(F.col("case_id") % 5 > 0, F.col("ecli")))
+    after, _ = M.delete_cases(t.edges, cases, t.cases.where("sector = '8'").select("case_id"))
     return after.select("edge_id", "target_case_id", "target_ecli_raw", "target_celex_raw")
 
 
@@ -157,7 +159,9 @@ def _(t):
 
 
 _MERGED = """p AS (SELECT person_id, full_name, CASE WHEN full_name LIKE 'Judge %' THEN CASE WHEN CAST(substring(full_name, 7) AS INT) % 2 = 1 THEN concat('Judge ', CAST(CAST(substring(full_name, 7) AS INT) // 2 AS VARCHAR)) END END AS new_name, segment FROM fx_people),
- n AS (SELECT *, coalesce(new_name, full_name) AS final_name FROM p), h AS (SELECT final_name, arg_min(person_id, struct_pack(m := new_name IS NOT NULL, i := person_id)) AS keep_id FROM n GROUP BY 1)"""
+ l AS (SELECT DISTINCT new_name FROM p WHERE new_name IS NOT NULL), held AS (SELECT full_name AS new_name, min(person_id) AS id FROM p WHERE new_name IS NULL GROUP BY 1), free AS (SELECT new_name, min(person_id) AS id FROM p WHERE new_name IS NOT NULL GROUP BY 1),
+ n AS (SELECT p.*, coalesce(p.new_name, full_name) AS final_name, CASE WHEN p.new_name IS NULL THEN person_id ELSE coalesce(held.id, free.id) END AS keep_id FROM p LEFT JOIN held ON held.new_name = p.new_name LEFT JOIN free ON free.new_name = p.new_name),
+ h AS (SELECT DISTINCT final_name, keep_id FROM n)"""
 
 
 def _merge(t):
@@ -168,14 +172,15 @@ def _merge(t):
     return M.merge_people(people, t.person_links.select("case_id", "person_id", "role"), merges)
 
 
-@query("merge_people", "M12", f"""WITH {_MERGED}, a AS (SELECT final_name, segment AS a FROM n UNION SELECT final_name, full_name FROM n WHERE new_name IS NOT NULL)
-SELECT keep_id AS person_id, final_name AS full_name, coalesce((SELECT string_agg(DISTINCT a, '|' ORDER BY a) FROM a WHERE a.final_name = h.final_name AND a <> h.final_name), '') AS aliases FROM h""")
+@query("merge_people", "M12", f"""WITH {_MERGED}, a AS (SELECT keep_id, final_name, segment AS a FROM n UNION SELECT keep_id, final_name, full_name FROM n WHERE new_name IS NOT NULL),
+ g AS (SELECT keep_id, string_agg(DISTINCT a, '|' ORDER BY a) AS aliases FROM a WHERE a <> final_name GROUP BY 1)
+SELECT keep_id AS person_id, final_name AS full_name, coalesce(aliases, '') AS aliases FROM h LEFT JOIN g USING (keep_id)""")
 def _(t):
     people, _ = _merge(t)
     return people.select("person_id", "full_name", F.array_join("aliases", "|").alias("aliases"))
 
 
-@query("merge_people_links", "M12", f"""WITH {_MERGED} SELECT DISTINCT case_id, keep_id AS person_id, role FROM fx_person_links JOIN n USING (person_id) JOIN h USING (final_name)""")
+@query("merge_people_links", "M12", f"""WITH {_MERGED} SELECT DISTINCT case_id, keep_id AS person_id, role FROM fx_person_links JOIN n USING (person_id)""")
 def _(t):
     return _merge(t)[1]
 
@@ -247,10 +252,10 @@ def _(t):
 
 
 @query("windows_to_process", "M17", """
-WITH s AS (SELECT window_id, arg_max(status, event_id) AS status, arg_max(attempts, event_id) AS attempts FROM fx_windows WHERE event_type <> 'click' GROUP BY 1), w AS (SELECT DISTINCT window_id FROM fx_windows UNION SELECT DISTINCT concat('w', CAST(user_id + 100 AS VARCHAR)) FROM fx_windows)
+WITH s AS (SELECT window_id, arg_max(status, event_id) AS status, arg_max(attempts, event_id) AS attempts FROM fx_windows GROUP BY 1), w AS (SELECT DISTINCT window_id FROM fx_windows UNION SELECT DISTINCT concat('w', CAST(user_id + 100 AS VARCHAR)) FROM fx_windows)
 SELECT window_id, status, CAST(attempts AS BIGINT) AS attempts FROM w LEFT JOIN s USING (window_id) WHERE status IS NULL OR (status NOT IN ('completed', 'exhausted') AND NOT (attempts >= 3 AND status <> 'pending'))""")
 def _(t):
-    state = M.window_state(t.windows.where("event_type <> 'click'"))
+    state = M.window_state(t.windows)
     wanted = t.windows.select("window_id").union(t.windows.select(F.concat(F.lit("w"), (F.col("user_id") + 100).cast("string"))))
     return M.windows_to_process(wanted, state, 3).withColumn("attempts", F.col("attempts").cast("long"))
 

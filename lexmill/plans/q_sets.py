@@ -60,20 +60,20 @@ def _scl_entries(t):
 
 
 @query("classify_dropped_edges", "U04", r"""
-WITH cat AS (SELECT g AS t, CASE WHEN bool_or(doctype LIKE '%JUD%') THEN 'judgment' WHEN bool_or(doctype LIKE '%DEC%') THEN 'decision' ELSE 'communicated' END AS kind, min(decided) AS d, min(appno) AS appno, bool_or(doctype_branch = 'GRANDCHAMBER') AS gc FROM fx_echr_docs GROUP BY 1),
- src AS (SELECT source_case_id AS s, min(source_date) AS d FROM fx_scl WHERE line_no <> 7 GROUP BY 1),
+WITH cat AS MATERIALIZED (SELECT g AS t, CASE WHEN bool_or(doctype LIKE '%JUD%') THEN 'judgment' WHEN bool_or(doctype LIKE '%DEC%') THEN 'decision' ELSE 'communicated' END AS kind, min(decided) AS d, min(appno) AS appno, bool_or(doctype_branch = 'GRANDCHAMBER') AS gc FROM fx_echr_docs GROUP BY 1),
+ src AS MATERIALIZED (SELECT source_case_id AS s, min(source_date) AS d FROM fx_scl WHERE line_no <> 7 GROUP BY 1),
  ent AS (SELECT source_case_id AS s, trim(unnest(string_split(scl, ';'))) AS e FROM fx_scl),
  num AS (SELECT s, ltrim(regexp_extract(e, '(\d+/\d\d)', 1), '0') AS appno, contains(e, '(dec.)') AS cue FROM ent),
- cited AS (SELECT s, appno, bool_or(cue) AS any_cue, bool_and(cue) AS all_cue FROM num GROUP BY 1, 2),
- cand AS (SELECT DISTINCT s, t, c.appno, gc FROM cited c JOIN cat ON cat.appno = c.appno),
- new AS (SELECT * FROM cand WHERE NOT gc),
- dropped AS (SELECT s, t FROM cand WHERE gc UNION SELECT source_case_id, target_case_id FROM fx_edges WHERE target_case_id IS NOT NULL AND relation_type <> 'joins')
+ cited AS MATERIALIZED (SELECT s, appno, bool_or(cue) AS any_cue, bool_and(cue) AS all_cue FROM num GROUP BY 1, 2),
+ cand AS MATERIALIZED (SELECT DISTINCT s, t, c.appno, gc FROM cited c JOIN cat ON cat.appno = c.appno),
+ new AS MATERIALIZED (SELECT DISTINCT s, appno FROM cand WHERE NOT gc),
+ dropped AS MATERIALIZED (SELECT s, t FROM cand WHERE gc UNION SELECT source_case_id, target_case_id FROM fx_edges WHERE target_case_id IS NOT NULL AND relation_type <> 'joins')
 SELECT p.s AS source_case_id, p.t AS target_case_id, CASE WHEN p.s = p.t THEN 'self_loop' WHEN cat.t IS NULL THEN 'missing_target_metadata' WHEN kind = 'communicated' THEN 'communicated_target' WHEN src.s IS NULL THEN 'source_no_scl'
   WHEN cat.d > src.d THEN 'future_target_date' WHEN cited.s IS NULL THEN 'non_owner_appno_fanout'
-  WHEN NOT EXISTS (SELECT 1 FROM new WHERE new.s = p.s AND new.appno = cat.appno) THEN 'unmatched_with_owner_appno_in_scl'
+  WHEN new.s IS NULL THEN 'unmatched_with_owner_appno_in_scl'
   WHEN kind = 'decision' AND NOT any_cue THEN 'wrong_doctype_decision_without_dec_cue' WHEN kind = 'judgment' AND all_cue THEN 'wrong_doctype_judgment_for_dec_cue'
   WHEN kind = 'judgment' THEN 'extra_judgment_for_same_appno' ELSE 'extra_decision_for_same_appno' END AS reason
-FROM dropped p LEFT JOIN cat ON cat.t = p.t LEFT JOIN src ON src.s = p.s LEFT JOIN cited ON cited.s = p.s AND cited.appno = cat.appno""")
+FROM dropped p LEFT JOIN cat ON cat.t = p.t LEFT JOIN src ON src.s = p.s LEFT JOIN cited ON cited.s = p.s AND cited.appno = cat.appno LEFT JOIN new ON new.s = p.s AND new.appno = cat.appno""")
 def _(t):
     catalog, entries = _catalog(t), _scl_entries(t)
     sources = t.scl.where("line_no <> 7").groupBy(F.col("source_case_id").alias("case_id")).agg(F.min("source_date").alias("date_decision"))
