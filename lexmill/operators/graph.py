@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from .dedup import top_per_key
 from .filters import tokens
-from .lineage import cut
+from .lineage import cut, forget
 
 
 def build_edges(cases: DataFrame, source: str = "celex_id", cell: str = "cites") -> DataFrame:
@@ -28,23 +28,32 @@ def _simple(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("source_case_id").alias("src"), F.col("target_case_id").alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
 
 
-def pagerank(edges: DataFrame, alpha: float = 0.85, iterations: int = 20) -> DataFrame:
-    """PageRank with the mass of dangling nodes shared by all; fixed number of rounds."""
+def pagerank(edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """PageRank with the mass of dangling nodes shared by all, until a round changes the ranks by less than ``tolerance`` a node."""
     e = _simple(edges)
     out = e.groupBy("src").agg(F.count("*").alias("degree"))
     e = cut(e.join(out, "src").withColumn("share", 1.0 / F.col("degree")).select("src", "dst", "share"))
-    nodes = cut(e.select(F.col("src").alias("node")).union(e.select("dst")).distinct())
-    n = nodes.count()
-    dangling = cut(nodes.join(e.select(F.col("src").alias("node")), "node", "left_anti"))
-    rank = nodes.withColumn("rank", F.lit(1.0 / n))
-    for _ in range(iterations):
-        # the ranks feed two branches, so each round is written once and read back
-        flow = e.join(rank.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(
+    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
+    sources = e.select(F.col("src").alias("node"), F.lit(True).alias("cites")).distinct()
+    nodes = cut(nodes.join(sources, "node", "left").select("node", F.col("cites").isNull().alias("dangling")))
+    n = max(1, nodes.count())
+    rank = cut(nodes.withColumn("rank", F.lit(1.0 / n)).withColumn("change", F.lit(0.0)))
+    while True:
+        flow = e.join(rank.select(F.col("node").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("node")).agg(
             F.sum(F.col("rank") * F.col("share")).alias("flow"))
-        lost = rank.join(dangling, "node", "left_semi").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
-        rank = cut(nodes.join(flow, "node", "left").select(
-            "node", (F.lit((1 - alpha) / n + alpha * lost / n) + alpha * F.coalesce("flow", F.lit(0.0))).alias("rank")))
-    return rank
+        lost = rank.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0))).first()[0]
+        new = F.lit((1 - alpha) / n + alpha * lost / n) + alpha * F.coalesce("flow", F.lit(0.0))
+        moved = cut(rank.join(flow, "node", "left").select("node", "dangling", new.alias("rank"), F.abs(new - F.col("rank")).alias("change")))
+        forget(rank)
+        rank = moved
+        if (rank.agg(F.sum("change")).first()[0] or 0.0) < n * tolerance:
+            forget(nodes, e)
+            return rank.select("node", "rank")
+
+
+def top_ranked(ranks: DataFrame, n: int = 10) -> DataFrame:
+    """The n nodes of highest rank, ties by node."""
+    return ranks.orderBy(F.col("rank").desc(), "node").limit(n)
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -63,26 +72,39 @@ def _push(e: DataFrame, values: DataFrame, column: str, read: str, write: str) -
 
 def _scaled(values: DataFrame, column: str) -> DataFrame:
     """Values written once, then divided by their length."""
-    values = cut(values)
-    norm = values.agg(F.sqrt(F.sum(F.col(column) * F.col(column)))).first()[0] or 1.0
-    return values.withColumn(column, F.col(column) / F.lit(norm))
+    written = cut(values)
+    norm = written.agg(F.sqrt(F.sum(F.col(column) * F.col(column)))).first()[0] or 1.0
+    out = written.withColumn(column, F.col(column) / F.lit(norm))
+    out._cut_path = written._cut_path
+    return out
+
 
+def network_metrics(edges: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """Degrees, hub, authority and eigenvector scores by power iteration with unit length.
 
-def network_metrics(edges: DataFrame, iterations: int = 20) -> DataFrame:
-    """Degrees, hub, authority and eigenvector scores by power iteration with unit length."""
+    Ends with the round in which each kind of score moves by less than ``tolerance`` a node.
+    """
     e = cut(_simple(edges))
-    deg = degrees(edges)
-    nodes = cut(deg.select("node"))
-    hub = nodes.withColumn("hub", F.lit(1.0))
-    eigen = nodes.withColumn("eigen", F.lit(1.0))
-    authority = None
-    for _ in range(iterations):
-        authority = _scaled(_push(e, hub, "hub", "src", "dst").withColumnRenamed("hub", "authority"), "authority")
-        hub = _scaled(_push(e, authority, "authority", "dst", "src").withColumnRenamed("authority", "hub"), "hub")
+    deg = cut(degrees(edges))
+    hub = deg.select("node", F.lit(1.0).alias("hub"))
+    authority = deg.select("node", F.lit(0.0).alias("authority"))
+    eigen, n = deg.select("node", F.lit(1.0).alias("eigen")), deg.count()
+
+    def moved(old: DataFrame, new: DataFrame, column: str) -> float:
+        both = old.select("node", F.col(column).alias("a")).join(new.select("node", F.col(column).alias("b")), "node", "full_outer")
+        return both.agg(F.sum(F.abs(F.coalesce("a", F.lit(0.0)) - F.coalesce("b", F.lit(0.0))))).first()[0] or 0.0
+
+    while True:
+        new_authority = _scaled(_push(e, hub, "hub", "src", "dst").withColumnRenamed("hub", "authority"), "authority")
+        new_hub = _scaled(_push(e, new_authority, "authority", "dst", "src").withColumnRenamed("authority", "hub"), "hub")
         # own value is added, so the iteration also settles on graphs without cycles
         pulled = _push(e, eigen, "eigen", "src", "dst").withColumnRenamed("eigen", "pulled")
-        eigen = eigen.join(pulled, "node", "left").select("node", (F.col("eigen") + F.coalesce("pulled", F.lit(0.0))).alias("eigen"))
-        eigen = _scaled(eigen, "eigen")
+        new_eigen = _scaled(eigen.join(pulled, "node", "left").select("node", (F.col("eigen") + F.coalesce("pulled", F.lit(0.0))).alias("eigen")), "eigen")
+        change = max(moved(hub, new_hub, "hub"), moved(authority, new_authority, "authority"), moved(eigen, new_eigen, "eigen"))
+        forget(hub, authority, eigen)
+        hub, authority, eigen = new_hub, new_authority, new_eigen
+        if change < max(1, n) * tolerance:
+            break
     zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
     return deg.join(hub, "node", "left").join(authority, "node", "left").join(eigen, "node", "left").select(
         "node", "in_degree", "out_degree", zero("hub"), zero("authority"), zero("eigen"))
@@ -201,24 +223,27 @@ def _nearest_block(segments: DataFrame, queries: DataFrame, k: int) -> DataFrame
     return segments.select("segment_id", "embedding").mapInPandas(local_top, "query_id long, segment_id long, similarity double")
 
 
-def clusters(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def clusters(edges: DataFrame) -> DataFrame:
     """Connected components: (node, component), the component named by its lowest node.
 
     Alternates two star operations on the edge list until it stops changing; the minimum per
-    node is a combining aggregate joined back, so hub neighbourhoods are never gathered.
+    node is a combining aggregate joined back, so hub neighbourhoods are never gathered. The
+    files of a round go when the next one is written.
     """
     both = _simple(edges)
     nodes = both.select(F.col("src").alias("node")).union(both.select("dst")).distinct()
     links = cut(both.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     mark = None
-    for _ in range(max_rounds):
-        links = cut(_small_star(cut(_large_star(links))))
+    while True:
+        stars = cut(_large_star(links))
+        settled = cut(_small_star(stars))
+        forget(links, stars)
+        links = settled
         now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == (now.n, now.h):
             return nodes.join(links.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select(
                 "node", F.coalesce("component", "node").alias("component"))
         mark = (now.n, now.h)
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -255,16 +280,20 @@ def expand(edges: DataFrame, ids: DataFrame, datasets: DataFrame, direction: str
     return out.distinct()
 
 
-def timeline(edges: DataFrame, cases: DataFrame, roots: DataFrame, relations: Sequence[str], depth: int) -> DataFrame:
-    """Cases reached from each root over typed relations, with the least number of steps and the date."""
-    steps = edges.where("target_case_id IS NOT NULL").where(F.col("relation_type").isin(list(relations))).select(
-        F.col("source_case_id").alias("case_id"), F.col("target_case_id").alias("next_id")).where("case_id <> next_id").distinct()
-    frontier = roots.select(F.col("case_id").alias("root"), "case_id").distinct().withColumn("step", F.lit(0))
-    seen = frontier
-    for level in range(1, depth + 1):
+def timeline(edges: DataFrame, cases: DataFrame, roots: DataFrame, relations: Sequence[str]) -> DataFrame:
+    """Cases reached from each root over typed relations, with the least number of steps and the date.
+
+    Goes on until no step reaches a new case.
+    """
+    steps = cut(edges.where("target_case_id IS NOT NULL").where(F.col("relation_type").isin(list(relations))).select(
+        F.col("source_case_id").alias("case_id"), F.col("target_case_id").alias("next_id")).where("case_id <> next_id").distinct())
+    frontier = cut(roots.select(F.col("case_id").alias("root"), "case_id").distinct().withColumn("step", F.lit(0)))
+    rounds, seen = [frontier._cut_path], frontier
+    while not frontier.isEmpty():
         reached = frontier.join(steps, "case_id").select("root", F.col("next_id").alias("case_id")).distinct()
-        frontier = cut(reached.join(seen, ["root", "case_id"], "left_anti").withColumn("step", F.lit(level)))
-        seen = seen.unionByName(frontier)
+        frontier = cut(reached.join(seen, ["root", "case_id"], "left_anti").withColumn("step", F.lit(len(rounds))))
+        rounds.append(frontier._cut_path)
+        seen = frontier.sparkSession.read.schema(frontier.schema).parquet(*rounds)  # one scan, however many rounds
     return seen.join(cases.select("case_id", "date_decision"), "case_id", "left")
 
 

@@ -30,4 +30,16 @@ def cut(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the files of results of ``cut`` that nothing reads any more, such as an earlier round."""
+    for df in frames:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -15,32 +15,48 @@ def _(t):
     return G.build_edges(t.cases)
 
 
-def _pagerank_sql(rounds):
-    sql = f"WITH {_E}, d AS (SELECT src, 1.0 / count(*) AS share FROM e GROUP BY 1), k AS MATERIALIZED (SELECT count(*) AS n FROM n), r0 AS MATERIALIZED (SELECT node, CAST(1.0 AS DOUBLE) / k.n AS rank FROM n, k)"
+def _stop_sql(names, rounds, tolerance):
+    """CTEs: ``stop``, the first round after which every table moved by less than the tolerance a node; ``<name>s``, the table of that round."""
+    moved = lambda c, i: f"(SELECT sum(abs(coalesce(p.v, 0) - coalesce(q.v, 0))) FROM {c}{i} p FULL JOIN {c}{i - 1} q ON p.node = q.node)"
+    changes = " UNION ALL ".join(f"SELECT {i} AS i, greatest({', '.join(moved(c, i) for c in names)}) AS change" for i in range(1, rounds + 1))
+    sql = f", moves AS MATERIALIZED ({changes}), stop AS MATERIALIZED (SELECT min(i) AS i FROM moves WHERE change < (SELECT count(*) FROM n) * {tolerance})"
+    for c in names:
+        sql += f", {c}s AS (" + " UNION ALL ".join(f"SELECT node, v FROM {c}{i} WHERE (SELECT i FROM stop) = {i}" for i in range(1, rounds + 1)) + ")"
+    return sql
+
+
+def _pagerank_sql(rounds, tolerance):
+    sql = f"WITH {_E}, d AS (SELECT src, 1.0 / count(*) AS share FROM e GROUP BY 1), k AS MATERIALIZED (SELECT count(*) AS n FROM n), r0 AS MATERIALIZED (SELECT node, CAST(1.0 AS DOUBLE) / k.n AS v FROM n, k)"
     for i in range(rounds):
-        sql += (f", r{i + 1} AS MATERIALIZED (SELECT n.node, 0.15 / k.n + 0.85 * (coalesce(f.flow, 0) + l.lost / k.n) AS rank FROM n CROSS JOIN k CROSS JOIN (SELECT coalesce(sum(rank), 0) AS lost FROM r{i} WHERE node NOT IN (SELECT src FROM e)) l "
-                f"LEFT JOIN (SELECT dst AS node, sum(rank * CAST(share AS DOUBLE)) AS flow FROM e JOIN d USING (src) JOIN r{i} ON r{i}.node = e.src GROUP BY 1) f ON f.node = n.node)")
-    return sql + f" SELECT node, round(rank, 9) AS rank FROM r{rounds}"
+        sql += (f", r{i + 1} AS MATERIALIZED (SELECT n.node, 0.15 / k.n + 0.85 * (coalesce(f.flow, 0) + l.lost / k.n) AS v FROM n CROSS JOIN k CROSS JOIN (SELECT coalesce(sum(v), 0) AS lost FROM r{i} WHERE node NOT IN (SELECT src FROM e)) l "
+                f"LEFT JOIN (SELECT dst AS node, sum(v * CAST(share AS DOUBLE)) AS flow FROM e JOIN d USING (src) JOIN r{i} ON r{i}.node = e.src GROUP BY 1) f ON f.node = n.node)")
+    return sql + _stop_sql(["r"], rounds, tolerance)
 
 
-@query("pagerank", "X02", _pagerank_sql(6))
+@query("pagerank", "X02", _pagerank_sql(25, 1e-6) + " SELECT node, round(v, 9) AS rank FROM rs")
 def _(t):
-    return G.pagerank(t.edges, iterations=6).withColumn("rank", F.round("rank", 9))
+    return G.pagerank(t.edges).withColumn("rank", F.round("rank", 9))
 
 
-def _metrics_sql(rounds):
-    sql = f"WITH {_E}, h0 AS (SELECT node, CAST(1.0 AS DOUBLE) AS v FROM n), g0 AS (SELECT node, CAST(1.0 AS DOUBLE) AS v FROM n)"
+@query("pagerank_top", "X02", _pagerank_sql(25, 1e-6) + " SELECT node, round(v, 9) AS rank FROM rs ORDER BY v DESC, node LIMIT 10")
+def _(t):
+    return G.top_ranked(G.pagerank(t.edges)).withColumn("rank", F.round("rank", 9))
+
+
+def _metrics_sql(rounds, tolerance):
+    sql = f"WITH {_E}, h0 AS (SELECT node, CAST(1.0 AS DOUBLE) AS v FROM n), a0 AS (SELECT node, CAST(0.0 AS DOUBLE) AS v FROM n), g0 AS (SELECT node, CAST(1.0 AS DOUBLE) AS v FROM n)"
     for i in range(1, rounds + 1):
         sql += (f", ta{i} AS MATERIALIZED (SELECT dst AS node, sum(v) AS v FROM e JOIN h{i - 1} h ON h.node = src GROUP BY 1), a{i} AS MATERIALIZED (SELECT node, v / sqrt((SELECT sum(v * v) FROM ta{i})) AS v FROM ta{i})"
                 f", th{i} AS MATERIALIZED (SELECT src AS node, sum(v) AS v FROM e JOIN a{i} a ON a.node = dst GROUP BY 1), h{i} AS MATERIALIZED (SELECT node, v / sqrt((SELECT sum(v * v) FROM th{i})) AS v FROM th{i})"
                 f", tg{i} AS MATERIALIZED (SELECT g.node, g.v + coalesce(p.v, 0) AS v FROM g{i - 1} g LEFT JOIN (SELECT dst AS node, sum(v) AS v FROM e JOIN g{i - 1} x ON x.node = src GROUP BY 1) p ON p.node = g.node), g{i} AS MATERIALIZED (SELECT node, v / sqrt((SELECT sum(v * v) FROM tg{i})) AS v FROM tg{i})")
-    return sql + (f" SELECT n.node, coalesce(i.c, 0) AS in_degree, coalesce(o.c, 0) AS out_degree, round(coalesce(h.v, 0), 7) AS hub, round(coalesce(a.v, 0), 7) AS authority, round(coalesce(g.v, 0), 7) AS eigen FROM n "
-                  f"LEFT JOIN (SELECT dst, count(*) AS c FROM e GROUP BY 1) i ON i.dst = node LEFT JOIN (SELECT src, count(*) AS c FROM e GROUP BY 1) o ON o.src = node LEFT JOIN h{rounds} h ON h.node = n.node LEFT JOIN a{rounds} a ON a.node = n.node LEFT JOIN g{rounds} g ON g.node = n.node")
+    return sql + _stop_sql(["h", "a", "g"], rounds, tolerance) + (
+        " SELECT n.node, coalesce(i.c, 0) AS in_degree, coalesce(o.c, 0) AS out_degree, round(coalesce(h.v, 0), 7) AS hub, round(coalesce(a.v, 0), 7) AS authority, round(coalesce(g.v, 0), 7) AS eigen FROM n "
+        "LEFT JOIN (SELECT dst, count(*) AS c FROM e GROUP BY 1) i ON i.dst = node LEFT JOIN (SELECT src, count(*) AS c FROM e GROUP BY 1) o ON o.src = node LEFT JOIN hs h ON h.node = n.node LEFT JOIN \"as\" a ON a.node = n.node LEFT JOIN gs g ON g.node = n.node")
 
 
-@query("network_metrics", "X03", _metrics_sql(3))
+@query("network_metrics", "X03", _metrics_sql(24, 1e-4).replace(", as AS (", ', "as" AS ('))
 def _(t):
-    out = G.network_metrics(t.edges, iterations=3)
+    out = G.network_metrics(t.edges, tolerance=1e-4)
     return out.withColumns({c: F.round(c, 7) for c in ("hub", "authority", "eigen")})
 
 
@@ -122,11 +138,11 @@ def _(t):
 
 
 @query("procedural_timeline", "X09", """
-WITH RECURSIVE s AS (SELECT DISTINCT source_case_id AS a, target_case_id AS b FROM fx_edges WHERE target_case_id IS NOT NULL AND relation_type IN ('appeal_of', 'joins') AND source_case_id <> target_case_id),
- w AS (SELECT DISTINCT case_id AS root, case_id, 0 AS step FROM fx_texts UNION SELECT w.root, s.b, w.step + 1 FROM w JOIN s ON s.a = w.case_id WHERE w.step < 4)
+WITH RECURSIVE s AS (SELECT DISTINCT source_case_id AS a, target_case_id AS b FROM fx_edges WHERE target_case_id IS NOT NULL AND relation_type = 'appeal_of' AND source_case_id <> target_case_id),
+ w AS (SELECT DISTINCT case_id AS root, case_id, 0 AS step FROM fx_texts UNION SELECT w.root, s.b, w.step + 1 FROM w JOIN s ON s.a = w.case_id WHERE w.step < 200)
 SELECT root, w.case_id, CAST(min(step) AS BIGINT) AS step, CAST(c.date_decision AS VARCHAR) AS day FROM w LEFT JOIN fx_cases c ON c.case_id = w.case_id GROUP BY 1, 2, 4""")
 def _(t):
-    out = G.timeline(t.edges, t.cases, t.texts, ["appeal_of", "joins"], 4)
+    out = G.timeline(t.edges, t.cases, t.texts, ["appeal_of"])
     return out.select("root", "case_id", F.col("step").cast("long").alias("step"), F.col("date_decision").cast("string").alias("day"))
 
 

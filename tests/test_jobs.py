@@ -139,7 +139,7 @@ def test_clusters_match_union_find(spark):
 
 def test_pagerank_mass_is_kept(spark):
     df = spark.createDataFrame([(1, 2), (2, 3), (4, 3), (1, 3)], "source_case_id long, target_case_id long")
-    out = graph.pagerank(df, iterations=4)
+    out = graph.pagerank(df)
     assert abs(out.agg(F.sum("rank")).first()[0] - 1) < 1e-9
     assert out.orderBy(F.desc("rank")).first().node == 3
 
