@@ -209,7 +209,8 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS,
         "set", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "set").alias("class"))
     named = signed.select("id", "k1", "k2", "set").where("set IS NOT NULL").join(facts, "set")
     first = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("id"), F.col("k2").alias("k2"))
-    best = named.groupBy("class").agg(F.min(first).alias("best"))
+    # written, so that the join back to the members of a large class is one whose partitions can be split
+    best = cut(named.groupBy("class").agg(F.min(first).alias("best")))
     found = named.join(best, "class").select(
         "id", "k1", "k2", F.col("best.id").alias("class_id"), F.col("links").alias("n_links"), F.col("copies").alias("n_copies"),
         (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("k2") == F.col("best.k2"))).alias("stays"))
