@@ -100,7 +100,7 @@ def _count(order: int, shards: int):
     """Counts of each slice, packed by shard: kind 0 words with whole keys, kind n n-grams, short keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE_BYTES // 2):
             t = tokens(batch.column("text"), order)
             ends = np.uint64(batch.num_rows)
             for kind, keys in enumerate(t.keys):
@@ -230,7 +230,7 @@ def score(docs: DataFrame, model: Model, base: float = BASE, mu: float = MU, id_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = model.tokens + 0.5 * (model.vocabulary + 1)
-        for batch in pieces(batches, limit=PIECE_BYTES // 2):
+        for batch in pieces(batches, limit=3 * PIECE_BYTES // 8):
             t = tokens(batch.column("text"), model.order)
             n = len(t.word)
             vocabulary, exact = np.append(t.hashes, _END), np.zeros(len(t.hashes) + 1, np.int64)
