@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -223,3 +225,25 @@ def sorted_json(mapping) -> Column:
     """JSON text of a string map, keys sorted."""
     m = as_col(mapping)
     return spaced_json(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m)))))
+
+
+#: names of HTML characters, from the standard library's table
+_ENTITIES = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
+
+
+def unescape_html(c) -> Column:
+    """Character references of HTML, by name or number, as characters; unknown ones stay."""
+    c = as_col(c)
+    shape = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+
+    def one(ref: Column) -> Column:
+        body = F.substring(ref, F.lit(2), F.length(ref) - 2)
+        number = F.when(F.lower(body).startswith("#x"), F.conv(F.substring(body, 3, 6), 16, 10)).otherwise(F.substring(body, 2, 7)).try_cast("int")
+        as_char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.coalesce(F.when(F.startswith(body, F.lit("#")), F.when(valid, as_char)).otherwise(lookup(body, _ENTITIES)), ref)
+
+    found = F.transform(F.regexp_extract_all(c, F.lit(shape), F.lit(0)), one)
+    pieces = lambda v: F.transform(v["rest"], lambda text, i: F.concat(text, F.coalesce(F.try_element_at(v["found"], i + 1), F.lit(""))))
+    decoded = let(F.struct(F.split(c, shape, -1).alias("rest"), found.alias("found")), lambda v: F.array_join(pieces(v), ""))
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)

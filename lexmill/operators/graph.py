@@ -7,8 +7,13 @@ Hubs never gather their neighbours: every round is a join on the edge and a comb
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,56 +176,53 @@ def trigram_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return scored.join(left.select(left_id, F.col(column).alias("a")), "a").join(right.select(right_id, F.col(column).alias("b")), "b").select(left_id, right_id, "similarity")
 
 
-MAX_QUERY_VECTORS = 10_000
+MAX_QUERY_VECTORS = 4_096
 
 
 def nearest(segments: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Exact cosine top-k per query vector.
+    """Exact cosine top-k per query vector: query_id, segment_id, similarity.
 
-    The query side is counted first and shipped to the tasks; each task keeps only its own
-    top k per query, so the shuffle carries k rows per query and task. Larger query sets go
-    through in blocks.
+    The query vectors are written to the shared folder once, and tasks read them from there block
+    by block; none pass the driver. Each task keeps only its own top k per query, so the shuffle
+    carries k rows per query and task. Without queries the result is empty.
     """
-    total = queries.count()
-    blocks = -(-total // MAX_QUERY_VECTORS)
-    parts = [_nearest_block(segments, queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) if blocks > 1 else queries, k)
-             for b in range(max(blocks, 1))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return top_per_key(out, ["query_id"], [F.col("similarity").desc(), F.col("segment_id").asc()], k)
-
-
-def _nearest_block(segments: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    import numpy as np
-
-    rows = queries.select("query_id", "vector").collect()
-    names = [r.query_id for r in rows]
-    matrix = np.array([r.vector for r in rows], dtype=np.float64)
-    matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+    asked = cut(queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")))
+    files = asked.inputFiles()
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    schema = f"query_id {kind(queries, 'query_id')}, segment_id {kind(segments, 'segment_id')}, similarity double"
 
     def local_top(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        best = None
-        for pdf in batches:
-            vectors = np.array(pdf["embedding"].tolist(), dtype=np.float64)
-            if not len(vectors):
+        best: dict[int, pd.DataFrame] = {}
+        for frame in batches:
+            if not len(frame):
                 continue
-            vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
-            scores = matrix @ vectors.T
-            ids = pdf["segment_id"].to_numpy()
-            part = []
-            for q, row in enumerate(scores):
-                order = np.lexsort((ids, -row))[:k]
-                part.append(pd.DataFrame({"query_id": names[q], "segment_id": ids[order], "similarity": row[order]}))
-            part = pd.concat(part)
-            best = part if best is None else pd.concat([best, part]).sort_values(
-                ["query_id", "similarity", "segment_id"], ascending=[True, False, True]).groupby("query_id").head(k)
-        if best is not None:
-            yield best
-
-    return segments.select("segment_id", "embedding").mapInPandas(local_top, "query_id long, segment_id long, similarity double")
+            vectors, names = _unit(frame["embedding"]), frame["segment_id"].to_numpy()
+            for number, block in enumerate(_query_blocks(files)):
+                scores = _unit(block["vector"]) @ vectors.T
+                limit = np.partition(scores, max(0, scores.shape[1] - k), axis=1)[:, max(0, scores.shape[1] - k)]
+                row, column = np.nonzero(scores >= limit[:, None])  # all ties at the limit stay in the race
+                found = pd.DataFrame({"query_id": block["query_id"].to_numpy()[row], "segment_id": names[column], "similarity": scores[row, column]})
+                found = pd.concat([best[number], found]) if number in best else found
+                found = found.sort_values(["query_id", "similarity", "segment_id"], ascending=[True, False, True])
+                best[number] = found.groupby("query_id").head(k)
+        yield from best.values()
+
+    found = segments.select("segment_id", "embedding").mapInPandas(local_top, schema)
+    return top_per_key(found, ["query_id"], [F.col("similarity").desc(), F.col("segment_id").asc()], k)
+
+
+def _unit(vectors: pd.Series) -> np.ndarray:
+    matrix = np.array(vectors.tolist(), dtype=np.float64)
+    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+
+
+def _query_blocks(files: Sequence[str]) -> Iterator[pd.DataFrame]:
+    for uri in files:
+        system, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+        with system.open_input_file(path) as f:
+            for batch in pq.ParquetFile(f).iter_batches(MAX_QUERY_VECTORS):
+                if batch.num_rows:
+                    yield batch.to_pandas()
 
 
 def clusters(edges: DataFrame) -> DataFrame:

@@ -44,13 +44,16 @@ def _matches(text: Column, pattern: Pattern, field: str) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(0))
     gaps = F.transform(F.split(text, pattern.regex, -1), F.length)
-    add = lambda a, b: a + b
+
+    def starts(sizes: Column) -> Column:
+        steps = F.transform(sizes, lambda size, i: F.struct(gaps[i].alias("gap"), size.alias("size")))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        return F.aggregate(steps, first, lambda acc, x: F.struct(
+            (acc["at"] + x["gap"] + x["size"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["gap"])).alias("starts")), lambda acc: acc["starts"])
 
     def all_hits(v: Column) -> Column:
         def one(match: Column, i: Column) -> Column:
-            before = F.aggregate(F.slice(v["gaps"], F.lit(1), i + 1), F.lit(0), add)
-            start = F.aggregate(F.slice(v["sizes"], F.lit(1), i), before, add)
-            return X.let(start, lambda s: F.struct(
+            return X.let(v["starts"][i], lambda s: F.struct(
                 F.lit(pattern.scheme).alias("scheme"), F.lit(field).alias("text_field"), match.alias("raw_text"),
                 s.alias("char_start"), (s + F.length(match)).alias("char_end"),
                 F.substring(text, F.greatest(s - 60, F.lit(0)) + 1, F.least(s, F.lit(60)) + F.length(match) + 60).alias("context")))
@@ -58,7 +61,7 @@ def _matches(text: Column, pattern: Pattern, field: str) -> Column:
         return F.transform(v["found"], one)
 
     # only texts with a match are split; everything is bound once per text
-    split_up = lambda f: F.struct(f.alias("found"), gaps.alias("gaps"), F.transform(f, F.length).alias("sizes"))
+    split_up = lambda f: F.struct(f.alias("found"), starts(F.transform(f, F.length)).alias("starts"))
     hits = X.let(found, lambda f: F.when(F.size(f) > 0, X.let(split_up(f), all_hits)))
     return F.when(text.rlike(pattern.cue), hits) if pattern.cue else hits
 
@@ -166,10 +169,8 @@ def link_text(texts: DataFrame, identifiers: DataFrame, corpus: str, fields: Seq
 
 def parse_referrals(docs: DataFrame, column: str = "national_judgement") -> DataFrame:
     """One row per national decision line of a notice: tag, court, date and number tokens."""
-    plain = lambda p: F.replace(F.replace(F.replace(F.replace(X.strip(p), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")),
-                                          F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
     lines = docs.select("case_id", F.posexplode(F.regexp_extract_all(column, F.lit(r"(?s)<p>(.*?)</p>"), F.lit(1))).alias("pos", "p"))
-    lines = lines.withColumn("p", plain("p"))
+    lines = lines.withColumn("p", X.strip(X.unescape_html("p")))
     tag, rest = F.regexp_extract("p", r"(?s)^\*([AIP]\d)\*\s*(.*)$", 1), F.regexp_extract("p", r"(?s)^\*([AIP]\d)\*\s*(.*)$", 2)
     rows = lines.withColumn("tag", tag).withColumn("rest", rest).where("tag <> ''")
     rows = rows.where(F.col("rest").rlike(fixed.NATIONAL_COURT) & ~F.col("rest").rlike(fixed.OTHER_COUNTRY_COURT))
@@ -490,16 +491,26 @@ def rs_outcomes(docs: DataFrame) -> DataFrame:
 
 
 def appeal_status(edges: DataFrame, cases: DataFrame) -> DataFrame:
-    """Decisions overturned by a successful appeal, whichever way the link is stored."""
-    links = edges.where("target_case_id IS NOT NULL AND source_case_id <> target_case_id AND relation_type IN ('appeal_of', 'subject_to_appeal')")
+    """Decisions overturned by a successful appeal, whichever way the link is stored.
+
+    Each relation counts only from the dataset that is trusted for it.
+    """
+    trusted = [(F.col("relation_type") == relation) & (F.col("source_dataset") == dataset) for relation, dataset in fixed.APPEAL_DATASETS]
+    links = edges.where("target_case_id IS NOT NULL AND source_case_id <> target_case_id").where(trusted[0] | trusted[1])
     swap = F.col("relation_type") == "appeal_of"
     directed = links.select(F.when(swap, F.col("source_case_id")).otherwise(F.col("target_case_id")).alias("appeal_id"),
                             F.when(swap, F.col("target_case_id")).otherwise(F.col("source_case_id")).alias("case_id")).distinct()
-    appeals = cases.where("type_procedure ILIKE '%successful%'").select(F.col("case_id").alias("appeal_id"), F.col("date_decision").alias("status_date"))
+    appeals = cases.where(F.col("type_procedure").rlike(r"(?i)\bsuccessful\b")).select(F.col("case_id").alias("appeal_id"), F.col("date_decision").alias("status_date"))
     rows = directed.join(appeals, "appeal_id").join(cases.select("case_id"), "case_id", "left_semi")
     return rows.groupBy("case_id", "status_date").agg(F.min("appeal_id").alias("related_case_id")).withColumn("status", F.lit("overturned"))
 
 
+def appeal_outcomes(codes: DataFrame) -> DataFrame:
+    """(case_id, outcome, code) of procedure codes, from the code table; unknown codes are left out."""
+    rows = codes.select("case_id", X.lookup("code", fixed.APPEAL_CODES).alias("outcome"), "code").where("outcome IS NOT NULL")
+    return rows.groupBy("case_id", "outcome").agg(F.min("code").alias("code"))
+
+
 def referral_status(docs: DataFrame) -> DataFrame:
     """Chamber judgments referred to the Grand Chamber: they share a number and are older."""
     judgments = docs.where("doctype ILIKE '%JUD%'")

@@ -334,16 +334,32 @@ def _(t):
 
 
 @query("case_status", "L21", """
-WITH l AS (SELECT DISTINCT source_case_id AS a, target_case_id AS u FROM fx_edges WHERE target_case_id IS NOT NULL AND source_case_id <> target_case_id AND relation_type = 'appeal_of'),
+WITH l AS (SELECT source_case_id AS a, target_case_id AS u FROM fx_edges WHERE target_case_id IS NOT NULL AND source_case_id <> target_case_id AND relation_type = 'appeal_of' AND weight % 3 > 0
+   UNION SELECT target_case_id, source_case_id FROM fx_edges WHERE target_case_id IS NOT NULL AND source_case_id <> target_case_id AND relation_type = 'joins' AND weight % 3 > 0),
  d AS (SELECT g, decided, doctype, appno, doctype_branch = 'GRANDCHAMBER' AS gc, conclusion FROM fx_echr_docs)
-SELECT u AS case_id, 'overturned' AS status, CAST(c.date_decision AS VARCHAR) AS status_date, min(a) AS related_case_id FROM l JOIN fx_cases c ON c.case_id = a JOIN fx_cases x ON x.case_id = u WHERE c.type_procedure ILIKE '%successful%' GROUP BY 1, 3
+SELECT u AS case_id, 'overturned' AS status, CAST(c.date_decision AS VARCHAR) AS status_date, min(a) AS related_case_id FROM l JOIN fx_cases c ON c.case_id = a JOIN fx_cases x ON x.case_id = u WHERE c.type_procedure LIKE '%- successful%' AND c.case_id % 5 > 0 GROUP BY 1, 3
 UNION ALL SELECT g, 'struck_out', CAST(decided AS VARCHAR), NULL FROM d WHERE conclusion LIKE 'Struck%' GROUP BY 1, 3 UNION ALL SELECT g, 'pending', CAST(decided AS VARCHAR), NULL FROM d WHERE doctype LIKE '%COM%' AND (conclusion IS NULL OR conclusion NOT LIKE 'Struck%') GROUP BY 1, 3
 UNION ALL SELECT g, 'referred_to_grand_chamber', CAST(x.gd AS VARCHAR), x.gg FROM (SELECT b.g, min(struct_pack(gd := a.decided, gg := a.g)) AS x FROM d a JOIN d b ON a.appno = b.appno WHERE a.gc AND NOT b.gc AND a.doctype LIKE '%JUD%' AND b.doctype LIKE '%JUD%' AND a.decided > b.decided AND a.g <> b.g GROUP BY 1) q""")
 def _(t):
     docs = t.echr_docs.withColumnRenamed("g", "case_id")
+    # some links come from other datasets; some appeals were unsuccessful
+    trusted = F.col("weight") % 3 > 0
+    edges = t.edges.withColumn("source_dataset", F.when(trusted & (F.col("relation_type") == "appeal_of"), "cellar_relation_resolved").otherwise(
+        F.when(trusted & (F.col("relation_type") == "joins"), "cellar_sparql").otherwise("other"))).withColumn(
+        "relation_type", F.when(F.col("relation_type") == "joins", "subject_to_appeal").otherwise(F.col("relation_type")))
+    cases = t.cases.withColumn("type_procedure", F.when(F.col("case_id") % 5 == 0, F.replace("type_procedure", F.lit("successful"), F.lit("unsuccessful"))).otherwise(F.col("type_procedure")))
     cols = lambda df: df.select("case_id", "status", F.col("status_date").cast("string").alias("status_date"), "related_case_id")
     own = L.own_status(docs).withColumn("related_case_id", F.lit(None).cast("long"))
-    return A.union_all([cols(L.appeal_status(t.edges, t.cases)), cols(own), cols(L.referral_status(docs))])
+    return A.union_all([cols(L.appeal_status(edges, cases)), cols(own), cols(L.referral_status(docs))])
+
+
+@query("appeal_outcomes", "L21", """
+SELECT case_id, outcome, min(code) AS code FROM (SELECT CAST(floor(l_orderkey / 2) AS BIGINT) AS case_id, CASE l_linenumber WHEN 1 THEN 'PVOI%3DOB' WHEN 2 THEN 'SANC%3DRF' WHEN 3 THEN 'PVOI%3DRI' WHEN 4 THEN 'SANC%3DOB' WHEN 5 THEN 'PVOI%3DNL' ELSE 'PVOI%3DXX' END AS code,
+  CASE l_linenumber WHEN 1 THEN 'successful' WHEN 2 THEN 'unfounded' WHEN 3 THEN 'inadmissible' WHEN 4 THEN 'successful' WHEN 5 THEN 'decision_unnecessary' END AS outcome FROM lineitem) x WHERE outcome IS NOT NULL GROUP BY 1, 2""")
+def _(t):
+    code = X.lookup(F.col("l_linenumber").cast("string"), {"1": "PVOI%3DOB", "2": "SANC%3DRF", "3": "PVOI%3DRI", "4": "SANC%3DOB", "5": "PVOI%3DNL"})
+    codes = t.lineitem.select(F.floor(F.col("l_orderkey") / 2).cast("long").alias("case_id"), F.coalesce(code, F.lit("PVOI%3DXX")).alias("code"))
+    return L.appeal_outcomes(codes)
 
 
 @query("link_judges", "L22", """

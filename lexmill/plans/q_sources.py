@@ -35,8 +35,9 @@ SELECT ecli, text_id, text_source, md5(text) AS body, n_chars FROM (SELECT ecli,
 def _(t):
     folder = fresh_folder(t.spark, "json")
     rows = t.texts.select("source_window", F.struct("ecli", "text_id", "text_source", "text", "n_chars").alias("r"))
-    # one list of objects per window and slice, as the extractor writes it
-    lists = rows.groupBy("source_window", F.pmod(F.xxhash64("r.text_id"), F.lit(16)).alias("slice")).agg(F.to_json(F.collect_list("r")).alias("value"))
+    # one list of objects per window and slice, as the extractor writes it; slices grow with the bodies
+    size = t.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    lists = rows.groupBy("source_window", F.pmod(F.xxhash64("r.text_id"), F.lit(max(1, size >> 20))).alias("slice")).agg(F.to_json(F.collect_list("r")).alias("value"))
     lists.select("value", F.concat_ws("-", "source_window", "slice").alias("w")).repartition("w").write.partitionBy("w").option("maxRecordsPerFile", 1).text(folder)
     found, _ = R.read_window_json(t.spark, f"{folder}/*")
     return found.select("ecli", "text_id", "text_source", F.md5(F.col("text").cast("binary")).alias("body"), "n_chars")

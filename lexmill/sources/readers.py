@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions import ids
 from ..functions import text as X
 from ..operators.joins import small_side
+from ..operators.lineage import cut
 
 WINDOW = "source_window"
 STEM = r"^(.*?)(?:\.[^.]+)?$"
@@ -48,20 +52,91 @@ def read_window_csv(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def _list_items(data: str) -> Iterator[tuple[int, object]]:
+    """(position, value) of every item of a JSON list; only one item is decoded at a time."""
+    space = re.compile(r"[ \t\r\n]*")
+    decoder = json.JSONDecoder(parse_constant=_refuse)
+    skip = lambda i: space.match(data, i).end()
+    at, position = skip(data.index("[") + 1), 0
+    if data[at:at + 1] == "]":
+        at += 1
+    else:
+        while True:
+            value, at = decoder.raw_decode(data, at)
+            yield position, value
+            position, at = position + 1, skip(at)
+            if data[at:at + 1] == "]":
+                at += 1
+                break
+            if data[at:at + 1] != ",":
+                raise ValueError("no comma between items")
+            at = skip(at + 1)
+    if skip(at) != len(data):
+        raise ValueError("text after the list")
+
+
+def _refuse(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+def _decode_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items of each file: strings as they are, other values as JSON text; or one row with a reason."""
+    names = ["window", "reason", "position", "texts", "others"]
+    kinds = [pa.string(), pa.string(), pa.int64(), *[pa.map_(pa.string(), pa.string())] * 2]
+    rows: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        rows.clear()
+        return out
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            window, reason, size = batch.column("window")[i].as_py(), None, 0
+            try:
+                data = batch.column("content")[i].as_py().decode("utf-8-sig")
+                if not data.lstrip(" \t\r\n").startswith("["):
+                    json.loads(data)
+                    reason = "not a list"
+                else:
+                    for _ in _list_items(data):  # a broken file gives no rows at all
+                        pass
+            except ValueError:
+                reason = "malformed"
+            if reason:
+                rows.append((window, reason, None, None, None))
+                continue
+            for position, item in _list_items(data):
+                if isinstance(item, dict):
+                    texts = [(k, v) for k, v in item.items() if isinstance(v, str) or v is None]
+                    others = [(k, json.dumps(v, ensure_ascii=False)) for k, v in item.items() if not isinstance(v, str) and v is not None]
+                    rows.append((window, None, position, texts, others))
+                    size += sum(len(v or "") for _, v in texts)
+                if size > _BATCH_CHARS or len(rows) > 5000:
+                    yield flush()
+                    size = 0
+    if rows:
+        yield flush()
+
+
+#: characters of texts handed on at once
+_BATCH_CHARS = 4 << 20
+
+
 def read_window_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects): each file is one list of objects; values become text, keys the columns.
 
     A file that is no list is rejected with a reason; list items that are no objects are
-    skipped but keep their position.
+    skipped but keep their position. Objects are decoded one by one, so neither a file nor its
+    list has a size limit but the two gigabytes of a binary cell, beyond which Spark raises.
     """
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", STEM, 1).alias(WINDOW), "value")
-    parsed = files.withColumn("doc", F.try_parse_json("value"))
-    is_list = F.coalesce(F.schema_of_variant("doc").startswith("ARRAY"), F.lit(False))
-    rejects = parsed.where(~is_list).select(WINDOW, F.when(F.col("doc").isNull(), "malformed").otherwise("not a list").alias("reason"))
-    items = parsed.where(is_list).select(WINDOW, F.posexplode(F.col("doc").cast("array<variant>")).alias("position", "item"))
-    rows = items.where(F.schema_of_variant("item").startswith("OBJECT")).select(WINDOW, "position", F.col("item").cast("map<string,variant>").alias("m"))
-    keys = sorted(r.key for r in rows.select(F.explode(F.map_keys("m")).alias("key")).distinct().collect())
-    return rows.select(*[X.to_text_scalar(F.try_element_at("m", F.lit(k))).alias(k) for k in ordered_columns(keys)], "position", WINDOW), rejects
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("_metadata.file_name", STEM, 1).alias("window"), "content")
+    items = cut(files.mapInArrow(_decode_windows, "window string, reason string, position long, texts map<string,string>, others map<string,string>"))
+    rejects = items.where("reason IS NOT NULL").select(F.col("window").alias(WINDOW), "reason")
+    rows = items.where("reason IS NULL")
+    keys = sorted(r.key for r in rows.select(F.explode(F.array_union(F.map_keys("texts"), F.map_keys("others"))).alias("key")).distinct().collect())
+    value = lambda k: F.coalesce(F.try_element_at("texts", F.lit(k)), X.to_text_scalar(F.try_parse_json(F.try_element_at("others", F.lit(k)))))
+    return rows.select(*[value(k).alias(k) for k in ordered_columns(keys)], F.col("position").cast("int").alias("position"), F.col("window").alias(WINDOW)), rejects
 
 
 def ordered_columns(columns: Sequence[str]) -> list[str]:
@@ -71,10 +146,17 @@ def ordered_columns(columns: Sequence[str]) -> list[str]:
 
 
 def read_targets(spark: SparkSession, path: str, keys: DataFrame, languages: Sequence[str] = ("EN", "ENG", "ENGLISH")) -> DataFrame:
-    """Corpus rows of the wanted ECLIs and languages; the language filter reaches the scan."""
-    rows = spark.read.parquet(path).where(F.upper("language").isin(list(languages)))
+    """Corpus rows of the wanted ECLIs and languages.
+
+    The stored spellings of the languages and of the ECLIs are looked up first, on those columns
+    alone; both then reach the scan of the bodies as they are stored.
+    """
+    rows = spark.read.parquet(path)
+    spellings = [r.language for r in rows.select("language").distinct().where(F.upper("language").isin(list(languages))).collect()]
     wanted = keys.select(ids.norm_ecli("ecli").alias("__key")).distinct()
-    return rows.join(small_side(wanted), ids.norm_ecli("ecli") == F.col("__key"), "left_semi")
+    mine = F.col("language").isin(spellings)
+    stored = rows.where(mine).select("ecli").distinct().withColumn("__key", ids.norm_ecli("ecli")).join(wanted, "__key", "left_semi").select("ecli")
+    return rows.where(mine).join(small_side(stored), "ecli", "left_semi").select(*rows.columns)
 
 
 def read_targets_tsv(spark: SparkSession, path: str, required: Sequence[str] = ("ecli", "celex")) -> DataFrame:
