@@ -136,9 +136,11 @@ def search_index(index: DataFrame, terms: Sequence[str], keys: Sequence[str], mo
 
 
 def trigrams(c) -> Column:
-    """Distinct trigrams of the padded lower-case text."""
-    padded = F.concat(F.lit("  "), F.lower(X.as_col(c)), F.lit(" "))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3))))
+    """Distinct trigrams of the lower-case words, each padded by two blanks before and one after it."""
+    words = F.filter(F.split(F.lower(X.as_col(c)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    padded = F.transform(words, lambda w: F.concat(F.lit("  "), w, F.lit(" ")))
+    return F.array_distinct(F.flatten(F.transform(padded, lambda w: F.transform(
+        F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substring(w, i, F.lit(3))))))
 
 
 def trigram_search(df: DataFrame, column: str, queries: Sequence[str], threshold: float = 0.3) -> DataFrame:
@@ -146,9 +148,7 @@ def trigram_search(df: DataFrame, column: str, queries: Sequence[str], threshold
     rows = df.withColumn("__t", trigrams(column))
     scored = []
     for q in queries:
-        padded = f"  {q.lower()} "
-        grams = sorted({padded[i:i + 3] for i in range(len(padded) - 2)})
-        wanted = F.array(*[F.lit(g) for g in grams])
+        wanted = trigrams(F.lit(q))
         scored.append(F.struct(F.lit(q).alias("query"), (F.size(F.array_intersect("__t", wanted)) / F.size(F.array_union("__t", wanted))).alias("similarity")))
     out = rows.select(*df.columns, F.inline(F.array(*scored)))
     return out.where(F.col("similarity") >= threshold)

@@ -37,7 +37,7 @@ class Pattern:
 
 # --- mention scan ----------------------------------------------------------------
 
-def _matches(text: Column, pattern: Pattern, field: str) -> Column:
+def _matches(text: Column, pattern: Pattern, field: str, context: int) -> Column:
     """Array of match structs with 0-based code-point offsets, found without leaving the JVM.
 
     The text between matches gives the offsets: start = gaps so far + matches so far.
@@ -56,7 +56,7 @@ def _matches(text: Column, pattern: Pattern, field: str) -> Column:
             return X.let(v["starts"][i], lambda s: F.struct(
                 F.lit(pattern.scheme).alias("scheme"), F.lit(field).alias("text_field"), match.alias("raw_text"),
                 s.alias("char_start"), (s + F.length(match)).alias("char_end"),
-                F.substring(text, F.greatest(s - 60, F.lit(0)) + 1, F.least(s, F.lit(60)) + F.length(match) + 60).alias("context")))
+                F.substring(text, F.greatest(s - context, F.lit(0)) + 1, F.least(s, F.lit(context)) + F.length(match) + context).alias("context")))
 
         return F.transform(v["found"], one)
 
@@ -66,9 +66,9 @@ def _matches(text: Column, pattern: Pattern, field: str) -> Column:
     return F.when(text.rlike(pattern.cue), hits) if pattern.cue else hits
 
 
-def scan_mentions(texts: DataFrame, keys: Sequence[str], fields: Sequence[str], patterns: Sequence[Pattern]) -> DataFrame:
-    """Every match of the pattern table in the given text columns."""
-    per_pattern = [_matches(F.col(f), p, f) for f in fields for p in patterns]
+def scan_mentions(texts: DataFrame, keys: Sequence[str], fields: Sequence[str], patterns: Sequence[Pattern], context: int = 60) -> DataFrame:
+    """Every match of the pattern table in the given text columns, with so many characters around it."""
+    per_pattern = [_matches(F.col(f), p, f, context) for f in fields for p in patterns]
     tested = F.filter(F.array(*per_pattern), lambda a: a.isNotNull())
     return texts.select(*keys, F.inline(F.flatten(tested)))
 
@@ -322,14 +322,14 @@ def resolve_scl(sources: DataFrame, catalog: DataFrame, order: Sequence[str]) ->
     """Citation strings to edges: one per (source, target), the first citing entry wins."""
     resolved = resolve_entries(parse_entries(sources, order), catalog_with_secondary(catalog))
     edges = dedup_targets(resolved, [F.col("entry_order").asc()])
-    return edges.select("source_case_id", "target_case_id", F.left("entry", F.lit(500)).alias("scl_reference"), "appno", "rule",
+    return edges.select("source_case_id", "target_case_id", F.col("entry").alias("scl_reference"), "appno", "rule",
                         C.rule_confidence("rule").alias("confidence"))
 
 
-def link_echr_fulltext(texts: DataFrame, with_scl: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Sources without a citation string: numbers cited in the text, read with their context."""
+def link_echr_fulltext(texts: DataFrame, with_scl: DataFrame, catalog: DataFrame, context: int = 60) -> DataFrame:
+    """Sources without a citation string: numbers cited in the text, read with so many characters around them."""
     rest = texts.join(with_scl.select("case_id"), "case_id", "left_anti")
-    mentions = scan_mentions(rest, ["case_id", "source_date"], ["text"], [Pattern("echr_appno", fixed.MENTION_APPNO_CUED)])
+    mentions = scan_mentions(rest, ["case_id", "source_date"], ["text"], [Pattern("echr_appno", fixed.MENTION_APPNO_CUED)], context)
     entries = mentions.groupBy(F.col("case_id").alias("source_case_id"), F.col("context").alias("entry")).agg(
         F.min("char_start").alias("entry_order"), F.min("source_date").alias("source_date"))
     edges = resolve_entries(read_entries(entries), catalog_with_secondary(catalog))
@@ -419,15 +419,38 @@ def sync_legislation(refs: DataFrame, acts: DataFrame, metadata: DataFrame) -> t
     return new_acts, resolved.select("ref_id", "act_key")
 
 
-def link_authorities(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents, references): parliamentary papers cited in texts, documents made distinct."""
-    hits = scan_mentions(texts, ["case_id"], ["text"], [Pattern("kamerstuk", fixed.MENTION_KAMERSTUK)])
-    shape = r"Kamerstukken\s+(I{1,2})\s+(\d{4}/\d{2,4}),\s*(\d{2})\s?(\d{3}),\s*nr\.\s*(\d+)"
-    part = lambda i: F.regexp_extract("raw_text", shape, i)
-    rows = hits.withColumn("identifier", F.concat(F.lit("kst-"), part(3), part(4), F.lit("-"), part(5))).withColumn("chamber", part(1)).withColumn("session", part(2))
-    documents = rows.groupBy("identifier").agg(F.min("chamber").alias("chamber"), F.min("session").alias("session")).withColumn("kind", F.lit("parliamentary_paper"))
-    references = rows.join(documents.select("identifier", "kind"), "identifier").select(
-        "case_id", "kind", "identifier", F.col("raw_text").alias("raw_reference"), "char_start", "char_end")
+@dataclass(frozen=True)
+class Authority:
+    """One row of the authority table: kind, pattern, and what its parts make up.
+
+    ``identifier``, ``chamber`` and ``session`` are replacement texts over the groups of ``shape``.
+    """
+
+    kind: str
+    pattern: Pattern
+    shape: str
+    identifier: str
+    chamber: str | None = None
+    session: str | None = None
+
+
+PARLIAMENTARY_PAPER = Authority(
+    "parliamentary_paper", Pattern("kamerstuk", fixed.MENTION_KAMERSTUK),
+    r"^Kamerstukken\s+(I{1,2})\s+(\d{4}/\d{2,4}),\s*(\d{2})\s?(\d{3}),\s*nr\.\s*(\d+)$", "kst-$3$4-$5", "$1", "$2")
+
+
+def link_authorities(texts: DataFrame, table: Sequence[Authority] = (PARLIAMENTARY_PAPER,)) -> tuple[DataFrame, DataFrame]:
+    """(documents, references): authorities cited in texts, by the pattern table; documents made distinct."""
+    hits = scan_mentions(texts, ["case_id"], ["text"], [a.pattern for a in table])
+
+    def made(field: str) -> Column:
+        rules = [(F.col("scheme") == a.pattern.scheme, F.regexp_replace("raw_text", a.shape, getattr(a, field)) if getattr(a, field) else F.lit(None).cast("string")) for a in table]
+        return X.first_rule(rules)
+
+    kind = X.first_rule([(F.col("scheme") == a.pattern.scheme, F.lit(a.kind)) for a in table])
+    rows = hits.select("*", kind.alias("kind"), *[made(f).alias(f) for f in ("identifier", "chamber", "session")])
+    documents = rows.groupBy("kind", "identifier").agg(F.min("chamber").alias("chamber"), F.min("session").alias("session"))
+    references = rows.select("case_id", "kind", "identifier", F.col("raw_text").alias("raw_reference"), "char_start", "char_end")
     return documents, references
 
 
@@ -532,14 +555,18 @@ def own_status(docs: DataFrame) -> DataFrame:
 
 # --- judges ---------------------------------------------------------------------------
 
-def link_judges(texts: DataFrame, judges: DataFrame, allowed_prefix: str, pattern: str, chars: int = 2000) -> tuple[DataFrame, DataFrame]:
-    """(new judge names, links) from both ends of allowed texts; names compare without case."""
+def link_judges(texts: DataFrame, judges: DataFrame, allowed_prefix: str, pattern: str, slices: Sequence[tuple[str, int, int]] = fixed.JUDGE_SLICES) -> tuple[DataFrame, DataFrame]:
+    """(new judge names, links) from allowed texts; names compare without case.
+
+    ``slices`` says for ECLI prefixes how much of the start and the end is read; other texts are read whole.
+    """
     from .filters import guard_ecli
 
     allowed, _ = guard_ecli(texts, allowed_prefix)
-    ends = allowed.select("case_id", X.slice_ends("text", chars).alias("s"))
-    names = F.array_distinct(F.concat(F.regexp_extract_all("s.opening", F.lit(pattern), F.lit(1)), F.regexp_extract_all("s.closing", F.lit(pattern), F.lit(1))))
-    found = ends.select("case_id", F.explode(names).alias("full_name")).withColumn("k", F.lower("full_name"))
+    ends = lambda head, tail: F.concat_ws("\n\n", F.left("text", F.lit(head)), F.right("text", F.lit(tail)))
+    part = X.first_rule([(F.col("ecli").startswith(prefix), ends(head, tail)) for prefix, head, tail in slices], F.col("text"))
+    names = F.array_distinct(F.regexp_extract_all("s", F.lit(pattern), F.lit(1)))
+    found = allowed.select("case_id", part.alias("s")).select("case_id", F.explode(names).alias("full_name")).withColumn("k", F.lower("full_name"))
     held = judges.groupBy(F.lower("full_name").alias("k")).agg(F.min("person_id").alias("person_id"))
     links = found.select("case_id", "k").distinct().join(held, "k", "left")
     new = found.join(held, "k", "left_anti").groupBy("k").agg(F.min("full_name").alias("full_name")).select("full_name")

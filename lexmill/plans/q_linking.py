@@ -368,7 +368,8 @@ SELECT case_id, name_key, person_id FROM x LEFT JOIN p ON p.k = name_key UNION A
 def _(t):
     number = (F.col("case_id") % 900).cast("string")
     texts = t.cited_texts.select("case_id", F.concat(F.lit("ECLI:NL:HR:2001:"), F.col("case_id").cast("string")).alias("ecli"),
-                                 F.concat("text", F.lit(" w.g. mr. Judge "), number, F.lit(", voorzitter")).alias("text"))
+                                 # the name stands 2,500 characters before the end
+                                 F.concat("text", F.lit(" w.g. mr. Judge "), number, F.lit(", voorzitter"), F.repeat(F.lit(" -"), F.lit(1250))).alias("text"))
     foreign = texts.withColumn("ecli", F.replace("ecli", F.lit(":NL:"), F.lit(":DE:")))
     new, links = L.link_judges(texts.unionByName(foreign), t.people, "ECLI:NL:", r"mr\. (Judge \d+)")
     none = F.lit(None).cast("long")

@@ -92,3 +92,20 @@ def test_index_search_prunes_prefixes(spark, tmp_path):
     writers.write_index(graph.build_index(texts, ["text_id"]), path)
     hits = graph.search_index(spark.read.parquet(path), ["der", "hund"], ["text_id"])
     assert "PartitionFilters: [" in hits._jdf.queryExecution().toString() and [r.text_id for r in hits.collect()] == [1]
+
+
+def test_window_json_of_any_size(spark, tmp_path):
+    body = "x" * 1000
+    items = [{"ecli": f"E{i}", "text": body, "n": i, "ok": True, "f": 1.5} for i in range(20_000)]
+    (tmp_path / "big.json").write_text(json.dumps(items, indent=1))
+    assert (tmp_path / "big.json").stat().st_size > 20 << 20
+    (tmp_path / "one.json").write_text(json.dumps([{"ecli": "L", "text": "é" * (17 << 20)}]), encoding="utf-8")
+    (tmp_path / "cut.json").write_text(json.dumps(items[:3])[:-2])
+    (tmp_path / "tail.json").write_text("[] x")
+    (tmp_path / "none.json").write_text(" [ ] ")
+    rows, rejects = readers.read_window_json(spark, str(tmp_path))
+    assert rows.count() == 20_001
+    r = rows.where("ecli = 'E777'").first()
+    assert (r.position, r.text, r.n, r.ok, r.f, r.source_window) == (777, body, "777", "true", "1.5", "big")
+    assert rows.where("ecli = 'L'").selectExpr("length(text)").first()[0] == 17 << 20
+    assert sorted((r.source_window, r.reason) for r in rejects.collect()) == [("cut", "malformed"), ("tail", "malformed")]

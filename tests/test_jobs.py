@@ -168,3 +168,39 @@ def test_page_cursor_walks_everything(spark):
         seen += [r.ecli for r in page]
         after = (page[-1].date_decision, page[-1].ecli)
     assert len(seen) == len(set(seen)) == 20
+
+
+def test_trigrams_go_by_word(spark):
+    df = spark.createDataFrame([(1, "widgets red"), (2, "Red, Widgets!"), (3, "other")], "i long, v string")
+    assert rows(graph.trigram_search(df, "v", ["red-widgets"]), "i", "similarity") == [(1, 1.0), (2, 1.0)]
+
+
+def test_nearest_without_queries(spark):
+    seg = spark.createDataFrame([("a", [1.0, 0.0])], "segment_id string, embedding array<float>")
+    none = spark.createDataFrame([], "query_id string, vector array<double>")
+    assert graph.nearest(seg, none, 3).collect() == []
+    one = spark.createDataFrame([("q", [2.0, 0.0])], "query_id string, vector array<double>")
+    assert rows(graph.nearest(seg, one, 3), "query_id", "segment_id", "similarity") == [("q", "a", 1.0)]
+
+
+def test_rounds_leave_no_files(spark):
+    import glob
+
+    from lexmill.operators.lineage import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    count = lambda: len(glob.glob(f"{folder}/cut-*"))
+    chain = lambda n: spark.range(n).selectExpr("id AS source_case_id", "id + 1 AS target_case_id")
+    before = count()
+    graph.clusters(chain(3)).count()
+    short = count() - before
+    before = count()
+    graph.clusters(chain(60)).count()
+    assert count() - before == short
+
+
+def test_docket_tokens_without_digits(spark):
+    entries = spark.createDataFrame([(1, "2001-01-01", "abcd"), (2, "2001-01-01", "b ab"), (3, "2001-01-01", "x1234"), (4, "2001-01-01", "zzzz"), (5, "2001-01-01", "abc")], "e long, date_decision string, token string")
+    docs = spark.createDataFrame([(7, "2001-01-01", "AWB abcd ab12 x1234", "Rechtbank"), (8, "2001-01-02", "abcd", "Rechtbank"), (9, "2001-01-01", None, "Rechtbank")], "doc_id long, date_decision string, zaaknummer string, instance string")
+    assert rows(joins.match_by_date_and_token(entries, docs), "e", "doc_id") == [(1, 7), (3, 7)]
