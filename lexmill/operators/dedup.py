@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, ids
 from ..functions import text as X
+from .lineage import cut
 
 
 def top_per_key(df: DataFrame, keys: Sequence, order: Sequence[Column], k: int = 1) -> DataFrame:
@@ -67,8 +68,8 @@ def dedup_cases(df: DataFrame, position: Sequence[str]) -> DataFrame:
 
 
 def text_candidates(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Narrow ranking rows: normalised key, effective source, length, rank and digest."""
-    narrow = texts.select(
+    """Narrow ranking rows: normalised key, effective source, length, rank and digest; bodies are read once."""
+    narrow = cut(texts.select(
         *keep,
         "text_id",
         ids.norm_ecli("ecli").alias("ecli"),
@@ -76,7 +77,7 @@ def text_candidates(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "text_source",
         X.body_length("text").alias("length"),
         X.body_digest("text").alias("digest"),
-    )
+    ))
     longest = narrow.groupBy("ecli").agg(F.max("length").alias("longest"))
     return (
         narrow.join(longest, "ecli")

@@ -62,26 +62,26 @@ def consolidate_cases(rows: DataFrame, position: Sequence[str]) -> DataFrame:
 def consolidate_texts(texts: DataFrame, cases: DataFrame, position: Sequence[str] = ("text_id",)) -> DataFrame:
     """One text per (ECLI, language): best rendition, misattached copies gone, windows merged.
 
-    Ranking and dropping see only ids, lengths and digests; bodies are read again at the end
-    for the surviving ids.
+    Ranking, dropping, windows and blanked CELEX numbers are settled on narrow rows; the bodies are
+    joined once, at the end, to the surviving ids.
     """
     keyed = texts.where(~X.is_blank("ecli"))
     loose = texts.where(X.is_blank("ecli"))
     chosen = cut(best_text(keyed, position))
-    kept = drop_misattached(chosen).select(
-        "text_id", F.col("ecli").alias("__ecli"), F.col("language").alias("__language"), "effective_source")
+    kept = drop_misattached(chosen).select("text_id", "ecli", "language", "effective_source")
     windows = joined_set(
-        keyed.select(ids.norm_ecli("ecli").alias("__ecli"), F.upper(X.strip("language")).alias("__language"), "source_window"),
-        ["__ecli", "__language"], "source_window").withColumnRenamed("source_window", "__windows")
-    out = texts.columns
+        keyed.select(ids.norm_ecli("ecli").alias("ecli"), F.upper(X.strip("language")).alias("language"), "source_window"),
+        ["ecli", "language"], "source_window").withColumnRenamed("source_window", "__windows")
+    blank = ambiguous_eclis(cases).select(ids.norm_ecli("ecli").alias("ecli"), F.lit(True).alias("__blank")).distinct()
+    facts = kept.join(windows, ["ecli", "language"], "left").join(blank, "ecli", "left").select(
+        "text_id", F.col("effective_source").alias("__source"), "__windows", "__blank")
     rows = (
-        keyed.join(kept, "text_id")
-        .join(windows, ["__ecli", "__language"], "left")
-        .withColumn("text_source", F.col("effective_source"))
+        keyed.join(facts, "text_id")
+        .withColumn("text_source", F.col("__source"))
         .withColumn("source_window", F.coalesce("__windows", "source_window"))
-        .select(*out)
+        .withColumn("celex", F.when(F.col("__blank").isNull(), F.col("celex")))
     )
-    return blank_celex(rows.unionByName(loose), ambiguous_eclis(cases)).select(*out)
+    return rows.select(*texts.columns).unionByName(loose)
 
 
 def coverage_report(cases: DataFrame, texts: DataFrame) -> dict[str, DataFrame]:
