@@ -30,11 +30,15 @@ def _text_key(df: DataFrame) -> DataFrame:
     return df.withColumn("__e", F.coalesce("ecli", F.lit(""))).withColumn("__l", F.coalesce(F.upper("language"), F.lit("")))
 
 
+def new_rows(old: DataFrame, new: DataFrame) -> DataFrame:
+    """New rows whose (ECLI, language) pair is not held; of the old table only the keys are read."""
+    known = _text_key(old).select("__e", "__l").distinct()
+    return _text_key(new).join(known, ["__e", "__l"], "left_anti").drop("__e", "__l")
+
+
 def append_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old rows plus new (ECLI, language) pairs; columns are united, old types win."""
-    known = _text_key(old).select("__e", "__l").distinct()
-    fresh = _text_key(new).join(known, ["__e", "__l"], "left_anti").drop("__e", "__l")
-    return conform(old, fresh)
+    return conform(old, new_rows(old, new))
 
 
 def replace_rows(old: DataFrame, new: DataFrame, position: str) -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,9 @@
 """Incremental jobs as Structured Streaming queries (file source, AvailableNow).
 
 The stream checkpoint takes the place of a window manifest: a file is processed once, a crashed
-batch is repeated. Every batch writes a new version folder under the table path, and the newest
-committed version is the table, so a repeated batch gives the same result.
+batch is repeated. Every batch writes one folder under the table path and looks at earlier folders
+only, so a repeated batch gives the same result. Appended tables are all folders together, each
+with the rows of one batch; tables of running totals are the newest folder, and older ones go.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.maintenance import append_rows, apply_count_deltas
+from ..operators.maintenance import apply_count_deltas, new_rows
 from ..sources.writers import write_checked
 
 
@@ -20,16 +21,31 @@ def versioned(table: str, batch_id: int) -> str:
     return f"{table.rstrip('/')}/v={batch_id:012d}"
 
 
-def latest(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    """Newest complete version of a table, optionally older than a batch."""
+def _folders(spark: SparkSession, table: str, before: int | None = None) -> list[str]:
+    """Complete batch folders of a table in order, optionally older than a batch."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(table)
     fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(root):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root))
-    versions = [n for n in names if n.startswith("v=") and "." not in n and (before is None or int(n[2:]) < before)]
-    return spark.read.parquet(f"{table.rstrip('/')}/{versions[-1]}") if versions else None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
+    return [f"{table.rstrip('/')}/{n}" for n in names if n.startswith("v=") and "." not in n and (before is None or int(n[2:]) < before)]
+
+
+def latest(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
+    """The newest folder of a table of running totals, optionally older than a batch."""
+    folders = _folders(spark, table, before)
+    return spark.read.parquet(folders[-1]) if folders else None
+
+
+def appended(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
+    """All rows of an appended table, optionally older than a batch."""
+    folders = _folders(spark, table, before)
+    return spark.read.option("mergeSchema", True).parquet(*folders) if folders else None
+
+
+def _drop(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -40,9 +56,8 @@ def append_window_files(spark: SparkSession, source: str, schema: str, table: st
     """New window files (JSON lines of texts) are appended by (ECLI, language)."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        old = latest(batch.sparkSession, table, before=batch_id)
-        new = batch if old is None else append_rows(old, batch)
-        write_checked(new, versioned(table, batch_id))
+        old = appended(batch.sparkSession, table, before=batch_id)
+        write_checked(batch if old is None else new_rows(old, batch), versioned(table, batch_id))
 
     return _run(spark.readStream.schema(schema).json(source), step, checkpoint)
 
@@ -59,5 +74,7 @@ def maintain_counts(spark: SparkSession, source: str, table: str, checkpoint: st
         old = latest(session, table, before=batch_id)
         counts = old if old is not None else session.createDataFrame([], COUNTS)
         write_checked(apply_count_deltas(counts, batch), versioned(table, batch_id))
+        # a repeated batch needs the folder before it; nothing needs older ones
+        _drop(session, _folders(session, table, before=batch_id)[:-1])
 
     return _run(spark.readStream.schema(CHANGES).json(source), step, checkpoint)

@@ -71,7 +71,9 @@ def test_stream_appends_new_files_once(spark, tmp_path):
     drop(src, "2.json", [{"ecli": "E1", "language": "EN", "text": "late"}, {"ecli": "E2", "language": "en", "text": "b"}])
     run()
     run()
-    assert sorted((r.ecli, r.text) for r in jobs.latest(spark, table).collect()) == [("E1", "a"), ("E2", "b")]
+    assert sorted((r.ecli, r.text) for r in jobs.appended(spark, table).collect()) == [("E1", "a"), ("E2", "b")]
+    # a batch writes its own rows only
+    assert jobs.latest(spark, table).count() == 1
 
 
 def test_stream_maintains_counts(spark, tmp_path):
@@ -82,6 +84,11 @@ def test_stream_maintains_counts(spark, tmp_path):
     drop(src, "2.json", [{"old_source": 1, "old_target": 3}])
     run()
     assert sorted(tuple(r) for r in jobs.latest(spark, table).select("case_id", "cites_count", "cited_by_count").collect()) == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
+    for i in range(3, 6):
+        drop(src, f"{i}.json", [{"new_source": i, "new_target": 1}])
+        run()
+    assert len([p for p in (tmp_path / "table").iterdir() if p.name.startswith("v=")]) == 2
+    assert jobs.latest(spark, table).where("case_id = 1").first().cited_by_count == 3
 
 
 def test_index_search_prunes_prefixes(spark, tmp_path):
