@@ -386,6 +386,26 @@ def link_eu_law(texts: DataFrame, acts: DataFrame, provisions: DataFrame) -> Dat
     return J.lookup_act(refs, acts, provisions)
 
 
+@dataclass(frozen=True)
+class Treaty:
+    """One row of a treaty catalogue: its identifier and the names it goes by in texts (regular expressions)."""
+
+    identifier: str
+    names: tuple[str, ...]
+
+
+def link_treaties(texts: DataFrame, catalog: Sequence[Treaty], acts: DataFrame, provisions: DataFrame) -> DataFrame:
+    """Articles of treaties cited in texts, with act and article ids: one row per (case, treaty, article)."""
+    shape = r"(?iU)\b(?:articles?|artikel(?:en)?|art\.)\s*(\d{1,3}[a-z]?)\b[^.;]{0,40}?\b(?:%s)(?!\w)"
+    patterns = [Pattern(t.identifier, shape % "|".join(t.names)) for t in catalog]
+    hits = scan_mentions(texts, ["case_id"], ["text"], patterns)
+    article = F.lower(F.regexp_extract("raw_text", r"(?iU)^\D+?(\d{1,3}[a-z]?)\b", 1))
+    refs = hits.select("case_id", F.col("scheme").alias("identifier"), article.alias("article"), "raw_text").groupBy("case_id", "identifier", "article").agg(
+        F.min("raw_text").alias("raw_reference"))
+    refs = refs.withColumn("ref_id", F.concat_ws("|", "case_id", "identifier", "article")).withColumn("alternatives", F.array().cast("array<string>"))
+    return J.lookup_act(refs, acts, provisions)
+
+
 def cites_to_law_refs(edges: DataFrame, acts: DataFrame, provisions: DataFrame) -> DataFrame:
     """Unresolved citations whose target is legislation: law references with act ids."""
     law = edges.where("target_case_id IS NULL AND target_celex_raw IS NOT NULL AND relation_type = 'cites'").where(
@@ -454,15 +474,29 @@ def link_authorities(texts: DataFrame, table: Sequence[Authority] = (PARLIAMENTA
     return documents, references
 
 
+#: journal, year and number as they stand in the text of a publication
+RAW_LOCATOR = r"(?U)(?:^|[\s,;(])([A-Z][A-Za-z.]{0,15})\s+(\d{4})\s*/\s*(\d{1,6}(?:\.\d{1,3})?[A-Za-z]{0,2})(?=$|[\s,;.)])"
+
+
 def link_publications(publications: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(journal documents, references) from publication columns; one row per (case, raw)."""
-    usable = publications.where("kind <> 'self_published'").where(~X.is_blank("raw")).where(
-        ~X.strip("raw").rlike(r"(?i)^(?:www\.)?rechtspraak\.nl$"))
-    keyed = usable.withColumn("k", ids.publication_key("journal_abbr", "year", "locator", "annotator")).where("k.key IS NOT NULL")
-    keyed = keyed.withColumn("raw", X.strip("raw"))
-    rows = top_per_key(keyed, ["case_id", "raw"], [F.col("line_no").asc(), F.col("k.key").asc()])
-    documents = rows.groupBy(F.col("k.kind").alias("kind"), F.col("k.key").alias("identifier")).agg(F.min("k.journal").alias("issuer"))
-    references = rows.select("case_id", F.col("raw").alias("raw_reference"), F.col("k.kind").alias("kind"), F.col("k.key").alias("identifier"))
+    """(journal documents, references): one reference per (case, raw), with a status.
+
+    The columns decide first. Rows whose columns give no key, or that name an annotator only in
+    their text, are read from the text; what is left stays as unresolved.
+    """
+    usable = publications.where(F.coalesce("kind", F.lit("")) != "self_published").where(~X.is_blank("raw")).where(
+        ~X.strip("raw").rlike(r"(?i)^(?:www\.)?rechtspraak\.nl$")).withColumn("raw", X.strip("raw"))
+    hidden = F.col("annotator").isNull() & F.col("raw").rlike(fixed.RAW_ANNOTATOR)
+    part = lambda i: X.blank_to_null(F.regexp_extract("raw", RAW_LOCATOR, i))
+    note = X.blank_to_null(F.regexp_extract("raw", fixed.RAW_ANNOTATOR + r"\s*(?:van\s+)?([^;,()]+)", 1))
+    both = usable.withColumn("by_column", ids.publication_key("journal_abbr", "year", "locator", "annotator")).withColumn(
+        "by_text", ids.publication_key(part(1), part(2), part(3), F.coalesce(note, "annotator")))
+    stage = F.when(~hidden & F.col("by_column.key").isNotNull(), 0).when(F.col("by_text.key").isNotNull(), 1).otherwise(2)
+    keyed = both.withColumn("stage", stage).withColumn("k", F.when(F.col("stage") == 0, F.col("by_column")).when(F.col("stage") == 1, F.col("by_text")))
+    rows = top_per_key(keyed, ["case_id", "raw"], [F.col("stage").asc(), F.col("line_no").asc(), F.col("k.key").asc()])
+    documents = rows.where("stage < 2").groupBy(F.col("k.kind").alias("kind"), F.col("k.key").alias("identifier")).agg(F.min("k.journal").alias("issuer"))
+    references = rows.select("case_id", F.col("raw").alias("raw_reference"), F.col("k.kind").alias("kind"), F.col("k.key").alias("identifier"),
+                             X.first_rule([(F.col("stage") == 0, F.lit("columns")), (F.col("stage") == 1, F.lit("text"))], F.lit("unresolved")).alias("status"))
     return documents, references
 
 

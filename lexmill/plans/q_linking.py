@@ -303,12 +303,38 @@ def _(t):
 
 
 @query("link_publications", "L18", r"""
-WITH x AS (SELECT case_id, line_no, trim(raw) AS raw, upper(regexp_replace(journal_abbr, '[\s.]+', '', 'g')) AS j, year, upper(ltrim(locator, '/,')) AS num, CASE line_no WHEN 1 THEN 'J. Jansen' WHEN 2 THEN 'P. Pieters' END AS note FROM fx_publications WHERE kind <> 'self_published'),
- k AS (SELECT *, concat(j, ' ', CAST(year AS VARCHAR), '/', num, CASE WHEN note IS NULL THEN '' ELSE concat(' m.nt. ', note) END) AS identifier FROM x WHERE j IN ('NJ', 'JB') AND line_no <> 6)
-SELECT case_id, raw AS raw_reference, CASE WHEN note IS NULL THEN 'literature' ELSE 'annotation' END AS kind, identifier FROM (SELECT *, row_number() OVER (PARTITION BY case_id, raw ORDER BY line_no, identifier) rn FROM k) z WHERE rn = 1""")
+WITH x AS (SELECT case_id, line_no, trim(raw) AS raw0, CASE WHEN line_no = 5 THEN concat(trim(raw), ' m.nt. mr. A. Bakker') ELSE trim(raw) END AS raw, upper(regexp_replace(journal_abbr, '[\s.]+', '', 'g')) AS j, year, upper(ltrim(locator, '/,')) AS num,
+   CASE line_no WHEN 1 THEN ' m.nt. J. Jansen' WHEN 2 THEN ' m.nt. P. Pieters' ELSE '' END AS note FROM fx_publications WHERE kind <> 'self_published'),
+ k AS (SELECT *, CASE WHEN j IN ('NJ', 'JB') AND line_no NOT IN (5, 6) THEN 0 WHEN raw0 LIKE 'NJ %' OR raw0 LIKE 'JB %' THEN 1 ELSE 2 END AS stage FROM x),
+ i AS (SELECT *, CASE stage WHEN 0 THEN concat(j, ' ', CAST(year AS VARCHAR), '/', num, note) WHEN 1 THEN concat(raw0, CASE WHEN line_no = 5 THEN ' m.nt. A. Bakker' ELSE note END) END AS identifier FROM k)
+SELECT case_id, raw AS raw_reference, CASE WHEN stage < 2 THEN CASE WHEN contains(identifier, ' m.nt. ') THEN 'annotation' ELSE 'literature' END END AS kind, identifier, CASE stage WHEN 0 THEN 'columns' WHEN 1 THEN 'text' ELSE 'unresolved' END AS status
+FROM (SELECT *, row_number() OVER (PARTITION BY case_id, raw ORDER BY stage, line_no, identifier) rn FROM i) z WHERE rn = 1""")
 def _(t):
-    documents, references = L.link_publications(t.publications)
-    return references.join(documents.select("kind", "identifier"), ["kind", "identifier"]).select("case_id", "raw_reference", "kind", "identifier")
+    # some publications name their annotator in the text alone
+    named = F.when(F.col("line_no") == 5, F.concat("raw", F.lit(" m.nt. mr. A. Bakker"))).otherwise(F.col("raw"))
+    documents, references = L.link_publications(t.publications.withColumn("raw", named))
+    held = documents.select("kind", "identifier", F.lit(True).alias("held"))
+    return references.join(held, ["kind", "identifier"], "left").where("held OR status = 'unresolved'").select("case_id", "raw_reference", "kind", "identifier", "status")
+
+
+TREATIES = (L.Treaty("11957E", ("EG-Verdrag", "EC Treaty")), L.Treaty("12016E", ("VWEU", "TFEU")), L.Treaty("ECHR", ("EVRM", "European Convention on Human Rights")))
+
+
+@query("link_treaties", "L14", """
+WITH c AS (SELECT case_id, case_id % 7 + 1 AS a, CASE case_id % 3 WHEN 0 THEN '11957E' WHEN 1 THEN '12016E' ELSE 'ECHR' END AS identifier FROM fx_cited_texts),
+ r AS (SELECT case_id, identifier, CAST(a AS VARCHAR) AS article, concat('Artikel ', CAST(a AS VARCHAR), CASE identifier WHEN '11957E' THEN ', lid 2, EG-Verdrag' WHEN '12016E' THEN ' van het VWEU' ELSE ' EVRM' END) AS raw_reference FROM c),
+ p AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '11957E' WHEN 1 THEN '12016E' ELSE 'other' END AS identifier, CAST(p_partkey % 5 + 1 AS VARCHAR) AS art FROM part),
+ acts AS (SELECT identifier, min(p_partkey) AS act_id FROM p GROUP BY 1), prov AS (SELECT identifier, art, min(p_partkey) AS provision_id FROM p GROUP BY 1, 2)
+SELECT case_id, r.identifier, article, raw_reference, act_id, provision_id FROM r LEFT JOIN acts USING (identifier) LEFT JOIN prov ON prov.identifier = acts.identifier AND prov.art = article""")
+def _(t):
+    treaty = lambda n, names: X.first_rule([(n == i, F.lit(name)) for i, name in enumerate(names)], F.lit(names[-1]))
+    tail = treaty(F.col("case_id") % 3, (", lid 2, EG-Verdrag", " van het VWEU", " EVRM"))
+    texts = t.cited_texts.select("case_id", F.concat("text", F.lit(" zie Artikel "), (F.col("case_id") % 7 + 1).cast("string"), tail, F.lit(". Einde")).alias("text"))
+    identifier = treaty(F.col("p_partkey") % 4, ("11957E", "12016E", "other"))
+    parts = t.part.select("p_partkey", identifier.alias("identifier"), (F.col("p_partkey") % 5 + 1).cast("string").alias("article_label"))
+    acts = parts.groupBy("identifier").agg(F.min("p_partkey").alias("act_id"))
+    provisions = parts.select(F.col("p_partkey").alias("provision_id"), "identifier", "article_label").join(acts, "identifier")
+    return L.link_treaties(texts, TREATIES, acts, provisions).select("case_id", "identifier", "article", "raw_reference", "act_id", "provision_id")
 
 
 @query("link_articles", "L19", r"""
