@@ -89,3 +89,12 @@ def test_rewrite_keeps_cells_without_uris(spark):
 def test_language_tables(values):
     assert values(["English", "nl", "Klingon", None], ids.norm_lang) == ["en", "nl", None, None]
     assert len(fixed.LANGUAGE_NAMES) == 24 and len(fixed.HUDOC_LANGUAGES) == 40
+
+
+def test_cues_in_capitals_with_accents_and_no_break_spaces(values):
+    from lexmill.functions import citations, text
+
+    flags = values(["AFFAIRE X c. Y (SATISFACTION ÉQUITABLE)", "X (RÉVISION)", "JUST SATISFACTION", "X (DÉC.)", "Grande Chambre"], citations.cue_flags)
+    assert [f.secondary_cue for f in flags] == ["just_satisfaction", "revision", "just_satisfaction", None, None]
+    assert [f.decision_cue for f in flags] == [False, False, False, True, False] and flags[4].grand_chamber
+    assert values(["&#39;s-Gravenhage Li&egrave;ge &amp;lt; &bogus; &#x2014;", None], text.unescape_html) == ["'s-Gravenhage Liège &lt; &bogus; —", None]

@@ -88,3 +88,37 @@ def test_gates(spark):
     report = spark.createDataFrame([("duplicate_case_eclis", 0), ("cases_rows", 46_000), ("malformed_celex", 2)], "metric string, value long")
     bad = {r.metric for r in quality.publish_gates(report, quality.gate_rules(spark)).collect()}
     assert "cases_rows" not in bad and "duplicate_case_eclis" not in bad and {"malformed_celex", "lost_eclis", "fulltexts_rows"} <= bad
+
+
+def test_deleted_case_without_ecli_leaves_no_link(spark):
+    edges = spark.createDataFrame([("e1", 1, 2, "cites", "d", None, None)], "edge_id string, source_case_id long, target_case_id long, relation_type string, source_dataset string, target_ecli_raw string, target_celex_raw string")
+    cases = spark.createDataFrame([(1, "E1", None), (2, None, "62001CJ0001")], "case_id long, ecli string, celex_id string")
+    after, _ = M.delete_cases(edges, cases, spark.createDataFrame([(2,)], "case_id long"))
+    r = after.first()
+    assert (r.target_case_id, r.target_ecli_raw, r.target_celex_raw) == (None, None, "62001CJ0001")
+
+
+def test_namesakes_that_nobody_listed_stay_apart(spark):
+    people = spark.createDataFrame([(1, "Rossi", []), (2, "Rossi", []), (3, "Rosi", ["R."]), (4, "Bianchi", []), (5, "Verdy", [])], "person_id long, full_name string, aliases array<string>")
+    links = spark.createDataFrame([(10, 1, "judge"), (10, 2, "judge"), (11, 3, "judge"), (12, 5, "judge")], "case_id long, person_id long, role string")
+    none = spark.createDataFrame([], "old_name string, new_name string")
+    same, kept = M.merge_people(people, links, none)
+    assert same.count() == 5 and sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in links.collect())
+    some = spark.createDataFrame([("Rosi", "Rossi"), ("Verdy", "Verdi")], "old_name string, new_name string")
+    merged, moved = M.merge_people(people, links, some)
+    assert sorted((r.person_id, r.full_name, tuple(r.aliases)) for r in merged.collect()) == [(1, "Rossi", ("R.", "Rosi")), (2, "Rossi", ()), (4, "Bianchi", ()), (5, "Verdi", ("Verdy",))]
+    assert sorted((r.case_id, r.person_id) for r in moved.collect()) == [(10, 1), (10, 2), (11, 1), (12, 5)]
+
+
+def test_rollback_keeps_rows_without_dataset(spark):
+    live = spark.createDataFrame([("a", None), ("b", "new")], "edge_id string, source_dataset string")
+    archive = spark.createDataFrame([("c", "old")], "edge_id string, source_dataset string")
+    assert sorted(r.edge_id for r in M.rollback_swap(live, archive, "new").collect()) == ["a", "c"]
+
+
+def test_two_open_rows_become_one_link(spark):
+    from lexmill.operators import linking
+
+    edges = spark.createDataFrame([("e2", 1, None, "cites", "rs_x", "E9", None), ("e1", 1, None, "cites", "rs_x", "E9", None)], "edge_id string, source_case_id long, target_case_id long, relation_type string, source_dataset string, target_ecli_raw string, target_celex_raw string")
+    new = spark.createDataFrame([(9, "E9", None)], "case_id long, ecli string, celex_id string")
+    assert [r.edge_id for r in linking.link_existing(edges, new).collect()] == ["e1"]
