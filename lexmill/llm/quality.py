@@ -29,6 +29,8 @@ PASSAGE_WORDS = 64
 BUCKETS = 128
 MAX_DOCS, MAX_PASSAGES = 8000, 400
 HIDDEN, GATE = 32, 16
+#: text bytes encoded at once
+SLICE = 2 << 20
 
 _KINDS = np.zeros((6, 256), bool)  # upper, lower, digit, mark, other ASCII, beyond ASCII
 _KINDS[0, 65:91] = _KINDS[1, 97:123] = _KINDS[2, 48:58] = True
@@ -172,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_docs
     )
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=SLICE):
             x, first = encode(batch.column("text"))
             kept = []
             for a, b in zip(first[:-1], first[1:]):
@@ -193,7 +195,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, text
     carried = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, limit=4 << 20):
+        for batch in pieces(batches, limit=SLICE):
             found = model.score(*encode(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(found)], ["doc", "score"])
 
