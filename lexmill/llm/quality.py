@@ -128,25 +128,29 @@ def gradient(p: dict[str, np.ndarray], x: np.ndarray, first: np.ndarray, y: np.n
             "c": o["z"].T @ dlogit, "d": dlogit.sum(keepdims=True)}
 
 
-def train(bags: list[np.ndarray], y: np.ndarray, epochs: int = 30, batch: int = 64, seed: int = 7) -> Model:
-    """Adam on the bags; the weights of the epoch with the least loss on a tenth of the bags are kept."""
+def train(x: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = 30, batch: int = 64, seed: int = 7) -> Model:
+    """Adam on the bags, runs of rows of ``x``, which is scaled in place.
+
+    The weights of the epoch with the least loss on a tenth of the bags are kept.
+    """
     prior = float((y.sum() + 1) / (len(y) + 2))
     if len(set(y.tolist())) < 2:
         return Model(prior)
     rng = np.random.default_rng(seed)
-    stacked = np.concatenate(bags)
-    shift, scale = stacked.mean(axis=0), 1 / (stacked.std(axis=0) + 1e-3)
-    bags = [np.clip((b - shift) * scale, -8, 8) for b in bags]
+    shift, scale = x.mean(axis=0), 1 / (x.std(axis=0) + 1e-3)
+    x -= shift
+    x *= scale
+    np.clip(x, -8, 8, out=x)
     shape = {"W": (FEATURES, HIDDEN), "b": (HIDDEN,), "V": (HIDDEN, GATE), "U": (HIDDEN, GATE), "w": (GATE,), "c": (HIDDEN,), "d": (1,)}
     p = {k: (rng.normal(0, 0.5 / np.sqrt(s[0]), s) if k not in "bd" else np.zeros(s)) for k, s in shape.items()}
     p["d"][:] = np.log(prior / (1 - prior))
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
-    order = rng.permutation(len(bags))
+    order = rng.permutation(len(y))
     held, own = order[:len(order) // 10], order[len(order) // 10:]
     best, least, step = {k: a.copy() for k, a in p.items()}, np.inf, 0
 
     def stack(idx):
-        return np.concatenate([bags[i] for i in idx]), np.concatenate([[0], np.cumsum([len(bags[i]) for i in idx])]), y[idx]
+        return np.concatenate([x[first[i]:first[i + 1]] for i in idx]), np.concatenate([[0], np.cumsum(np.diff(first)[idx])]), y[idx]
 
     for epoch in range(epochs):
         rng.shuffle(own)
@@ -157,8 +161,8 @@ def train(bags: list[np.ndarray], y: np.ndarray, epochs: int = 30, batch: int =
                 m[k] += 0.1 * (d - m[k])
                 v[k] += 0.001 * (d * d - v[k])
                 p[k] -= 3e-3 * (1 - epoch / epochs) * m[k] / (1 - 0.9 ** step) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
-        x, first, truth = stack(held if len(held) else own)
-        score = np.clip(_sigmoid(forward(p, x, first)["logit"]), 1e-6, 1 - 1e-6)
+        bags, starts, truth = stack(held if len(held) else own)
+        score = np.clip(_sigmoid(forward(p, bags, starts)["logit"]), 1e-6, 1 - 1e-6)
         loss = -np.mean(truth * np.log(score) + (1 - truth) * np.log(1 - score))
         if loss < least:
             best, least = {k: a.copy() for k, a in p.items()}, loss
@@ -186,8 +190,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_docs
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("id", "y", "text")
     kind = docs.schema[id_col].dataType.simpleString()
     found = rows.mapInArrow(bags, f"id {kind}, y int, x binary").collect()
-    found = sorted({(r.id, bytes(r.x)): r for r in found}.values(), key=lambda r: (r.id, bytes(r.x)))[:max_docs]
-    return train([np.frombuffer(r.x, np.float16).reshape(-1, FEATURES).astype(np.float32) for r in found], np.array([r.y for r in found], float)) if found else Model(0.5)
+    found = sorted({(r.id, bytes(r.x), r.y) for r in found})[:max_docs]
+    if not found:
+        return Model(0.5)
+    first = np.concatenate([[0], np.cumsum([len(x) // (2 * FEATURES) for _, x, _ in found])])
+    x = np.empty((first[-1], FEATURES), np.float32)
+    for a, b, (_, row, _) in zip(first[:-1], first[1:], found):
+        x[a:b] = np.frombuffer(row, np.float16).reshape(-1, FEATURES)
+    return train(x, first, np.array([y for _, _, y in found], float))
 
 
 def score(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, text_col: str = "text") -> DataFrame:
