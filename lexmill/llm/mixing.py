@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.lineage import cut
+from ..operators.lineage import cut, forget
 from .common import WORD
 
 #: documents of one size class are numbered in so many parts
@@ -74,7 +74,9 @@ def solve_duals(classes: DataFrame, targets: DataFrame, ceiling: float, toleranc
             "source", "target", "mean", F.col("low").alias("lo"), F.col("high").alias("hi"), miss.alias("miss"),
             F.when(miss <= tolerance, F.col("lam")).when((F.col("dg") > 0) & (step > F.col("low")) & (step < F.col("high")), step).otherwise(
                 (F.col("low") + F.col("high")) / 2).alias("lam"))
-        state = cut(moved)
+        written = cut(moved)
+        forget(state)
+        state = written
         worst = state.agg(F.max("miss").alias("m")).first().m
         if worst is None or worst <= tolerance:
             break
