@@ -3,8 +3,9 @@
 The reference is the corpus itself: one copy of every distinct passage that may repeat in part (see
 ``passages``), dealt into shards of bounded size by anchor; equal windows have equal anchors, so a
 passage only has to be streamed through the shards of its anchor, and the task that builds a
-shard's automaton streams them. An anchor with more passages than a shard holds is dealt over
-several shards, all of which its passages visit. Streaming gives the matching statistics: at every
+shard's automaton streams them. Passages of an anchor that has more than a shard holds are cut anew
+by longer anchors, down to single windows, until each has less; what is alone then is left out, and
+windows that then repeat as a whole are settled by their count. Streaming gives the matching statistics: at every
 word the longest match that ends there, cut at the window, and how often it occurs; all words of
 windows that occur elsewhere go.
 
@@ -24,12 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lineage import cut
 from .common import blob, gram_hashes, pieces, raw, row_key, words
-from .passages import SEGMENT, contested, covered, marks, runs, segments
+from .passages import covered, marks, narrowed, runs, segments
 
 WINDOW, ANCHOR = 35, 8
-#: words of one shard of the reference
+#: words of one shard of the reference, on average, and of one anchor at most
 SHARD_WORDS = 60_000
 
 
@@ -96,38 +96,46 @@ class SuffixAutomaton:
         return sizes, counts
 
 
-def _segments(window: int, n: int):
+def _hashes(texts: pa.Array, packed: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' word hashes in one array and where each text starts; packed texts are such hashes."""
+    data, offsets = raw(texts)
+    if packed:
+        return data.copy().view(np.uint64), offsets // 8
+    w = words(data, offsets)
+    return w.hashes()[w.code] if len(w.code) else np.zeros(0, np.uint64), w.first
+
+
+def _segments(window: int, n: int, packed: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            data, offsets = raw(batch.column("text"))
-            w = words(data, offsets)
-            hashes = w.hashes()[w.code] if len(w.code) else np.zeros(0, np.uint64)
-            text, start, many, anchor = segments(gram_hashes(hashes, n), w.first, window, n)
-            packed = blob(hashes)
-            content = np.fromiter((xxhash.xxh3_64_intdigest(packed[8 * a:8 * b]) for a, b in zip(start.tolist(), (start + many + window - 1).tolist())), np.uint64, len(start))
+            hashes, offsets = _hashes(batch.column("text"), packed)
+            text, start, many, anchor = segments(gram_hashes(hashes, n), offsets, window, n)
+            whole = blob(hashes)
+            content = np.fromiter((xxhash.xxh3_64_intdigest(whole[8 * a:8 * b]) for a, b in zip(start.tolist(), (start + many + window - 1).tolist())), np.uint64, len(start))
             owner = pa.array(text)
             yield pa.RecordBatch.from_arrays([
-                batch.column("k1").take(owner), batch.column("k2").take(owner), pa.array(start - w.first[text]), pa.array(many),
-                pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))], ["k1", "k2", "start", "windows", "anchor", "content"])
+                *(batch.column(c).take(owner) for c in ("k1", "k2", "base")),
+                pa.array(start - offsets[text] + batch.column("base").to_numpy()[text]), pa.array(many),
+                pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column("n").take(owner)],
+                ["k1", "k2", "base", "start", "windows", "anchor", "content", "n"])
 
     return run
 
 
-def _passages(window: int):
-    """The word hashes of the parts of each document."""
+def _passages(window: int, packed: bool = False):
+    """The word hashes of the parts of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            data, offsets = raw(batch.column("text"))
-            w = words(data, offsets)
-            hashes = w.hashes()[w.code] if len(w.code) else np.zeros(0, np.uint64)
+            hashes, offsets = _hashes(batch.column("text"), packed)
             rows = []
-            for first, k1, k2, parts in zip(w.first.tolist(), *(batch.column(c).to_pylist() for c in ("k1", "k2", "parts"))):
+            for first, k1, k2, base, parts in zip(offsets.tolist(), *(batch.column(c).to_pylist() for c in ("k1", "k2", "base", "parts"))):
                 for p in parts:
-                    a = first + p["start"]
-                    rows.append((k1, k2, p["start"], p["anchor"], p["content"], p["n"], blob(hashes[a:a + p["windows"] + window - 1])))
+                    a = first + p["start"] - base
+                    rows.append((k1, k2, p["start"], p["anchor"], p["content"], p["n"], p["hot"], blob(hashes[a:a + p["windows"] + window - 1])))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (*[pa.int64()] * 6, pa.binary()))], ["k1", "k2", "start", "anchor", "content", "n", "words"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (*[pa.int64()] * 6, pa.bool_(), pa.binary()))],
+                    ["k1", "k2", "start", "anchor", "content", "n", "hot", "items"])
 
     return run
 
@@ -135,19 +143,19 @@ def _passages(window: int):
 def _match(window: int):
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates(["anchor", "content"])
-        hashes = [np.frombuffer(x, np.uint64) for x in frame["words"]]
+        hashes = [np.frombuffer(x, np.uint64) for x in frame["items"]]
         _, code = np.unique(np.concatenate(hashes), return_inverse=True)
         code = code.tolist()
         stop = np.cumsum([len(h) for h in hashes]).tolist()
         sequences = [code[b - len(h):b] for h, b in zip(hashes, stop)]
-        n, own = frame["n"].tolist(), frame["own"].tolist()
-        automaton = SuffixAutomaton([s for s, o in zip(sequences, own) if o], [k for k, o in zip(n, own) if o])
+        n = frame["n"].tolist()
+        automaton = SuffixAutomaton(sequences, n)
         found = []
-        for sequence, times, mine, k1, k2, start in zip(sequences, n, own, *(frame[c].tolist() for c in ("k1", "k2", "start"))):
+        for sequence, times, k1, k2, start in zip(sequences, n, *(frame[c].tolist() for c in ("k1", "k2", "start"))):
             if times > 1:
                 continue  # repeats as a whole
             sizes, counts = automaton.statistics(sequence, window)
-            again = np.array([s == window and c > mine for s, c in zip(sizes[window - 1:], counts[window - 1:])], bool)
+            again = np.array([s == window and c > 1 for s, c in zip(sizes[window - 1:], counts[window - 1:])], bool)
             found += [(k1, k2, start + a, b - a) for a, b in zip(*(x.tolist() for x in runs(again)))]
         return pd.DataFrame(found, columns=["k1", "k2", "start", "windows"]).astype("int64")
 
@@ -175,20 +183,11 @@ def dedup_words(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_
     """Rows (id, n_words, n_removed, text): every document without the windows of words that occur elsewhere."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
-    keyed = rows.select("k1", "k2", "text")
-    found = cut(keyed.mapInArrow(_segments(window, anchor), SEGMENT))
-    whole, odd = contested(found)
-    parts = cut(keyed.join(odd, ["k1", "k2"]).mapInArrow(_passages(window), "k1 long, k2 long, start long, anchor long, content long, n long, words binary"))
-    size = F.sum(F.octet_length("words") / 8)
-    shards = max(1, int((parts.agg(size.alias("n")).first().n or 0) // SHARD_WORDS) + 1)
-    large = parts.groupBy("anchor").agg(F.ceil(size / SHARD_WORDS).cast("int").alias("over")).where("over > 1")
-    several = parts.join(large, "anchor", "left").withColumn("over", F.coalesce("over", F.lit(1)))
-    dealt = several.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("over") - 1))).withColumn(
-        "own", F.pmod(F.col("content"), F.col("over").cast("long")) == F.col("turn"))
-    shard = F.pmod(F.xxhash64("anchor", "turn"), F.lit(shards)).alias("shard")
-    # shards of an anchor dealt over several are apart, even where their numbers meet
-    again = dealt.groupBy(shard, F.when(F.col("over") > 1, F.col("anchor")).alias("alone"), F.col("turn").alias("part")).applyInPandas(
-        _match(window), "k1 long, k2 long, start long, windows long")
+    whole, parts = narrowed(
+        rows.select("k1", "k2", "text"), lambda n, packed: _segments(window, n, packed), lambda packed: _passages(window, packed), window, anchor, SHARD_WORDS)
+    size = parts.agg(F.sum(F.octet_length("items") / 8).alias("n")).first().n or 0
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(int(size // SHARD_WORDS) + 1)).alias("shard")
+    again = parts.groupBy(shard).applyInPandas(_match(window), "k1 long, k2 long, start long, windows long")
     ranges = covered(whole, again)
     return rows.join(ranges, ["k1", "k2"], "left").select("id", "text", "ranges").mapInArrow(
         _remove(window, id_col), f"`{id_col}` {kind}, n_words long, n_removed long, text string")

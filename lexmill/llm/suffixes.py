@@ -1,8 +1,8 @@
 """Suffix-array dedup on bytes, by a distributed merge sort that knows common prefixes.
 
 Which suffixes have to be sorted, and how far, is found first (the distinguishing prefixes): windows
-of bytes are grouped by anchors (see ``passages``), segments that repeat as a whole are settled, and
-of the others only suffixes stay whose first window has the fingerprint of another one. Neighbouring
+of bytes are grouped by anchors (see ``passages``), segments that repeat as a whole are settled (an
+anchor with more than a task holds is split by longer ones, so first windows are bounded too), and of the others only suffixes stay whose first window has the fingerprint of another one. Neighbouring
 suffixes with neighbouring twins are one string, as long as all their windows together.
 
 Every task sorts its strings into one run per target, front-coded: the length of the prefix shared
@@ -28,12 +28,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lineage import cut
 from .common import mix64, pieces, raw, row_key
-from .passages import SEGMENT, contested, covered, marks, runs, segments
+from .passages import covered, marks, narrowed, runs, segments
 
 WINDOW, ANCHOR = 400, 32
-#: bytes of segments one task looks through, on average, and bytes of strings one target merges
+#: bytes of segments one task looks through, on average, and of one anchor at most; bytes of strings one target merges
 TASK_BYTES, TARGET_BYTES = 4 << 20, 8 << 20
 PIECE = 1 << 20
 
@@ -152,7 +151,7 @@ def fingerprints(data: np.ndarray, window: int) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- jobs
-def _segments(window: int, n: int):
+def _segments(window: int, n: int, packed: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, limit=PIECE):
             data, offsets = raw(batch.column("text"))
@@ -161,24 +160,27 @@ def _segments(window: int, n: int):
             content = np.fromiter((xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(start.tolist(), (start + many + window - 1).tolist())), np.uint64, len(start))
             owner = pa.array(text)
             yield pa.RecordBatch.from_arrays([
-                batch.column("k1").take(owner), batch.column("k2").take(owner), pa.array(start - offsets[text]), pa.array(many),
-                pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))], ["k1", "k2", "start", "windows", "anchor", "content"])
+                *(batch.column(c).take(owner) for c in ("k1", "k2", "base")),
+                pa.array(start - offsets[text] + batch.column("base").to_numpy()[text]), pa.array(many),
+                pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column("n").take(owner)],
+                ["k1", "k2", "base", "start", "windows", "anchor", "content", "n"])
 
     return run
 
 
-def _passages(window: int):
+def _passages(window: int, packed: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, limit=PIECE):
             data, offsets = raw(batch.column("text"))
             whole, rows = data.tobytes(), []
-            for first, k1, k2, parts in zip(offsets.tolist(), *(batch.column(c).to_pylist() for c in ("k1", "k2", "parts"))):
+            for first, k1, k2, base, parts in zip(offsets.tolist(), *(batch.column(c).to_pylist() for c in ("k1", "k2", "base", "parts"))):
                 for p in parts:
-                    a = first + p["start"]
-                    rows.append((k1, k2, p["start"], p["anchor"], p["content"], p["n"], whole[a:a + p["windows"] + window - 1]))
+                    a = first + p["start"] - base
+                    rows.append((k1, k2, p["start"], p["anchor"], p["content"], p["n"], p["hot"], whole[a:a + p["windows"] + window - 1]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (*[pa.int64()] * 6, pa.binary()))], ["k1", "k2", "start", "anchor", "content", "n", "bytes"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (*[pa.int64()] * 6, pa.bool_(), pa.binary()))],
+                    ["k1", "k2", "start", "anchor", "content", "n", "hot", "items"])
 
     return run
 
@@ -226,7 +228,7 @@ def twin_strings(segments: list[bytes], single: list[bool], window: int) -> list
 def _runs(window: int, targets: int):
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates(["anchor", "content"]).reset_index(drop=True)
-        texts, rows = frame["bytes"].tolist(), {}
+        texts, rows = frame["items"].tolist(), {}
         k1, k2, start = (frame[c].to_numpy(np.int64) for c in ("k1", "k2", "start"))
         for seg, at, length, own, first in twin_strings(texts, (frame["n"] == 1).tolist(), window):
             # a string of a segment that occurs once ends with the segment at most
@@ -291,11 +293,9 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_
     """Rows (id, n_bytes, n_removed, n_spans, kept): every document without the byte windows that occur elsewhere."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
-    keyed = rows.select("k1", "k2", "text")
-    found = cut(keyed.mapInArrow(_segments(window, anchor), SEGMENT))
-    whole, odd = contested(found)
-    parts = cut(keyed.join(odd, ["k1", "k2"]).mapInArrow(_passages(window), "k1 long, k2 long, start long, anchor long, content long, n long, bytes binary"))
-    size = parts.agg(F.sum(F.octet_length("bytes")).alias("n")).first().n or 0
+    whole, parts = narrowed(
+        rows.select("k1", "k2", "text"), lambda n, packed: _segments(window, n, packed), lambda packed: _passages(window, packed), window, anchor, TASK_BYTES, 8)
+    size = parts.agg(F.sum(F.octet_length("items")).alias("n")).first().n or 0
     tasks, targets = int(size // TASK_BYTES) + 1, int(size // TARGET_BYTES) + 1
     sorted_runs = parts.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(tasks)).alias("task")).applyInPandas(_runs(window, targets), _RUN)
     again = sorted_runs.groupBy("target").applyInPandas(_merged(window), "k1 long, k2 long, start long, windows long")

@@ -67,3 +67,44 @@ def test_shared_prefix(head, a, b):
     while n < min(len(x), len(y)) and x[n] == y[n]:
         n += 1
     assert suffixes.shared(x, y, 0) == n == suffixes.shared(x, y, len(head))
+
+
+def test_common_anchor_and_first_window_are_split(documents, monkeypatch):
+    """A passage that many documents hold between texts of their own: no anchor and no first window has it all."""
+    made, merged = suffixes._runs, suffixes._merged
+
+    def runs(window, targets):
+        inner = made(window, targets)
+
+        def run(key, frame):
+            sizes = frame.drop_duplicates(["anchor", "content"]).groupby("anchor")[frame.columns[-1]].agg(lambda x: sum(map(len, x)))
+            assert sizes.max() <= 1000, sizes.max()
+            return inner(key, frame)
+
+        return run
+
+    def merge(window):
+        inner = merged(window)
+
+        def run(key, frame):
+            prefix = Counter()
+            for row in frame.itertuples():
+                stop = np.cumsum(np.frombuffer(row.sizes, np.int64)).tolist()
+                reader = suffixes.Run(np.frombuffer(row.common, np.int64).tolist(), [row.rests[a:b] for a, b in zip([0, *stop[:-1]], stop)])
+                while reader.text is not None:
+                    prefix[reader.text[:window]] += len(reader.text)
+                    reader.step()
+            assert max(prefix.values()) <= 1000, prefix.most_common(1)
+            return inner(key, frame)
+
+        return run
+
+    monkeypatch.setattr(suffixes, "TASK_BYTES", 1000)
+    monkeypatch.setattr(suffixes, "_runs", runs)
+    monkeypatch.setattr(suffixes, "_merged", merge)
+    rng = random.Random(2)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    passage, tails = noise(60), [noise(3) for _ in range(4)]
+    rows = [(i, noise(50) + passage + tails[i % 4] * (i % 3 > 0) + noise(50)) for i in range(120)]
+    rows += [(200 + i, noise(20) + passage[10:30] + noise(20)) for i in range(80)]  # less than a window
+    check(documents, rows + [(500, rows[0][1]), (500, rows[0][1])], 24, 8)
