@@ -49,3 +49,26 @@ def test_word_repeated_within_one_document(documents):
 def test_statistics_count_occurrences():
     s = automaton.SuffixAutomaton([[1, 2, 3, 1, 2], [2, 3, 1]], [1, 2])
     assert s.statistics([1, 2, 3, 1, 9, 2, 3], 3) == ([1, 2, 3, 3, 0, 1, 2], [2 + 2, 2, 1, 3, s.count[0], 4, 3])
+
+
+def test_common_anchor_is_split(documents, monkeypatch):
+    """Notices that many documents hold between words of their own: no group has all the passages of an anchor."""
+    made = automaton._match
+
+    def match(window):
+        inner = made(window)
+
+        def run(key, frame):
+            words = frame.drop_duplicates(["anchor", "content"]).groupby("anchor").n.size().max() * window
+            assert words <= 200, words
+            return inner(key, frame)
+
+        return run
+
+    monkeypatch.setattr(automaton, "SHARD_WORDS", 200)
+    monkeypatch.setattr(automaton, "_match", match)
+    rng = random.Random(6)
+    noise = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    short, long = noise(10), noise(30)
+    rows = [(i, " ".join(noise(12) + (short, long)[i % 2] + [f"t{i % 5}"] * (i % 3) + noise(12))) for i in range(150)]
+    check(documents, rows + [(500, rows[1][1]), (500, rows[1][1])], 12, 4)
