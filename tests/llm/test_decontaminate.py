@@ -62,3 +62,33 @@ def test_empty_tables(spark, documents):
     assert [r.hits for r in decontaminate.find_leaks(documents([(1, "a b c d e f g h")]), none).collect()] == [[]]
     assert decontaminate.find_leaks(documents([]), some).collect() == []
     assert [len(r.hits) for r in decontaminate.find_leaks(documents([(1, "a b c d e f g h"), (1, "a b c d e f g h"), (2, None)]), some).collect()] in ([1, 1, 0], [1, 0, 1], [0, 1, 1])
+
+
+def test_finds_what_the_score_accepts(spark, documents):
+    """Copies edited at random, with every third or fourth word replaced, with words between; short items as they are."""
+    rng = random.Random(8)
+    word = lambda: f"w{int(rng.paretovariate(0.6)) % 5000}"  # noqa: E731  some words are in most documents
+    noise = lambda n: [word() for _ in range(n)]
+    items = {i: noise(15 if i % 2 else 24) for i in range(40)}
+    edits = {
+        "third": lambda w: [f"x{j}" if j % 3 == 2 else x for j, x in enumerate(w)],
+        "fourth": lambda w: [f"x{j}" if j % 4 == 3 else x for j, x in enumerate(w)],
+        "between": lambda w: [y for j, x in enumerate(w) for y in (x, f"x{j}")],
+        "random": lambda w: [f"x{j}" if rng.random() < 0.3 else x for j, x in enumerate(w)],
+    }
+    rows, want, ids = [(i, " ".join(noise(200))) for i in range(100)], set(), {}
+    for i, text in items.items():
+        for edit in edits.values():
+            copy = edit(text)
+            key = 1000 + len(ids)
+            ids[key] = i
+            rows.append((key, " ".join(noise(60) + copy + noise(60))))
+            score = local_score(np.unique(copy + text, return_inverse=True)[1][:len(copy)], np.unique(copy + text, return_inverse=True)[1][len(copy):])
+            if score >= decontaminate.MIN_SCORE * decontaminate.MATCH * len(text):
+                want.add((key, i))
+    short = [(900, "qqa"), (901, "qqb qqc"), (902, "qqd qqe qqf")]
+    rows += [(9000 + i, " ".join(noise(30) + [t] + noise(30))) for i, t in short] + [(9999, "qqb or qqc qqd qqe")]
+    tests = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()] + short, "item_id long, text string")
+    got = {(r.doc_id, h.item_id) for r in decontaminate.find_leaks(documents(rows), tests).select("doc.doc_id", "hits").collect() for h in r.hits}
+    assert {(d, i) for d, i in got if i >= 900} == {(9900, 900), (9901, 901), (9902, 902)}
+    assert len(want) >= 130 and len(want - got) <= 0.01 * len(want), (len(want), sorted(want - got))
