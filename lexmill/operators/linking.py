@@ -20,58 +20,13 @@ from ..functions import text as X
 from . import aggregates as A
 from . import joins as J
 from .dedup import dedup_targets, top_per_key
-from .filters import text_match
 from .lineage import cut
+from .scan import Pattern, scan_mentions
 from .sets import classify_drops, compare_edges
 from .topk import stratified_sample, top_change
 
 
-@dataclass(frozen=True)
-class Pattern:
-    """One row of a pattern table: scheme, regular expression, optional cue the text must hold."""
-
-    scheme: str
-    regex: str
-    cue: str | None = None
-
-
-# --- mention scan ----------------------------------------------------------------
-
-def _matches(text: Column, pattern: Pattern, field: str, context: int) -> Column:
-    """Array of match structs with 0-based code-point offsets, found without leaving the JVM.
-
-    The text between matches gives the offsets: start = gaps so far + matches so far.
-    """
-    found = F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(0))
-    gaps = F.transform(F.split(text, pattern.regex, -1), F.length)
-
-    def starts(sizes: Column) -> Column:
-        steps = F.transform(sizes, lambda size, i: F.struct(gaps[i].alias("gap"), size.alias("size")))
-        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-        return F.aggregate(steps, first, lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["size"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["gap"])).alias("starts")), lambda acc: acc["starts"])
-
-    def all_hits(v: Column) -> Column:
-        def one(match: Column, i: Column) -> Column:
-            return X.let(v["starts"][i], lambda s: F.struct(
-                F.lit(pattern.scheme).alias("scheme"), F.lit(field).alias("text_field"), match.alias("raw_text"),
-                s.alias("char_start"), (s + F.length(match)).alias("char_end"),
-                F.substring(text, F.greatest(s - context, F.lit(0)) + 1, F.least(s, F.lit(context)) + F.length(match) + context).alias("context")))
-
-        return F.transform(v["found"], one)
-
-    # only texts with a match are split; everything is bound once per text
-    split_up = lambda f: F.struct(f.alias("found"), starts(F.transform(f, F.length)).alias("starts"))
-    hits = X.let(found, lambda f: F.when(F.size(f) > 0, X.let(split_up(f), all_hits)))
-    return F.when(text.rlike(pattern.cue), hits) if pattern.cue else hits
-
-
-def scan_mentions(texts: DataFrame, keys: Sequence[str], fields: Sequence[str], patterns: Sequence[Pattern], context: int = 60) -> DataFrame:
-    """Every match of the pattern table in the given text columns, with so many characters around it."""
-    per_pattern = [_matches(F.col(f), p, f, context) for f in fields for p in patterns]
-    tested = F.filter(F.array(*per_pattern), lambda a: a.isNotNull())
-    return texts.select(*keys, F.inline(F.flatten(tested)))
-
+# --- mentions ---------------------------------------------------------------------
 
 def norm_mention(scheme, raw) -> Column:
     """Normal form per scheme: hyphens unified, spaces and leading zeros dropped."""
@@ -99,7 +54,10 @@ def resolve_mentions(mentions: DataFrame, identifiers: DataFrame, confidence: fl
     mentions: case_id, scheme, value, lead (nullable). identifiers: scheme, value_normalized,
     case_id, celex.
     """
-    best = identifiers.groupBy("scheme", F.col("value_normalized").alias("value")).agg(
+    # only the identifiers that are asked for are ranked; the join leaves them dealt by the keys of the aggregate
+    asked = mentions.select("scheme", F.explode(F.array("value", "lead")).alias("value")).distinct()
+    known = identifiers.withColumnRenamed("value_normalized", "value").join(asked, ["scheme", "value"], "left_semi")
+    best = known.groupBy("scheme", "value").agg(
         F.min(F.struct(identifier_preference("celex").alias("rank"), "case_id")).alias("b"))
     table = best.select("scheme", "value", F.col("b.case_id").alias("hit"))
     lead_table = table.select("scheme", F.col("value").alias("lead"), F.col("hit").alias("lead_hit"))
@@ -139,15 +97,18 @@ def flush_links(records: DataFrame, resolved_only: bool = False) -> DataFrame:
     return top_per_key(keyed, ["state", "source_case_id", "target_key", "relation_type", "source_dataset"], [F.col("position").desc()])
 
 
+EU_NUMBER = Pattern("cjeu_case_number", fixed.MENTION_EU_NUMBER, starts=fixed.START_EU_NUMBER)
+APPNO = Pattern("echr_appno", fixed.MENTION_APPNO_CUED, starts=fixed.START_APPNO)
+APPNO_CUED = Pattern("echr_appno", fixed.MENTION_APPNO_CUED, fixed.STRASBOURG_CUE, fixed.START_APPNO)
+ECLI = Pattern("ecli", fixed.MENTION_ECLI, starts=("ECLI:",))
+EU_ACT = Pattern("eu_act", fixed.MENTION_DIRECTIVE, starts=fixed.START_DIRECTIVE)
+
 TEXT_PATTERNS = {
-    "RS": ((Pattern("ecli", fixed.MENTION_ECLI), "rs_text_ecli"),
-           (Pattern("cjeu_case_number", fixed.MENTION_EU_NUMBER), "rs_text_cjeu_casenum"),
-           (Pattern("echr_appno", fixed.MENTION_APPNO_CUED, fixed.STRASBOURG_CUE), "rs_text_echr_appno")),
-    "ECHR": ((Pattern("cjeu_case_number", fixed.MENTION_EU_NUMBER), "echr_text_cjeu"),
-             (Pattern("ecli", r"ECLI:NL:[A-Z0-9]{1,7}:[0-9]{4}:[A-Z0-9]{1,25}"), "echr_text_rs"),
-             (Pattern("ljn", fixed.MENTION_LJN), "echr_text_rs")),
-    "CJEU": ((Pattern("ecli", r"ECLI:CE:ECHR:[0-9]{4}:[A-Z0-9]{1,25}"), "cjeu_text_echr"),
-             (Pattern("echr_appno", fixed.MENTION_APPNO_CUED), "cjeu_text_echr")),
+    "RS": ((ECLI, "rs_text_ecli"), (EU_NUMBER, "rs_text_cjeu_casenum"), (APPNO_CUED, "rs_text_echr_appno")),
+    "ECHR": ((EU_NUMBER, "echr_text_cjeu"),
+             (Pattern("ecli", r"ECLI:NL:[A-Z0-9]{1,7}:[0-9]{4}:[A-Z0-9]{1,25}", starts=("ECLI:NL:",)), "echr_text_rs"),
+             (Pattern("ljn", fixed.MENTION_LJN, starts=("LJN",)), "echr_text_rs")),
+    "CJEU": ((Pattern("ecli", r"ECLI:CE:ECHR:[0-9]{4}:[A-Z0-9]{1,25}", starts=("ECLI:CE:ECHR:",)), "cjeu_text_echr"), (APPNO, "cjeu_text_echr")),
 }
 
 
@@ -329,7 +290,7 @@ def resolve_scl(sources: DataFrame, catalog: DataFrame, order: Sequence[str]) ->
 def link_echr_fulltext(texts: DataFrame, with_scl: DataFrame, catalog: DataFrame, context: int = 60) -> DataFrame:
     """Sources without a citation string: numbers cited in the text, read with so many characters around them."""
     rest = texts.join(with_scl.select("case_id"), "case_id", "left_anti")
-    mentions = scan_mentions(rest, ["case_id", "source_date"], ["text"], [Pattern("echr_appno", fixed.MENTION_APPNO_CUED)], context)
+    mentions = scan_mentions(rest, ["case_id", "source_date"], ["text"], [APPNO], context)
     entries = mentions.groupBy(F.col("case_id").alias("source_case_id"), F.col("context").alias("entry")).agg(
         F.min("char_start").alias("entry_order"), F.min("source_date").alias("source_date"))
     edges = resolve_entries(read_entries(entries), catalog_with_secondary(catalog))
@@ -361,12 +322,8 @@ def edge_audit(old: DataFrame, new: DataFrame, sources: DataFrame, catalog: Data
 # --- law, authorities, publications, articles ---------------------------------------
 
 def law_mentions(texts: DataFrame) -> DataFrame:
-    """EU act references in texts: act type, two numbers, article; both number orders as ids.
-
-    A cheap token test comes first, so texts without any keyword skip the expensive pattern.
-    """
-    keyed = texts.where(text_match("text", ["richtlijn", "directive", "verordening", "regulation"], mode="any"))
-    hits = scan_mentions(keyed, ["case_id"], ["text"], [Pattern("eu_act", fixed.MENTION_DIRECTIVE)])
+    """EU act references in texts: act type, two numbers, article; both number orders as ids."""
+    hits = scan_mentions(texts, ["case_id"], ["text"], [EU_ACT])
     shape = r"(?i)(\d{1,4})/(\d{1,4})"
     a, b = F.regexp_extract("raw_text", shape, 1), F.regexp_extract("raw_text", shape, 2)
     letter = F.when(F.lower("raw_text").rlike("^(richtlijn|directive)"), "L").otherwise("R")
@@ -397,7 +354,7 @@ class Treaty:
 def link_treaties(texts: DataFrame, catalog: Sequence[Treaty], acts: DataFrame, provisions: DataFrame) -> DataFrame:
     """Articles of treaties cited in texts, with act and article ids: one row per (case, treaty, article)."""
     shape = r"(?iU)\b(?:articles?|artikel(?:en)?|art\.)\s*(\d{1,3}[a-z]?)\b[^.;]{0,40}?\b(?:%s)(?!\w)"
-    patterns = [Pattern(t.identifier, shape % "|".join(t.names)) for t in catalog]
+    patterns = [Pattern(t.identifier, shape % "|".join(t.names), starts=("art",)) for t in catalog]
     hits = scan_mentions(texts, ["case_id"], ["text"], patterns)
     article = F.lower(F.regexp_extract("raw_text", r"(?iU)^\D+?(\d{1,3}[a-z]?)\b", 1))
     refs = hits.select("case_id", F.col("scheme").alias("identifier"), article.alias("article"), "raw_text").groupBy("case_id", "identifier", "article").agg(
@@ -455,7 +412,7 @@ class Authority:
 
 
 PARLIAMENTARY_PAPER = Authority(
-    "parliamentary_paper", Pattern("kamerstuk", fixed.MENTION_KAMERSTUK),
+    "parliamentary_paper", Pattern("kamerstuk", fixed.MENTION_KAMERSTUK, starts=("Kamerstukken",)),
     r"^Kamerstukken\s+(I{1,2})\s+(\d{4}/\d{2,4}),\s*(\d{2})\s?(\d{3}),\s*nr\.\s*(\d+)$", "kst-$3$4-$5", "$1", "$2")
 
 

@@ -36,8 +36,7 @@ def _all(pattern, scheme, field="text", where="TRUE"):
 _NORM = (r"CASE scheme WHEN 'cjeu_case_number' THEN regexp_replace(replace(replace(raw_text, '‑', '-'), ' ', ''), '^([CTF])-0*', '\1-') "
          r"WHEN 'echr_appno' THEN ltrim(regexp_extract(raw_text, '([0-9]+/[0-9]{2})', 1), '0') ELSE upper(raw_text) END")
 
-PATTERNS = [L.Pattern("cjeu_case_number", fixed.MENTION_EU_NUMBER), L.Pattern("echr_appno", fixed.MENTION_APPNO_CUED, fixed.STRASBOURG_CUE),
-            L.Pattern("ecli", fixed.MENTION_ECLI)]
+PATTERNS = [L.EU_NUMBER, L.APPNO_CUED, L.ECLI]
 
 
 @query("scan_mentions", "L01", f"""
