@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from .dedup import top_per_key
-from .filters import tokens
 from .lineage import cut, forget
 
 
@@ -121,20 +120,6 @@ def network_size(edges: DataFrame) -> DataFrame:
     return e.agg(F.count("*").alias("edges")).withColumn("nodes", nodes.agg(F.count("*")).scalar())
 
 
-def build_index(texts: DataFrame, keys: Sequence[str], column: str = "text") -> DataFrame:
-    """Inverted index rows (token, keys, frequency), with a prefix column to partition on."""
-    words = texts.select(*keys, F.explode(tokens(column)).alias("token"))
-    return words.groupBy("token", *keys).agg(F.count("*").alias("frequency")).withColumn("prefix", F.left("token", F.lit(2)))
-
-
-def search_index(index: DataFrame, terms: Sequence[str], keys: Sequence[str], mode: str = "all") -> DataFrame:
-    """Documents with all (or any) terms and the summed frequency; prefixes prune the scan."""
-    wanted = sorted({w.lower() for w in terms})
-    hits = index.where(F.col("prefix").isin(sorted({w[:2] for w in wanted})) & F.col("token").isin(wanted))
-    found = hits.groupBy(*keys).agg(F.count("*").alias("terms"), F.sum("frequency").alias("score"))
-    return found.where(F.col("terms") >= (len(wanted) if mode == "all" else 1))
-
-
 def trigrams(c) -> Column:
     """Distinct trigrams of the lower-case words, each padded by two blanks before and one after it."""
     words = F.filter(F.split(F.lower(X.as_col(c)), r"[^\p{L}\p{N}]+"), lambda w: w != "")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import filters as S
+from ..operators import postings as P
 from .q_columns import toks_sql
 from .registry import query
 
@@ -26,9 +27,17 @@ WITH w AS (SELECT text_id, {_WORDS} AS w FROM fx_texts)
 SELECT text_id, list_contains(w, 'der') AND list_contains(w, 'und') AS all_terms, list_contains(w, 'the') OR list_contains(w, 'les') AS any_term,
  contains(concat(' ', array_to_string(w, ' '), ' '), ' de la ') AS phrase FROM w""")
 def _(t):
-    return t.texts.select("text_id", S.text_match("text", ["der", "und"]).alias("all_terms"),
-                          S.text_match("text", ["the", "les"], mode="any").alias("any_term"),
-                          S.text_match("text", phrase=["de", "la"]).alias("phrase"))
+    asked = P.ask(t.spark, all_terms=("all", ["der", "und"]), any_term=("any", ["the", "les"]), phrase=("phrase", ["de", "la"]))
+    hits = P.search(P.write_index(t.texts, ["text_id"]), asked)
+    tests = {c: F.coalesce(F.bool_or(F.col("query_id") == c), F.lit(False)) for c in ("all_terms", "any_term", "phrase")}
+    return t.texts.select("text_id").join(hits, "text_id", "left").groupBy("text_id").agg(*[v.alias(c) for c, v in tests.items()])
+
+
+@query("text_match_scan", "F03", f"""
+WITH w AS (SELECT text_id, {_WORDS} AS w FROM fx_texts)
+SELECT text_id FROM w WHERE list_contains(w, 'der') AND contains(concat(' ', array_to_string(w, ' '), ' '), ' der die ')""")
+def _(t):
+    return t.texts.where(S.text_match("text", ["der"], ["der", "die"])).select("text_id")
 
 
 @query("article_filter_modes", "F04", """

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
+from ..operators import postings as P
 from .q_columns import toks_sql
 from .registry import query
 
@@ -70,13 +71,23 @@ _INDEX = r"idx AS (SELECT token, text_id, language, count(*) AS frequency FROM (
 
 @query("inverted_index", "X04", f"WITH {_INDEX} SELECT token, text_id, language, frequency FROM idx")
 def _(t):
-    return G.build_index(t.texts, ["text_id", "language"]).drop("prefix")
+    return P.frequencies(P.write_index(t.texts, ["text_id", "language"]))
 
 
 @query("index_search", "X04", f"WITH {_INDEX} SELECT text_id, language, count(*) AS terms, CAST(sum(frequency) AS BIGINT) AS score FROM idx WHERE token IN ('der', 'und') GROUP BY 1, 2 HAVING count(*) = 2")
 def _(t):
-    keys = ["text_id", "language"]
-    return G.search_index(G.build_index(t.texts, keys), ["der", "und"], keys)
+    index = P.write_index(t.texts, ["text_id", "language"])
+    return P.search(index, P.ask(t.spark, q=("all", ["der", "und"]))).drop("query_id")
+
+
+@query("phrase_search", "X04", r"""
+WITH w AS (SELECT text_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM fx_texts),
+ q AS (SELECT query_id, string_split(phrase, ' ') AS p FROM (VALUES ('de_la', 'de la'), ('of_the', 'of the'), ('four', 'the of and the'), ('twice', 'der der')) v(query_id, phrase)),
+ h AS (SELECT query_id, text_id, w, p FROM w, q WHERE contains(concat(' ', array_to_string(w, ' '), ' '), concat(' ', array_to_string(p, ' '), ' ')))
+SELECT query_id, text_id, CAST(len(list_distinct(p)) AS BIGINT) AS terms, CAST(len(list_filter(w, lambda x: list_contains(p, x))) AS BIGINT) AS score FROM h""")
+def _(t):
+    phrases = {"de_la": "de la", "of_the": "of the", "four": "the of and the", "twice": "der der"}
+    return P.search(P.write_index(t.texts, ["text_id"]), P.ask(t.spark, **{n: ("phrase", p.split()) for n, p in phrases.items()}))
 
 
 _TRI = r"list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> ''), lambda w: list_transform(generate_series(1, length(w) + 1), lambda i: substring(concat('  ', w, ' '), i, 3)))))"

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 CASES_PER_GROUP = 2_000
 TEXTS_PER_GROUP = 500
-POSTING_PARTS = 64
 
 
 class RowCountError(RuntimeError):
@@ -69,12 +68,3 @@ def write_links(df: DataFrame, path: str) -> None:
 def archive_rows(df: DataFrame, path: str) -> None:
     """Rows about to change, as gzipped JSON lines; an existing archive is never overwritten."""
     df.write.mode("errorifexists").option("compression", "gzip").json(path)
-
-
-def write_index(index: DataFrame, path: str) -> None:
-    """Inverted index partitioned by token prefix, so a search reads only its prefixes.
-
-    The postings of one token are dealt over several tasks by their document, however frequent it is.
-    """
-    document = [c for c in index.columns if c not in ("prefix", "token", "frequency")]
-    index.repartition("prefix", "token", F.pmod(F.xxhash64(*document), F.lit(POSTING_PARTS))).write.partitionBy("prefix").mode("errorifexists").parquet(path)

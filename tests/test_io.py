@@ -91,16 +91,6 @@ def test_stream_maintains_counts(spark, tmp_path):
     assert jobs.latest(spark, table).where("case_id = 1").first().cited_by_count == 3
 
 
-def test_index_search_prunes_prefixes(spark, tmp_path):
-    from lexmill.operators import graph
-
-    texts = spark.createDataFrame([(1, "Der Hund und"), (2, "der und der")], "text_id long, text string")
-    path = str(tmp_path / "idx")
-    writers.write_index(graph.build_index(texts, ["text_id"]), path)
-    hits = graph.search_index(spark.read.parquet(path), ["der", "hund"], ["text_id"])
-    assert "PartitionFilters: [" in hits._jdf.queryExecution().toString() and [r.text_id for r in hits.collect()] == [1]
-
-
 def test_window_json_of_any_size(spark, tmp_path):
     body = "x" * 1000
     items = [{"ecli": f"E{i}", "text": body, "n": i, "ok": True, "f": 1.5} for i in range(20_000)]
