@@ -2,7 +2,7 @@
 
 Texts are cut into zones of bounded size. Within a zone a document is a place number, and each token
 has one row: the documents that hold it, how often, and at which word places, as three streams of
-variable-length differences. Every ``BLOCK`` documents a skip entry names the first document and where
+variable-length differences. Every ``block`` documents a skip entry names the first document and where
 the streams go on, so a search that already knows its candidates decodes only the blocks they fall in.
 
 The rows are written sorted by token into folders by token bucket. A search names its tokens, so it
@@ -44,7 +44,7 @@ def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size += values >= 1 << bits
     offsets = np.concatenate([[0], np.cumsum(size)])
     out = np.zeros(offsets[-1], np.uint8)
-    for i in range(6):
+    for i in range(int(size.max(initial=0))):
         left = np.flatnonzero(size > i)
         out[offsets[left] + i] = (values[left] >> (7 * i) & 127) | np.where(size[left] > i + 1, 128, 0)
     return out, offsets
@@ -70,15 +70,15 @@ def _steps(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def zone_postings(codes: np.ndarray, docs: np.ndarray, places: np.ndarray) -> dict[str, np.ndarray | list]:
+def zone_postings(codes: np.ndarray, docs: np.ndarray, places: np.ndarray, size: int = BLOCK) -> dict[str, np.ndarray | pa.Array]:
     """Streams of every token (by code) of a zone; the occurrences come by document and place."""
-    order = np.argsort(codes, kind="stable")
+    order = np.argsort(codes.astype(np.int32), kind="stable")
     codes, docs, places = codes[order], docs[order], places[order]
     opens = np.flatnonzero((np.diff(codes, prepend=-1) != 0) | (np.diff(docs, prepend=-1) != 0))  # postings
     counts, doc, code = np.diff(opens, append=len(codes)), docs[opens], codes[opens]
     token = np.flatnonzero(np.diff(code, prepend=-1) != 0)  # first posting of a token
     nth = np.arange(len(opens)) - np.repeat(token, np.diff(token, append=len(opens)))
-    block = np.flatnonzero(nth % BLOCK == 0)
+    block = np.flatnonzero(nth % size == 0)
     streams = [packed(_steps(doc, block)), packed(counts), packed(_steps(places, opens))]
     at = [s[1] for s in streams]
     at[2] = at[2][np.concatenate([opens, [len(codes)]])]  # of postings, not of words
@@ -86,15 +86,18 @@ def zone_postings(codes: np.ndarray, docs: np.ndarray, places: np.ndarray) -> di
     base = np.repeat(token, np.diff(edge))[block]
     skips = np.stack([doc[block], *(a[block] - a[base] for a in at)], axis=1).astype(np.uint32)
     skip_edge = np.searchsorted(block, edge)
-    spans = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
-    cut_up = [[data[a[x]:a[y]].tobytes() for x, y in spans] for (data, _), a in zip(streams, at)]
+    docs_, counts_, places_ = (_slices(data, a[edge]) for (data, _), a in zip(streams, at))
     return {
         "code": code[token], "n_docs": np.diff(edge), "n_words": np.add.reduceat(counts, token) if len(token) else counts,
-        "skips": [skips[x:y].tobytes() for x, y in zip(skip_edge[:-1].tolist(), skip_edge[1:].tolist())],
-        "docs": cut_up[0], "counts": cut_up[1], "places": cut_up[2]}
+        "skips": _slices(skips.view(np.uint8).ravel(), 16 * skip_edge), "docs": docs_, "counts": counts_, "places": places_}
 
 
-def _zones(keys: Sequence[str], zone_tokens: int):
+def _slices(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The bytes between neighbouring edges, without copying them."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _zones(keys: Sequence[str], zone_tokens: int, block: int):
     """Rows of both kinds: documents (zone, place, keys) and postings (token, zone, streams)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +115,7 @@ def _zones(keys: Sequence[str], zone_tokens: int):
                 part = flat.slice(start[a], start[b] - start[a]).dictionary_encode()
                 found = zone_postings(
                     part.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(b - a), n),
-                    np.arange(start[b] - start[a]) - np.repeat(start[a:b] - start[a], n))
+                    np.arange(start[b] - start[a]) - np.repeat(start[a:b] - start[a], n), block)
                 m = len(found["code"])
                 none = {name: pa.nulls(b - a, kind) for name, kind in _KINDS.items()}
                 rows = {**none, "zone": pa.array(np.full(b - a, number)), "place": pa.array(np.arange(b - a, dtype=np.int32)),
@@ -121,7 +124,7 @@ def _zones(keys: Sequence[str], zone_tokens: int):
                 if m:
                     rows = {"token": part.dictionary.take(pa.array(found["code"])), "zone": pa.array(np.full(m, number)), "place": pa.nulls(m, pa.int32()),
                             **{c: pa.array(found[c].astype(np.int32)) for c in ("n_docs", "n_words")},
-                            **{c: pa.array(found[c], pa.binary()) for c in ("skips", "docs", "counts", "places")},
+                            **{c: found[c] for c in ("skips", "docs", "counts", "places")},
                             **{k: pa.nulls(m, batch.schema.field(k).type) for k in keys}}
                     yield pa.RecordBatch.from_pydict({"is_doc": pa.array(np.zeros(m, bool)), **{c: rows[c] for c in [*_KINDS, "zone", "place", *keys]}})
                 number += 1
@@ -140,13 +143,14 @@ class TextIndex:
     docs: DataFrame
     postings: DataFrame
     keys: list[str]
+    block: int = BLOCK
 
 
 def bucket(token: Column | str) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 
 
-def write_index(texts: DataFrame, keys: Sequence[str], path: str | None = None, column: str = "text", zone_tokens: int = ZONE_TOKENS) -> TextIndex:
+def write_index(texts: DataFrame, keys: Sequence[str], path: str | None = None, column: str = "text", zone_tokens: int = ZONE_TOKENS, block: int = BLOCK) -> TextIndex:
     """Index the texts under ``path``, by default a new folder in the shared one."""
     spark, keys = texts.sparkSession, list(keys)
     if path is None:
@@ -156,7 +160,7 @@ def write_index(texts: DataFrame, keys: Sequence[str], path: str | None = None,
     kinds = ", ".join(f"`{k}` {words.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"is_doc boolean, token string, n_docs int, n_words int, skips binary, docs binary, counts binary, places binary, zone long, place int, {kinds}"
     # both kinds come from one pass, written once: zones are numbered by that pass alone
-    words.mapInArrow(_zones(keys, zone_tokens), schema).write.partitionBy("is_doc").parquet(f"{path}/raw")
+    words.mapInArrow(_zones(keys, zone_tokens, block), schema).write.partitionBy("is_doc").parquet(f"{path}/raw")
     raw = spark.read.schema(schema).parquet(f"{path}/raw")
     raw.where("is_doc").select("zone", "place", *keys).write.parquet(f"{path}/docs")
     rows = raw.where("NOT is_doc").withColumn("bucket", bucket("token")).select(*[c.split()[0] for c in _POSTINGS.split(", ")])
@@ -164,21 +168,23 @@ def write_index(texts: DataFrame, keys: Sequence[str], path: str | None = None,
     rows.repartitionByRange("bucket", "token", "zone").sortWithinPartitions("bucket", "token", "zone").write.partitionBy("bucket").parquet(f"{path}/postings")
     raw._cut_path = f"{path}/raw"
     forget(raw)
-    return open_index(spark, path, keys)
+    return open_index(spark, path, keys, block)
 
 
-def open_index(spark: SparkSession, path: str, keys: Sequence[str]) -> TextIndex:
-    return TextIndex(spark.read.parquet(f"{path}/docs"), spark.read.schema(_POSTINGS).parquet(f"{path}/postings"), list(keys))
+def open_index(spark: SparkSession, path: str, keys: Sequence[str], block: int = BLOCK) -> TextIndex:
+    return TextIndex(spark.read.parquet(f"{path}/docs"), spark.read.schema(_POSTINGS).parquet(f"{path}/postings"), list(keys), block)
 
 
 def frequencies(index: TextIndex) -> DataFrame:
     """Rows (token, keys, frequency): the postings spelled out, without their places."""
+    size = index.block
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column("n_docs").to_numpy().astype(np.int64)
             step, count = (unpacked(np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)) for c in ("docs", "counts"))
             row = np.repeat(np.arange(len(n)), n)
-            block = np.flatnonzero((np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) % BLOCK == 0)
+            block = np.flatnonzero((np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) % size == 0)
             total = np.cumsum(step)
             doc = total - np.repeat(total[block] - step[block], np.diff(block, append=len(row)))
             yield pa.RecordBatch.from_pydict({
