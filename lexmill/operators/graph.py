@@ -128,17 +128,6 @@ def trigrams(c) -> Column:
         F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substring(w, i, F.lit(3))))))
 
 
-def trigram_search(df: DataFrame, column: str, queries: Sequence[str], threshold: float = 0.3) -> DataFrame:
-    """Rows whose trigram similarity to a query reaches the threshold: one map-only pass."""
-    rows = df.withColumn("__t", trigrams(column))
-    scored = []
-    for q in queries:
-        wanted = trigrams(F.lit(q))
-        scored.append(F.struct(F.lit(q).alias("query"), (F.size(F.array_intersect("__t", wanted)) / F.size(F.array_union("__t", wanted))).alias("similarity")))
-    out = rows.select(*df.columns, F.inline(F.array(*scored)))
-    return out.where(F.col("similarity") >= threshold)
-
-
 def trigram_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, column: str, threshold: float) -> DataFrame:
     """Exact similarity join of two name tables by trigram prefix filtering.
 

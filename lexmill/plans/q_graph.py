@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
+from ..operators import names as N
 from ..operators import postings as P
 from .q_columns import toks_sql
 from .registry import query
@@ -97,10 +98,20 @@ _TRI = r"list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(
 WITH p AS (SELECT p_partkey, p_name, {_TRI.format(c='p_name')} AS t FROM part), q AS (SELECT query, {_TRI.format(c='query')} AS g FROM (VALUES ('smal ring'), ('widgets-red')) v(query))
 SELECT p_partkey, query, round(len(list_intersect(t, g)) / len(list_distinct(list_concat(t, g))), 6) AS similarity FROM p, q WHERE len(list_intersect(t, g)) / len(list_distinct(list_concat(t, g))) >= 0.3""")
 def _(t):
-    out = G.trigram_search(t.part.select("p_partkey", "p_name"), "p_name", ["smal ring", "widgets-red"])
+    asked = t.spark.createDataFrame([("smal ring",), ("widgets-red",)], "query string")
+    out = N.trigram_search(t.part.select("p_partkey", "p_name"), "p_name", asked)
     return out.select("p_partkey", "query", F.round("similarity", 6).alias("similarity"))
 
 
+@query("trigram_search_table", "X05", f"""
+WITH v AS (SELECT DISTINCT c_name AS value, {_TRI.format(c='c_name')} AS t FROM customer), q AS (SELECT DISTINCT concat('Customer ', s_name) AS query, {_TRI.format(c="concat('Customer ', s_name)")} AS g FROM supplier)
+SELECT query, value, round(len(list_intersect(t, g)) / len(list_distinct(list_concat(t, g))), 6) AS similarity FROM v, q WHERE len(list_intersect(t, g)) / len(list_distinct(list_concat(t, g))) >= 0.55""")
+def _(t):
+    asked = t.supplier.select(F.concat(F.lit("Customer "), "s_name").alias("query"))
+    out = N.search_names(N.write_names(t.customer, "c_name"), asked, 0.55)
+    return out.withColumn("similarity", F.round("similarity", 6))
+
+
 @query("trigram_name_pairs", "X05", f"""
 WITH a AS (SELECT c_custkey, c_name AS v, {_TRI.format(c='c_name')} AS t FROM customer), b AS (SELECT s_suppkey, replace(s_name, 'Supplier', 'Customer') AS v, {_TRI.format(c="replace(s_name, 'Supplier', 'Customer')")} AS g FROM supplier)
 SELECT c_custkey, s_suppkey, round(len(list_intersect(t, g)) / len(list_distinct(list_concat(t, g))), 6) AS similarity FROM a, b WHERE len(list_intersect(t, g)) / len(list_distinct(list_concat(t, g))) >= 0.95""")
