@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import graph as G
 from ..operators import names as N
 from ..operators import postings as P
+from ..operators import vectors as V
 from .q_columns import toks_sql
 from .registry import query
 
@@ -130,8 +131,17 @@ def _(t):
     parts = t.embeddings.select("label", F.posexplode("embedding").alias("i", "v")).groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("x"))
     centroids = parts.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("vector"))
     queries = centroids.select(F.col("label").cast("long").alias("query_id"), "vector")
+    index = V.write_vectors(t.embeddings, "vec_id", "embedding")
+    return V.search_vectors(index, queries, 5).select("query_id", F.col("id").alias("segment_id"), F.round("similarity", 6).alias("similarity"))
+
+
+@query("nearest_segments_scan", "X06", """
+WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS segment_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS sim FROM embeddings a, embeddings b)
+SELECT query_id, segment_id, round(sim, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, segment_id) rn FROM s) r WHERE rn <= 3""")
+def _(t):
     segments = t.embeddings.select(F.col("vec_id").alias("segment_id"), "embedding")
-    return G.nearest(segments, queries, 5).withColumn("similarity", F.round("similarity", 6))
+    queries = t.embeddings.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return G.nearest(segments, queries, 3).withColumn("similarity", F.round("similarity", 6))
 
 
 def _components_sql(rounds):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import fixed
 from lexmill.operators import aggregates as A
-from lexmill.operators import dedup, graph, joins, linking, quality, topk
+from lexmill.operators import dedup, graph, joins, linking, names, quality, topk
 
 
 def rows(df, *cols):
@@ -172,7 +172,7 @@ def test_page_cursor_walks_everything(spark):
 
 def test_trigrams_go_by_word(spark):
     df = spark.createDataFrame([(1, "widgets red"), (2, "Red, Widgets!"), (3, "other")], "i long, v string")
-    assert rows(graph.trigram_search(df, "v", ["red-widgets"]), "i", "similarity") == [(1, 1.0), (2, 1.0)]
+    assert rows(names.trigram_search(df, "v", spark.createDataFrame([("red-widgets",)], "query string")), "i", "similarity") == [(1, 1.0), (2, 1.0)]
 
 
 def test_nearest_without_queries(spark):
