@@ -297,8 +297,8 @@ def search(index: TextIndex, queries: DataFrame) -> DataFrame:
             mine = right[right["query_id"] == q.name]
             found = {r.token: Postings(r.skips, r.docs, r.counts, r.places) for r in mine.itertuples(index=False)}
             doc, terms, score = matching(found, list(q.asked), q.how)
-            out.append(pd.DataFrame({"query_id": [q.name] * len(doc), "zone": key[0], "place": doc, "terms": terms, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "zone": [], "place": [], "terms": [], "score": []})
+            out += [(q.name, key[0], *row) for row in zip(doc.tolist(), terms.tolist(), score.tolist())]
+        return pd.DataFrame(out, columns=["query_id", "zone", "place", "terms", "score"], dtype=None if out else object)
 
     hits = zones.groupBy("at").cogroup(streams.groupBy("zone")).applyInPandas(answer, f"query_id {kind}, zone long, place int, terms long, score long")
     rows = hits.join(index.docs, ["zone", "place"])

@@ -56,10 +56,21 @@ def _usable(vector):
 
 def _unit(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) with vectors of length one; scaled by the largest component first, so no square overflows."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & _usable(F.col("v")))
-    rows = rows.withColumn("top", F.array_max(F.transform("v", F.abs))).withColumn("v", F.transform("v", lambda x: x / F.col("top")))
-    rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
-    return rows.select("id", F.transform("v", lambda x: x / F.col("norm")).alias("vector"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector")).where(F.col("id").isNotNull() & _usable(F.col("vector")))
+
+    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                column = batch.column("vector")
+                size = np.diff(column.offsets.to_numpy())
+                first = np.cumsum(size) - size
+                v = column.flatten().to_numpy(zero_copy_only=False)
+                v = v / np.repeat(np.maximum.reduceat(np.abs(v), first), size)
+                v /= np.repeat(np.sqrt(np.add.reduceat(v * v, first)), size)
+                vectors = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(v))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), vectors], ["id", "vector"])
+
+    return rows.mapInArrow(scale, f"id {rows.schema['id'].dataType.simpleString()}, vector array<double>")
 
 
 def centre(points: np.ndarray, cells: int, seed: int = 6) -> np.ndarray:
@@ -151,7 +162,7 @@ def search_vectors(index: VectorIndex, queries: DataFrame, k: int, id_col: str =
         out = []
         vectors, ids = np.array(theirs["vector"].tolist()).reshape(-1, size), theirs["id"].to_numpy()
         order = np.argsort(ids, kind="stable")
-        vectors, ids = vectors[order], ids[order]
+        vectors, ids, names = vectors[order], ids[order], mine["query_id"].to_numpy()
         for a in range(0, len(mine), 256):
             block = mine.iloc[a:a + 256]
             if not len(ids):
@@ -159,10 +170,12 @@ def search_vectors(index: VectorIndex, queries: DataFrame, k: int, id_col: str =
             scores = np.array(block["vector"].tolist()).reshape(-1, size) @ vectors.T
             limit = np.partition(scores, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
             row, column = np.nonzero(scores >= limit[:, None])  # all ties at the limit stay in the race
-            found = pd.DataFrame({"query_id": block["query_id"].to_numpy()[row], "id": ids[column], "similarity": scores[row, column]})
-            found = found.sort_values(["query_id", "similarity", "id"], ascending=[True, False, True])
-            out.append(found.groupby("query_id").head(k))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "similarity": []})
+            score, turn = scores[row, column], np.lexsort((column, -scores[row, column], row))  # ids ascend by column
+            row, column, score = row[turn], column[turn], score[turn]
+            top = np.arange(len(row)) - np.searchsorted(row, row) < k
+            out.append((names[a + row[top]], ids[column[top]], score[top]))
+        columns = [np.concatenate(x) for x in zip(*out)] if out else [[], [], []]
+        return pd.DataFrame({name: pd.Series(c, dtype=object) for name, c in zip(("query_id", "id", "similarity"), columns)})
 
     def read(pairs: DataFrame) -> DataFrame:
         """The best of the cells that the pairs name, which alone are read."""
