@@ -1,10 +1,14 @@
 """Incremental maintenance queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import maintenance as M
+from ..operators.lineage import ensure_checkpoint_dir
+from ..streaming import state as S
 from .q_joins import RULES_SQL, era_rules
 from .registry import query
 
@@ -273,3 +277,43 @@ SELECT ref_id, coalesce(legislation_id, CASE WHEN NOT twin THEN act_id END) AS l
 def _(t):
     acts = t.law_elements.select(F.col("bwb_id").alias("identifier"), F.col("element_id").alias("act_id"))
     return M.fill_act_ids(t.law_refs, acts)
+
+
+def _stream(t, parts, job):
+    """Each part is a batch of files that arrives at the stream ``job``; all rows it wrote."""
+    ensure_checkpoint_dir(t.spark)
+    folder = f"{t.spark.sparkContext.getCheckpointDir().rstrip('/')}/stream-{uuid.uuid4().hex}"
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = t.spark.readStream.schema(part.schema).parquet(f"{folder}/in")
+        S.run_to_end(job(stream), f"{folder}/table", f"{folder}/checkpoint")
+    return t.spark.read.parquet(f"{folder}/table")
+
+
+@query("stream_first_texts", "M02", """
+WITH b AS (SELECT text_id, ecli, upper(language) AS language, text_source, CASE text_source WHEN 'CELLAR_ITEM' THEN 1 ELSE 2 END AS batch FROM fx_texts WHERE ecli IS NOT NULL)
+SELECT text_id, ecli, language, text_source FROM (SELECT *, row_number() OVER (PARTITION BY ecli, language ORDER BY batch, text_id) AS rn FROM b) x WHERE rn = 1""")
+def _(t):
+    rows = t.texts.select("text_id", "ecli", F.upper("language").alias("language"), "text_source")
+    first = F.col("text_source") == "CELLAR_ITEM"
+    return _stream(t, [rows.where(first), rows.where(~first)], lambda s: S.first_rows(s, ["ecli", "language"], "text_id"))
+
+
+@query("stream_citation_counts", "M08", """
+WITH d AS (SELECT source_case_id AS case_id, 1 AS o, 0 AS i FROM fx_edges WHERE relation_type = 'cites' UNION ALL SELECT target_case_id, 0, 1 FROM fx_edges WHERE relation_type = 'cites'
+  UNION ALL SELECT source_case_id, -1, 0 FROM fx_edges WHERE relation_type <> 'cites' UNION ALL SELECT target_case_id, 0, -1 FROM fx_edges WHERE relation_type <> 'cites' UNION ALL SELECT CAST(weight AS BIGINT), 0, 1 FROM fx_edges WHERE relation_type = 'appeal_of')
+SELECT case_id, CAST(greatest(sum(o), 0) AS BIGINT) AS cites_count, CAST(greatest(sum(i), 0) AS BIGINT) AS cited_by_count FROM d WHERE case_id IS NOT NULL GROUP BY 1""")
+def _(t):
+    none = F.lit(None).cast("long")
+    row = lambda df, *c: df.select(*[x.cast("long").alias(n) for x, n in zip(c, ("old_source", "old_target", "new_source", "new_target"))])
+    e, src, tgt = t.edges, F.col("source_case_id"), F.col("target_case_id")
+    cites = row(e.where("relation_type = 'cites'"), none, none, src, tgt)
+    later = row(e.where("relation_type <> 'cites'"), src, tgt, none, F.when(F.col("relation_type") == "appeal_of", F.col("weight")))
+    return S.newest(_stream(t, [cites, later], S.running_counts), "case_id")
+
+
+@query("stream_window_states", "M18", "SELECT window_id, arg_max(status, event_id) AS status, max(event_id) AS event_id FROM fx_windows WHERE window_id IS NOT NULL GROUP BY 1")
+def _(t):
+    events = t.windows.select("window_id", "status", F.col("event_id").cast("long").alias("event_id"))
+    late = F.col("event_id") > events.agg(F.avg("event_id")).first()[0]
+    return S.newest(_stream(t, [events.where(late), events.where(~late)], S.newest_states), "window_id")
