@@ -256,21 +256,40 @@ def expand(edges: DataFrame, ids: DataFrame, datasets: DataFrame, direction: str
     return out.distinct()
 
 
+#: jumps are squared while they are at most so many times the steps
+GROWTH = 16
+
+
 def timeline(edges: DataFrame, cases: DataFrame, roots: DataFrame, relations: Sequence[str]) -> DataFrame:
     """Cases reached from each root over typed relations, with the least number of steps and the date.
 
-    Goes on until no step reaches a new case.
+    Jumps are paths with their least number of steps. A round follows every jump from all that is
+    reached, then joins the jumps with themselves, which doubles their length, so the longest chain
+    takes as many rounds as its length has binary digits. Where chains cross so much that the jumps
+    would outgrow the steps ``GROWTH`` times, they stay as they are, and a round goes on by their length.
     """
-    steps = cut(edges.where("target_case_id IS NOT NULL").where(F.col("relation_type").isin(list(relations))).select(
-        F.col("source_case_id").alias("case_id"), F.col("target_case_id").alias("next_id")).where("case_id <> next_id").distinct())
-    frontier = cut(roots.select(F.col("case_id").alias("root"), "case_id").distinct().withColumn("step", F.lit(0)))
-    rounds, seen = [frontier._cut_path], frontier
-    while not frontier.isEmpty():
-        reached = frontier.join(steps, "case_id").select("root", F.col("next_id").alias("case_id")).distinct()
-        frontier = cut(reached.join(seen, ["root", "case_id"], "left_anti").withColumn("step", F.lit(len(rounds))))
-        rounds.append(frontier._cut_path)
-        seen = frontier.sparkSession.read.schema(frontier.schema).parquet(*rounds)  # one scan, however many rounds
-    return seen.join(cases.select("case_id", "date_decision"), "case_id", "left")
+    steps = edges.where("target_case_id IS NOT NULL").where(F.col("relation_type").isin(list(relations))).select(
+        F.col("source_case_id").alias("a"), F.col("target_case_id").alias("b")).where("a <> b").distinct()
+    jumps = cut(steps.withColumn("n", F.lit(1)))
+    most = GROWTH * jumps.count()
+    reach = cut(roots.select(F.col("case_id").alias("root"), "case_id").distinct().withColumn("step", F.lit(0)))
+    before, squaring = None, True
+    while True:
+        moved = reach.join(jumps, F.col("case_id") == F.col("a")).select("root", F.col("b").alias("case_id"), (F.col("step") + F.col("n")).alias("step"))
+        further = cut(reach.unionByName(moved).groupBy("root", "case_id").agg(F.min("step").alias("step")))
+        forget(reach)
+        reach = further
+        now = tuple(reach.agg(F.count("*"), F.sum("step")).first())
+        if now == before:
+            forget(jumps)
+            return reach.join(cases.select("case_id", "date_decision"), "case_id", "left")
+        before = now
+        if squaring:
+            twice = jumps.alias("x").join(jumps.alias("y"), F.col("x.b") == F.col("y.a")).where(F.col("x.a") != F.col("y.b")).select("x.a", "y.b", (F.col("x.n") + F.col("y.n")).alias("n"))
+            squared = cut(jumps.unionByName(twice).groupBy("a", "b").agg(F.min("n").alias("n")))
+            squaring = squared.count() <= most
+            forget(jumps if squaring else squared)
+            jumps = squared if squaring else jumps
 
 
 def citation_trend(edges: DataFrame, cases: DataFrame) -> DataFrame:

@@ -204,3 +204,24 @@ def test_docket_tokens_without_digits(spark):
     entries = spark.createDataFrame([(1, "2001-01-01", "abcd"), (2, "2001-01-01", "b ab"), (3, "2001-01-01", "x1234"), (4, "2001-01-01", "zzzz"), (5, "2001-01-01", "abc")], "e long, date_decision string, token string")
     docs = spark.createDataFrame([(7, "2001-01-01", "AWB abcd ab12 x1234", "Rechtbank"), (8, "2001-01-02", "abcd", "Rechtbank"), (9, "2001-01-01", None, "Rechtbank")], "doc_id long, date_decision string, zaaknummer string, instance string")
     assert rows(joins.match_by_date_and_token(entries, docs), "e", "doc_id") == [(1, 7), (3, 7)]
+
+
+@pytest.mark.parametrize("length, growth", [(200, 1000), (12, 2)])
+def test_timeline_doubles_its_jumps(spark, monkeypatch, length, growth):
+    edges = [(i, i + 1) for i in range(length)] + [(5, 1), (3, 3), (9, 0), (300, 301)]
+    df = spark.createDataFrame([(a, b, "appeal_of") for a, b in edges] + [(0, 300, "cites"), (7, None, "appeal_of")], "source_case_id long, target_case_id long, relation_type string")
+    cases = spark.createDataFrame([(i, "2001-01-01") for i in range(100)], "case_id long, date_decision string")
+    roots, want = [0, 8, 300, 999], set()
+    for r in roots:
+        seen, front, n = {r: 0}, [r], 0
+        while front:
+            n += 1
+            front = sorted({b for a, b in edges if a in front and b not in seen})
+            seen.update(dict.fromkeys(front, n))
+        want |= {(r, c, s) for c, s in seen.items()}
+    writes, real = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda d: writes.append(1) or real(d))
+    monkeypatch.setattr(graph, "GROWTH", growth)
+    got = graph.timeline(df, cases, spark.createDataFrame([(r,) for r in roots], "case_id long"), ["appeal_of"])
+    assert {(r.root, r.case_id, r.step) for r in got.collect()} == want
+    assert len(writes) <= 2 * 10 + 2  # a chain of 200 in at most ten rounds of two writes
