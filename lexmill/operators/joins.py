@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed, ids
 from ..functions import text as X
 from .dedup import top_per_key
-from .lineage import cut
 
 BROADCAST_ROWS = 100_000
 
@@ -136,10 +135,10 @@ def match_by_date_and_token(entries: DataFrame, docs: DataFrame) -> DataFrame:
     compact = F.regexp_replace(F.lower(F.coalesce("zaaknummer", F.lit(""))), r"(?U)\s", "")
     grams = lambda c: F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))
-    asked = cut(entries.where(F.length("token") >= 4).select("date_decision", "token").distinct())
-    # only numbers of dates that are asked for are taken apart, and once for both uses
-    dated = docs.join(asked.select("date_decision").distinct(), "date_decision", "left_semi")
-    keyed = cut(dated.select("doc_id", "date_decision", "instance", compact.alias("__compact")).withColumn("__key", F.explode(grams("__compact"))))
+    asked = entries.where(F.length("token") >= 4).select("date_decision", "token").distinct()
+    # only numbers of dates that are asked for are taken apart
+    dated = docs.select("doc_id", "date_decision", "instance", compact.alias("__compact")).join(asked.select("date_decision").distinct(), "date_decision", "left_semi")
+    keyed = dated.withColumn("__key", F.explode(grams("__compact")))
     counts = keyed.groupBy("date_decision", "__key").agg(F.count("*").alias("n"))
     split = asked.withColumn("__grams", grams(F.col("token"))).withColumn("__size", F.size("__grams")).withColumn("__key", F.explode("__grams"))
     # a token with a trigram that no number of that date has occurs in none of them
