@@ -300,6 +300,8 @@ def _walked(folder: str, k: int, total: int, length: int):
                 codes, edge = raw(batch.column("codes").take(pa.array(own)))
                 tfs, _ = raw(batch.column("tfs").take(pa.array(own)))
                 full = np.diff(edge) > 0
+                if not full.any():  # none of the items' terms; if no document has one, the terms have no weights
+                    continue
                 waiting.setdefault(int(block), []).append((
                     ids[own][full], batch.column("n").to_numpy()[own][full], (np.diff(edge) // 4)[full],
                     codes.view(np.uint32).astype(np.int64), tfs.view(np.uint32).astype(np.int64)))
