@@ -80,7 +80,7 @@ def _refuse(name: str):
 
 
 def _decode_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Items of each file: strings as they are, other values as JSON text; or one row with a reason."""
+    """Items of each file: strings as they are, lists and objects as JSON text with sorted keys, numbers and truth values apart; or one row with a reason."""
     names = ["window", "reason", "position", "texts", "others"]
     kinds = [pa.string(), pa.string(), pa.int64(), *[pa.map_(pa.string(), pa.string())] * 2]
     rows: list[tuple] = []
@@ -108,8 +108,10 @@ def _decode_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 continue
             for position, item in _list_items(data):
                 if isinstance(item, dict):
-                    texts = [(k, v) for k, v in item.items() if isinstance(v, str) or v is None]
-                    others = [(k, json.dumps(v, ensure_ascii=False)) for k, v in item.items() if not isinstance(v, str) and v is not None]
+                    text = lambda v: json.dumps(v, ensure_ascii=False, sort_keys=True) if isinstance(v, (list, dict)) else v
+                    plain = {k: text(v) for k, v in item.items()}
+                    texts = [(k, v) for k, v in plain.items() if isinstance(v, str) or v is None]
+                    others = [(k, json.dumps(v)) for k, v in plain.items() if not isinstance(v, str) and v is not None]
                     rows.append((window, None, position, texts, others))
                     size += sum(len(v or "") for _, v in texts)
                 if size > _BATCH_CHARS or len(rows) > 5000:

@@ -106,3 +106,13 @@ def test_window_json_of_any_size(spark, tmp_path):
     assert (r.position, r.text, r.n, r.ok, r.f, r.source_window) == (777, body, "777", "true", "1.5", "big")
     assert rows.where("ecli = 'L'").selectExpr("length(text)").first()[0] == 17 << 20
     assert sorted((r.source_window, r.reason) for r in rejects.collect()) == [("cut", "malformed"), ("tail", "malformed")]
+
+
+def test_nested_json_beyond_the_parse_limit_is_kept(spark, tmp_path):
+    nested = {"b": ["é" * 1000] * 11_000, "a": {"n": 1}}
+    (tmp_path / "big.json").write_text(json.dumps([{"ecli": "E1", "x": nested}, {"ecli": "E2", "x": {"b": [2, 1], "a": None}}], ensure_ascii=False), encoding="utf-8")
+    assert (tmp_path / "big.json").stat().st_size > 20 << 20
+    rows, rejects = readers.read_window_json(spark, str(tmp_path))
+    got = {r.ecli: r.x for r in rows.collect()}
+    assert json.loads(got["E1"]) == nested and got["E1"].startswith('{"a": {"n": 1}, "b": ["') and rejects.count() == 0
+    assert got["E2"] == '{"a": null, "b": [2, 1]}'
