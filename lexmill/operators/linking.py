@@ -293,7 +293,10 @@ def link_echr_fulltext(texts: DataFrame, with_scl: DataFrame, catalog: DataFrame
     mentions = scan_mentions(rest, ["case_id", "source_date"], ["text"], [APPNO], context)
     entries = mentions.groupBy(F.col("case_id").alias("source_case_id"), F.col("context").alias("entry")).agg(
         F.min("char_start").alias("entry_order"), F.min("source_date").alias("source_date"))
-    edges = resolve_entries(read_entries(entries), catalog_with_secondary(catalog))
+    # EU case numbers beside a mention are no application numbers, nor is what is left of one where the characters begin
+    begun = F.when(F.col("entry_order") > context, F.regexp_replace("entry", rf"^\S{{1,{context}}}(?=\s)", "")).otherwise(F.col("entry"))
+    read = read_entries(entries).withColumn("appnos", ids.all_appnos(F.regexp_replace(begun, fixed.MENTION_EU_NUMBER, " ")))
+    edges = resolve_entries(read, catalog_with_secondary(catalog))
     return dedup_targets(edges, [F.col("entry_order").asc(), F.col("entry").asc()]).select("source_case_id", "target_case_id", "appno", "rule")
 
 

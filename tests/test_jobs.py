@@ -225,3 +225,12 @@ def test_timeline_doubles_its_jumps(spark, monkeypatch, length, growth):
     got = graph.timeline(df, cases, spark.createDataFrame([(r,) for r in roots], "case_id long"), ["appeal_of"])
     assert {(r.root, r.case_id, r.step) for r in got.collect()} == want
     assert len(writes) <= 2 * 10 + 2  # a chain of 200 in at most ten rounds of two writes
+
+
+def test_fulltext_reads_no_eu_numbers(spark):
+    cat = catalog(spark, [(n, "judgment", "2000-01-01", False, "A", "Violation", f"i{n}", None, [a]) for n, a in ((10, "17/98"), (11, "119/96"), (12, "24/08"), (13, "5/01"))])
+    texts = spark.createDataFrame([
+        (1, "word " * 4 + "joined cases C-17/98 en T-119/96. A. EHRM ECLI:EU:C:1998:4616 (application no. 24/08) and so on"),
+        (2, "x" * 40 + " C-17/98 en T-119/96. A. EHRM ECLI:EU:C:1998:46167 (application no. 24/08) and"), (3, "5/01 and application no. 24/08")], "case_id long, text string").withColumn("source_date", F.lit(None).cast("date"))
+    out = linking.link_echr_fulltext(texts, texts.where("false"), cat)
+    assert {r for r in rows(out, "source_case_id", "appno") if r[0] < 3} == {(1, "24/08"), (2, "24/08")}
