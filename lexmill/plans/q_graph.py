@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import communities as M
 from ..operators import graph as G
 from ..operators import names as N
 from ..operators import postings as P
@@ -161,6 +162,44 @@ def _(t):
     return G.cluster_sizes(G.clusters(t.edges))
 
 
+def _communities_sql(rounds, levels, seed):
+    """Membership (m: node, community) after whole levels of so many rounds; a level that does not raise modularity ends it."""
+    score = "SELECT (SELECT sum(w) FROM {0}) * coalesce((SELECT sum(w) FROM {0} WHERE a = b), 0) - (SELECT sum(CAST(s AS HUGEINT) * s) FROM (SELECT sum(w) AS s FROM {0} GROUP BY a) y) AS q"
+    sql = (f"WITH {_E}, l0 AS MATERIALIZED (SELECT a, b, count(*) AS w FROM (SELECT src AS a, dst AS b FROM e UNION ALL SELECT dst, src FROM e) x GROUP BY 1, 2), "
+           f"tot AS MATERIALIZED (SELECT CAST(sum(w) AS HUGEINT) AS t FROM l0), m0 AS MATERIALIZED (SELECT node, node AS c FROM n), q0 AS MATERIALIZED ({score.format('l0')})")
+    for i in range(levels):
+        sql += f", s{i}_0 AS MATERIALIZED (SELECT a, CAST(sum(w) AS HUGEINT) AS k, a AS c FROM l{i} GROUP BY a)"
+        for r in range(rounds):
+            s, turn = f"s{i}_{r}", f"(substring(md5(concat('{seed}|{i}|{r // 2}|', CAST(s.a AS VARCHAR))), 1, 1) < '8') = {r % 2 == 0}"
+            sql += (f", z{i}_{r} AS MATERIALIZED (SELECT c, sum(k) AS s FROM {s} GROUP BY c)"
+                    f", p{i}_{r} AS MATERIALIZED (SELECT l.a, x.c AS d, sum(w) AS w FROM l{i} l JOIN {s} x ON x.a = l.b WHERE l.a <> l.b GROUP BY 1, 2)"
+                    f", o{i}_{r} AS MATERIALIZED (SELECT * FROM (SELECT p.a, p.d, t * w - k * z.s AS worth, row_number() OVER (PARTITION BY p.a ORDER BY t * w - k * z.s DESC, p.d) AS rn"
+                    f" FROM p{i}_{r} p JOIN {s} s ON s.a = p.a AND s.c <> p.d JOIN z{i}_{r} z ON z.c = p.d CROSS JOIN tot) y WHERE rn = 1)"
+                    f", s{i}_{r + 1} AS MATERIALIZED (SELECT s.a, s.k, CASE WHEN o.worth > coalesce(t * g.w, 0) - s.k * (z.s - s.k) AND {turn} THEN o.d ELSE s.c END AS c"
+                    f" FROM {s} s JOIN z{i}_{r} z ON z.c = s.c CROSS JOIN tot LEFT JOIN o{i}_{r} o ON o.a = s.a LEFT JOIN p{i}_{r} g ON g.a = s.a AND g.d = s.c)")
+        end = f"s{i}_{rounds}"
+        sql += (f", l{i + 1} AS MATERIALIZED (SELECT x.c AS a, y.c AS b, sum(w) AS w FROM l{i} l JOIN {end} x ON x.a = l.a JOIN {end} y ON y.a = l.b GROUP BY 1, 2)"
+                f", q{i + 1} AS MATERIALIZED ({score.format(f'l{i + 1}')}), m{i + 1} AS MATERIALIZED (SELECT node, x.c FROM m{i} JOIN {end} x ON x.a = m{i}.c)")
+    rises = lambda i: " AND ".join(f"(SELECT q FROM q{j}) > (SELECT q FROM q{j - 1})" for j in range(1, i + 1))
+    last = " UNION ALL ".join(
+        f"SELECT node, c FROM m{i} WHERE {rises(i) or 'true'}" + (f" AND NOT coalesce((SELECT q FROM q{i + 1}) > (SELECT q FROM q{i}), false)" if i < levels else "")
+        for i in range(levels + 1))
+    return sql + f", ch AS MATERIALIZED ({last}), m AS MATERIALIZED (SELECT node, min(node) OVER (PARTITION BY c) AS community FROM ch)"
+
+
+@query("communities", "X07", _communities_sql(6, 2, 7) + " SELECT node, community FROM m")
+def _(t):
+    return M.communities(t.edges, rounds=6, levels=2, seed=7)
+
+
+@query("community_scores", "X07", _communities_sql(6, 2, 7) + """, lm AS (SELECT x.community, y.community AS other, w FROM l0 JOIN m x ON x.node = a JOIN m y ON y.node = b)
+SELECT community, (SELECT count(*) FROM m WHERE m.community = lm.community) AS size, CAST(coalesce(sum(w) FILTER (community = other), 0) AS BIGINT) AS inner_weight, CAST(sum(w) AS BIGINT) AS degree,
+ round(coalesce(sum(w) FILTER (community = other), 0) / (SELECT CAST(sum(w) AS DOUBLE) FROM l0) - (sum(w) / (SELECT CAST(sum(w) AS DOUBLE) FROM l0)) ** 2, 9) AS modularity FROM lm GROUP BY 1""")
+def _(t):
+    out = M.community_scores(t.edges, M.communities(t.edges, rounds=6, levels=2, seed=7))
+    return out.withColumnRenamed("inner", "inner_weight").withColumn("modularity", F.round("modularity", 9))
+
+
 @query("expand_neighbours", "X08", """
 WITH l AS (SELECT * FROM fx_edges WHERE target_case_id IS NOT NULL AND source_dataset = 'ds_O' AND relation_type IN ('cites', 'joins')), r AS (SELECT DISTINCT case_id AS root FROM fx_texts)
 SELECT DISTINCT root, target_case_id AS neighbour, relation_type, source_dataset, 'out' AS direction FROM l JOIN r ON root = source_case_id UNION SELECT DISTINCT root, source_case_id, relation_type, source_dataset, 'in' FROM l JOIN r ON root = target_case_id""")
