@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -211,15 +211,16 @@ def clusters(edges: DataFrame) -> DataFrame:
     links = cut(both.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     mark = None
     while True:
-        stars = cut(_large_star(links))
-        settled = cut(_small_star(stars))
-        forget(links, stars)
+        # the totals that tell whether anything changed are taken while the round is written
+        seen = Observation()
+        settled = cut(_small_star(_large_star(links)).observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        forget(links)
         links = settled
-        now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == (now.n, now.h):
+        now = (seen.get["n"], seen.get["h"])
+        if mark == now:
             return nodes.join(links.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select(
                 "node", F.coalesce("component", "node").alias("component"))
-        mark = (now.n, now.h)
+        mark = now
 
 
 def _large_star(links: DataFrame) -> DataFrame:
