@@ -8,6 +8,7 @@ from ..functions import text as X
 from ..operators.lineage import ensure_checkpoint_dir
 from ..operators.quality import expected_targets
 from ..sources import readers as R
+from ..sources import window_source as S
 from ..sources import writers as Wr
 from .registry import query
 
@@ -19,14 +20,27 @@ def fresh_folder(spark, name: str) -> str:
 
 
 
-@query("read_window_csv", "S01", """
-SELECT case_id, ecli, CASE WHEN sector = '6' THEN celex END AS celex, CASE WHEN sector <> '6' THEN subject_matter END AS subject FROM fx_cases""")
-def _(t):
+_WINDOW_SQL = """
+SELECT case_id, ecli, CASE WHEN sector = '6' THEN celex END AS celex, CASE WHEN sector <> '6' THEN subject_matter END AS subject FROM fx_cases"""
+
+
+def _window_files(t) -> str:
     folder = fresh_folder(t.spark, "csv")
     cases = t.cases.select(F.col("case_id").cast("string").alias("case_id"), "ecli", "celex", F.col("subject_matter").alias("subject"), "sector")
     for name, part in (("a", cases.where("sector = '6'").drop("subject")), ("b", cases.where("sector <> '6'").drop("celex"))):
-        part.drop("sector").write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
-    rows = R.read_window_csv(t.spark, f"{folder}/*")
+        part.drop("sector").write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+    return f"{folder}/*"
+
+
+@query("read_window_csv", "S01", _WINDOW_SQL)
+def _(t):
+    rows = R.read_window_csv(t.spark, _window_files(t))
+    return rows.select(F.col("case_id").cast("long").alias("case_id"), "ecli", "celex", "subject")
+
+
+@query("read_window_splits", "S01", _WINDOW_SQL)
+def _(t):
+    rows = S.read_window_splits(t.spark, _window_files(t), span=1 << 18)
     return rows.select(F.col("case_id").cast("long").alias("case_id"), "ecli", "celex", "subject")
 
 
