@@ -6,12 +6,14 @@ multiplier of each source solves the convex dual; every Newton step is one aggre
 (source, size) histogram. Rates are then rounded into whole copies along the sizes, largest first.
 
 Cases: a null text or one without words has size 0, rate 1 and takes no words; null is a source of
-its own, last in order; equal rows share the copies of their size class; an empty table gives an
+its own, last in order; equal rows share the copies of their size class; copies are whole, so with a
+ceiling of 1.5 a document has at most 2, and all of a source 1.5 on average at most; an empty table gives an
 empty result; other columns are carried in ``doc`` or left out, so their names cannot clash.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -131,7 +133,7 @@ def mix(
     place = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("h")) + F.col("skip")
     extra = F.floor(F.col("at") + F.col("place") * F.col("rest")) - F.floor(F.col("at") + (F.col("place") - 1) * F.col("rest"))
     return joined.withColumn("place", place).withColumn(
-        "copies", F.least(F.lit(int(ceiling)), F.col("whole") + extra).cast("int")).select(
+        "copies", F.least(F.lit(math.ceil(ceiling)), F.col("whole") + extra).cast("int")).select(
         "doc", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 

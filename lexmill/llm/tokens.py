@@ -17,6 +17,7 @@ text; documents without an id come first; equal rows are all kept; an empty tabl
 from __future__ import annotations
 
 import functools
+import json
 import struct
 import zlib
 from array import array
@@ -134,11 +135,20 @@ CACHE = 150_000
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    for token in tokenizer.get_added_tokens_decoder().values():
-        if set(token.content.encode()) & {*b" \t\n\v\f\r", *MARKS}:
-            raise ValueError(f"texts can't be cut beside the special token {token.content!r}")
-    return tokenizer
+    return Tokenizer.from_file(path)
+
+
+@functools.cache
+def _cuttable(path: str) -> bool:
+    """Whether the rules of ``_cuts`` and ``_words_only`` hold: plain byte-level pairs without a normaliser, and no token that a cut could part."""
+    tokenizer = _tokenizer(path)
+    plan = json.loads(tokenizer.to_str())
+    split, model = plan.get("pre_tokenizer") or {}, plan["model"]
+    byte_level = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    tokens = tokenizer.get_added_tokens_decoder().values()
+    parted = any(set(t.content.encode()) & {*b" \t\n\v\f\r", *MARKS} or t.lstrip or t.rstrip or t.single_word for t in tokens)
+    return byte_level and plain and plan.get("normalizer") is None and plan.get("truncation") is None and plan.get("padding") is None and not parted
 
 
 @functools.cache
@@ -203,7 +213,7 @@ def _encode_parts(parts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     keys = parts.to_pylist()
     found = list(map(seen.get, keys))
     new = np.array([v is None for v in found])
-    word = _words_only(parts)
+    word = _words_only(parts) if _cuttable(path) else np.zeros(len(keys), bool)
     letters, tokenize = _byte_letters(), tokenizer.model.tokenize
     for i in np.flatnonzero(new & word).tolist():
         found[i] = array("I", [t.id for t in tokenize(keys[i].decode("latin-1").translate(letters))]).tobytes()
@@ -219,10 +229,11 @@ def _encode_parts(parts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts, each text followed by the end id, and the n+1 places where they start.
 
-    Equal parts of texts are encoded once for each slice.
+    Equal parts of texts are encoded once for each slice; with a tokenizer whose texts can't be cut,
+    a part is a whole text.
     """
     data, offsets = raw(texts)
-    at = _cuts(data, offsets)
+    at = _cuts(data, offsets) if _cuttable(path) else offsets[:-1][np.diff(offsets) > 0]
     n = len(offsets) - 1
     if not len(at):
         return np.full(n, end_id, np.uint32), np.arange(n + 1)

@@ -56,3 +56,9 @@ def test_shrinking_sources_and_empty(documents):
         assert abs(sum(r.taken for r in own) - own[0].target) <= 8
     assert mixing.mix(documents([])).collect() == []
     assert [r.taken for r in mixing.mix(documents([(1, None, None), (2, "", None)])).collect()] == [0, 0]
+
+
+def test_a_ceiling_between_whole_numbers(documents):
+    got = mixing.mix(documents([(i, "a b c d", "a") for i in range(100)]), share=1.5, ceiling=1.5).select("target", "copies", "taken").collect()
+    assert {r.target for r in got} == {600.0} and {r.copies for r in got} == {1, 2}
+    assert abs(sum(r.taken for r in got) - 600) <= 4

@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -34,6 +35,19 @@ def test_ids_of_any_text(texts):
     assert split(*tokens.token_ids(pa.array(texts, pa.string()), PATH, 0)) == plain(texts)
 
 
+@pytest.mark.parametrize("change", [None, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}, {"normalizer": {"type": "Lowercase"}}])
+def test_ids_of_other_tokenizers(tmp_path, change):
+    path = PATH.replace("byte_bpe_50k", "word_bpe_49k")
+    if change:
+        path = str(tmp_path / "t.json")
+        with open(PATH) as f, open(path, "w") as g:
+            json.dump(json.load(f) | change, g)
+    texts = ["Hello World café", "hello, world", "", "Hello World café", *TRICKY]
+    want = [e.ids + [0] for e in tokens._tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    assert not tokens._cuttable(path) and tokens._cuttable(PATH)
+    assert split(*tokens.token_ids(pa.array(texts), path, 0)) == want
+
+
 def test_random_access(tmp_path):
     rng = np.random.default_rng(1)
     ids = np.where(rng.random(5000) < 0.4, rng.integers(0, 256, 5000), rng.integers(0, 1 << 20, 5000)).astype(np.uint32)
