@@ -206,6 +206,14 @@ def test_docket_tokens_without_digits(spark):
     assert rows(joins.match_by_date_and_token(entries, docs), "e", "doc_id") == [(1, 7), (3, 7)]
 
 
+def test_trigrams_of_dockets_are_not_broadcast(spark):
+    entries = spark.range(5).selectExpr("id AS e", "'2001-01-01' AS date_decision", "concat('ab1', id) AS token")
+    docs = spark.range(5).selectExpr("id AS doc_id", "'2001-01-01' AS date_decision", "concat('AWB ab1', id) AS zaaknummer", "'Rechtbank' AS instance")
+    out = joins.match_by_date_and_token(entries, docs)
+    assert "Inner, Build" not in out._jdf.queryExecution().executedPlan().toString()
+    assert rows(out, "e", "doc_id") == [(i, i) for i in range(5)]
+
+
 @pytest.mark.parametrize("length, growth", [(200, 1000), (12, 2)])
 def test_timeline_doubles_its_jumps(spark, monkeypatch, length, growth):
     edges = [(i, i + 1) for i in range(length)] + [(5, 1), (3, 3), (9, 0), (300, 301)]
