@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -292,7 +293,9 @@ def accept_replacements(stored: DataFrame, fetched: DataFrame, ratio: float = fi
         "ecli", "language").agg(F.max("stored_length").alias("stored_length"))
     new = fetched.withColumn("language", F.upper("language")).where(F.length("text") > 0)
     joined = new.join(old, ["ecli", "language"])
-    return joined.where(F.length("text") > ratio * F.col("stored_length")) if ratio else joined
+    # in decimals: 1.005 times 200 is 201 and no less
+    least = F.lit(Decimal(str(ratio))) * F.col("stored_length")
+    return joined.where(F.length("text") > least) if ratio else joined
 
 
 def expected_targets(texts: DataFrame) -> DataFrame:

@@ -242,3 +242,10 @@ def test_fulltext_reads_no_eu_numbers(spark):
         (2, "x" * 40 + " C-17/98 en T-119/96. A. EHRM ECLI:EU:C:1998:46167 (application no. 24/08) and"), (3, "5/01 and application no. 24/08")], "case_id long, text string").withColumn("source_date", F.lit(None).cast("date"))
     out = linking.link_echr_fulltext(texts, texts.where("false"), cat)
     assert {r for r in rows(out, "source_case_id", "appno") if r[0] < 3} == {(1, "24/08"), (2, "24/08")}
+
+
+def test_replacement_of_just_the_ratio_is_not_longer(spark):
+    stored = spark.createDataFrame([("E1", "en", "x" * 200), ("E2", "en", "x" * 200), ("E3", "en", "")], "ecli string, language string, text string")
+    fetched = spark.createDataFrame([("E1", "EN", "x" * 201), ("E2", "EN", "x" * 202), ("E3", "EN", "x")], "ecli string, language string, text string")
+    assert rows(quality.accept_replacements(stored, fetched, 1.005), "ecli") == [("E2",), ("E3",)]
+    assert rows(quality.accept_replacements(stored, fetched, 0), "ecli") == [("E1",), ("E2",), ("E3",)]
