@@ -249,3 +249,24 @@ def test_replacement_of_just_the_ratio_is_not_longer(spark):
     fetched = spark.createDataFrame([("E1", "EN", "x" * 201), ("E2", "EN", "x" * 202), ("E3", "EN", "x")], "ecli string, language string, text string")
     assert rows(quality.accept_replacements(stored, fetched, 1.005), "ecli") == [("E2",), ("E3",)]
     assert rows(quality.accept_replacements(stored, fetched, 0), "ecli") == [("E1",), ("E2",), ("E3",)]
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins by shuffle, with as many tasks as planned."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_relations_without_a_key_are_dealt_to_all_tasks(spark, shuffled):
+    raw = spark.range(400).selectExpr("id AS edge_id", "if(id = 7, 'C-1/95', concat('?', id)) AS raw_target")
+    cases = spark.createDataFrame([(5, "E5", "62000CJ0001", "C-1/95")], "case_id long, ecli string, celex_id string, case_number string")
+    maps = spark.createDataFrame([], "uuid string, case_number string, celex string")
+    out = linking.resolve_relations(raw, cases, maps.select("uuid", "case_number"), maps.select("uuid", "celex"))
+    assert out.where("target_case_id IS NULL").select(F.spark_partition_id()).distinct().count() > 1
+    assert rows(out.where("target_case_id IS NOT NULL"), "edge_id", "kind", "target_case_id") == [(7, "case_number", 5)] and out.count() == 400
