@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, ids
 from ..functions import text as X
 from .dedup import dedup_edges, top_per_key
-from .joins import assign_by_era, not_yet_loaded
+from .joins import assign_by_era, not_yet_loaded, spread_key
 from .sets import conform
 
 
@@ -128,9 +128,10 @@ def apply_count_deltas(counts: DataFrame, changes: DataFrame) -> DataFrame:
 
 def delete_cases(edges: DataFrame, cases: DataFrame, doomed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges after the delete, twin collisions): incoming links fall back to raw identifiers."""
-    gone = cases.join(doomed, "case_id", "left_semi").select(F.col("case_id").alias("target_case_id"), F.col("ecli").alias("__ecli"), F.col("celex_id").alias("__celex"), F.lit(True).alias("__gone"))
+    gone = cases.join(doomed, "case_id", "left_semi").select(F.col("case_id").cast("string").alias("__id"), F.col("ecli").alias("__ecli"), F.col("celex_id").alias("__celex"), F.lit(True).alias("__gone"))
     left = edges.join(doomed.select(F.col("case_id").alias("source_case_id")), "source_case_id", "left_anti")
-    hit = left.join(gone, "target_case_id", "left").withColumn("__gone", F.coalesce("__gone", F.lit(False)))
+    # open links have no target; they are dealt by their own hash
+    hit = left.join(gone, spread_key("target_case_id", *edges.columns) == F.col("__id"), "left").withColumn("__gone", F.coalesce("__gone", F.lit(False)))
     after = hit.withColumn("target_ecli_raw", F.coalesce("target_ecli_raw", "__ecli")).withColumn(
         "target_celex_raw", F.coalesce("target_celex_raw", "__celex")).withColumn(
         "target_case_id", F.when(~F.col("__gone"), F.col("target_case_id")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import fixed
 from lexmill.operators import aggregates as A
-from lexmill.operators import dedup, graph, joins, linking, names, quality, topk
+from lexmill.operators import dedup, graph, joins, linking, maintenance, names, quality, topk
 
 
 def rows(df, *cols):
@@ -270,3 +270,13 @@ def test_relations_without_a_key_are_dealt_to_all_tasks(spark, shuffled):
     out = linking.resolve_relations(raw, cases, maps.select("uuid", "case_number"), maps.select("uuid", "celex"))
     assert out.where("target_case_id IS NULL").select(F.spark_partition_id()).distinct().count() > 1
     assert rows(out.where("target_case_id IS NOT NULL"), "edge_id", "kind", "target_case_id") == [(7, "case_number", 5)] and out.count() == 400
+
+
+def test_open_links_are_dealt_to_all_tasks_by_a_delete(spark, shuffled):
+    none = "CAST(NULL AS STRING)"
+    edges = spark.range(400).selectExpr("id AS edge_id", "id + 1000 AS source_case_id", "if(id = 7, 5L, NULL) AS target_case_id", f"{none} AS target_ecli_raw",
+                                        f"{none} AS target_celex_raw", "'cites' AS relation_type", "'d' AS source_dataset")
+    cases = spark.createDataFrame([(5, "E5", "62000CJ0001")], "case_id long, ecli string, celex_id string")
+    after, _ = maintenance.delete_cases(edges, cases, cases.select("case_id"))
+    assert after.select(F.spark_partition_id()).distinct().count() > 2
+    assert rows(after.where("target_ecli_raw IS NOT NULL"), "edge_id", "target_case_id", "target_ecli_raw") == [(7, None, "E5")] and after.count() == 400
