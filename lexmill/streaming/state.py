@@ -2,9 +2,10 @@
 
 State lives in the state store of the stream, by key: a batch reads and writes the state of its own
 keys only, however long the history is. Results are appended rows; a table of running values has a
-new row for each key that a batch changes, numbered by key, and ``newest`` keeps the last.
+new row for each key that a batch changes, with a version that rises, and ``newest`` keeps the last.
 
-A key's rows of a batch pass one task in bounded pieces, never held together. Rows without a key are
+Running counts are sums of the engine's streaming aggregate, combined before the shuffle; the other jobs call a small
+processor for each key, whose rows of a batch pass one task in bounded pieces, never held together. Rows without a key are
 left out. A repeated batch starts from the state before it and its files are written once.
 """
 
@@ -47,28 +48,6 @@ class FirstRow(StatefulProcessor):
         pass
 
 
-class Totals(StatefulProcessor):
-    """Running sums of two columns by key; never shown below zero."""
-
-    def __init__(self, key: str):
-        self.key = key
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("totals", "cites long, cited_by long, version long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        cites, cited_by, version = self.state.get() if self.state.exists() else (0, 0, 0)
-        before = cites, cited_by, version
-        for frame in rows:
-            cites, cited_by = cites + int(frame["cites"].sum()), cited_by + int(frame["cited_by"].sum())
-        if (cites, cited_by) != before[:2] or not version:
-            self.state.update((cites, cited_by, version + 1))
-            yield pd.DataFrame({self.key: [key[0]], "cites_count": [max(cites, 0)], "cited_by_count": [max(cited_by, 0)], "version": [version + 1]})
-
-    def close(self) -> None:
-        pass
-
-
 class Newest(StatefulProcessor):
     """The value of the highest order number by key."""
 
@@ -110,10 +89,17 @@ def first_rows(stream: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 
 def running_counts(changes: DataFrame) -> DataFrame:
-    """Rows (case_id, cites_count, cited_by_count, version) from edge changes (old_source, old_target, new_source, new_target)."""
+    """Rows (case_id, cites_count, cited_by_count, version) from edge changes (old_source, old_target, new_source, new_target).
+
+    Sums never shown below zero. The engine's own streaming aggregate holds them, so no key costs a call; ``run_to_end``
+    writes the keys that a batch touches, numbered by batch.
+    """
     part = lambda c, out, back: F.struct(F.col(c).alias("case_id"), F.lit(out).cast("long").alias("cites"), F.lit(back).cast("long").alias("cited_by"))
     deltas = changes.select(F.inline(F.array(part("new_source", 1, 0), part("new_target", 0, 1), part("old_source", -1, 0), part("old_target", 0, -1))))
-    return _stateful(deltas, ["case_id"], Totals("case_id"), f"{_kind(deltas, 'case_id')}, cites_count long, cited_by_count long, version long")
+    shown = lambda c: F.greatest(F.sum(c), F.lit(0).cast("long")).alias(f"{c}_count")
+    out = deltas.where("case_id IS NOT NULL").groupBy("case_id").agg(shown("cites"), shown("cited_by"))
+    out._running = True
+    return out
 
 
 def newest_states(events: DataFrame, key: str = "window_id", value: str = "status", order: str = "event_id") -> DataFrame:
@@ -129,9 +115,18 @@ def newest(table: DataFrame, key: str) -> DataFrame:
 
 
 def run_to_end(result: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Process all files that are there, append the rows to ``table``, and stop."""
+    """Process all files that are there, append the rows to ``table``, and stop.
+
+    Sums of the engine give the keys that a batch touches; they go to the folder of the batch, whose number is their
+    version, and a repeated batch writes its folder anew.
+    """
     spark: SparkSession = result.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    query = result.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    if getattr(result, "_running", False):
+        step = lambda batch, number: batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/version={number}")
+        writer = result.writeStream.foreachBatch(step).outputMode("update")
+    else:
+        writer = result.writeStream.format("parquet").option("path", table).outputMode("append")
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query

@@ -49,3 +49,18 @@ def test_newest_states(spark, tmp_path):
     rows = spark.read.parquet(table)
     assert sorted(((r.window_id, r.status) for r in S.newest(rows, "window_id").collect()), key=str) == [("a", "completed"), ("b", "exhausted"), ("c", None)]
     assert rows.count() == 4  # a batch adds rows of the keys it changes
+
+
+def test_running_counts_hold_their_sums_in_the_engine(spark, tmp_path):
+    src, table, ck = paths(tmp_path)
+    schema = "old_source long, old_target long, new_source long, new_target long"
+    job = lambda: S.running_counts(spark.readStream.schema(schema).json(str(src)))
+    drop(src, "1.json", [{"new_source": 1, "new_target": 2}, {"old_source": 3, "new_target": None}])
+    assert "Python" not in job()._jdf.queryExecution().analyzed().toString()  # no call of a processor for each key
+    S.run_to_end(job(), table, ck)
+    drop(src, "2.json", [{"new_source": 1, "new_target": 1}])
+    S.run_to_end(job(), table, ck)
+    rows = spark.read.parquet(table)
+    assert rows.count() == 4 and sorted(map(tuple, S.newest(rows, "case_id").collect())) == [(1, 2, 1), (2, 0, 1), (3, 0, 0)]
+    S.run_to_end(job(), table, ck)  # nothing new: no further rows
+    assert spark.read.parquet(table).count() == 4
