@@ -7,6 +7,9 @@ similarity (common trigrams of all trigrams) to a query of ``q`` reaches ``t`` h
 all but one of as many as must be shared, are skipped: whoever is similar is in the others often
 enough. Only names that pass this count are compared with the query by their trigrams.
 
+Many queries ask for the same lists again and again. Where the lists to read hold more than ``SCAN`` times as many
+entries as there are names, all names are read once instead and meet the queries by sets of trigrams.
+
 Queries and names without trigrams have no similarity. Null names are left out.
 """
 
@@ -18,12 +21,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import trigrams
+from .graph import similar_names, trigrams
 from .lineage import cut, ensure_checkpoint_dir
 
 #: names of a posting list, folders, trigrams named in a filter
 LIST, BUCKETS, NAMED = 4_096, 32, 2_000
 
+#: entries of lists read per name from which all names are read instead
+SCAN = 64
+
 
 @dataclass
 class NameIndex:
@@ -95,6 +101,9 @@ def search_names(index: NameIndex, queries: DataFrame, threshold: float = 0.3) -
     """Rows (query, value, similarity): the names of the index that are similar to ``queries`` (query)."""
     if not 0 < threshold <= 1:
         raise ValueError("the threshold lies above 0 and up to 1")
+    wanted = short_lists(index, queries, threshold).join(index.rarity, "gram").agg(F.sum("n")).first()[0] or 0
+    if wanted > SCAN * index.names.count():
+        return similar_names(index.names, queries, threshold)
     pairs = candidates(index, queries, threshold).join(index.names, "id").withColumn("__q", trigrams("query"))
     both = F.size(F.array_intersect("grams", "__q"))
     out = pairs.select("query", "value", (both / (F.col("size") + F.size("__q") - both)).alias("similarity"))

@@ -58,3 +58,16 @@ def test_empty_and_threshold(spark):
     assert N.search_names(index, spark.createDataFrame([("a",)], "query string")).count() == 0
     with pytest.raises(ValueError):
         N.search_names(index, spark.createDataFrame([("a",)], "query string"), 0)
+
+
+@pytest.mark.parametrize("threshold", [0.15, 0.55, 0.8, 0.95, 1.0])
+def test_many_queries_equal_brute_force(spark, threshold, monkeypatch):
+    monkeypatch.setattr(N, "SCAN", 0)
+    monkeypatch.setattr(N, "candidates", None)  # the lists are not read
+    rng = random.Random(int(threshold * 100))
+    values = [f"Customer#{rng.randrange(10 ** 6):09d}" for _ in range(150)] + ["x", "ab ab", "de de de", None, "--", "Customer#000000011"]
+    queries = [f"Customer Supplier#{rng.randrange(10 ** 6):09d}" for _ in range(20)] + rng.sample(values, 20) + ["x", "ab", None, "", "nothing like it", "Customer#000001111"]
+    index = N.write_names(spark.createDataFrame([(v,) for v in values], "name string"), "name")
+    got = N.search_names(index, spark.createDataFrame([(q,) for q in queries], "query string"), threshold).collect()
+    assert len(got) == len({(r.query, r.value) for r in got})
+    assert {(r.query, r.value): round(r.similarity, 9) for r in got} == brute(values, queries, threshold)
