@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, ids
 from ..functions import text as X
 from . import aggregates as A
+from . import joins as J
 from .dedup import best_text, dedup_cases, joined_set, rank_targets, top_per_key
 from .lineage import cut
 
@@ -134,7 +135,9 @@ def classify_texts(stored: DataFrame, stored_cases: DataFrame, corpus: DataFrame
                          F.md5(F.col("text").cast("binary")).alias("digest"), X.head("text").alias("head"))
     rows = rows.join(facts, "case_id").join(own, ["ecli", "language"], "left").join(owners, ["language", "digest"], "left")
     owner = F.when(F.col("owner1") == F.col("ecli"), F.col("owner2")).otherwise(F.col("owner1"))
-    rows = rows.withColumn("owner", owner).join(celex_of, "owner", "left")
+    # most rows have no owner; each is dealt by its own hash then
+    rows = rows.withColumn("owner", owner).withColumn("__owner", J.spread_key("owner", "text_id"))
+    rows = rows.join(celex_of.withColumnRenamed("owner", "__owner"), "__owner", "left").drop("__owner")
     label = F.regexp_extract("head", fixed.CELEX_LABEL, 1)
     suffix = F.regexp_extract("head", fixed.CELEX_LABEL, 2)
     rows = rows.withColumn("label", X.blank_to_null(label)).withColumn("suffix", X.blank_to_null(suffix))
@@ -207,7 +210,9 @@ def cleanup_plan(classified: DataFrame, cases: DataFrame, texts: DataFrame) -> D
     bases = cases.where("celex_id IS NOT NULL").groupBy(ids.base_celex("celex_id").alias("base")).agg(F.max("case_id").alias("owner_id"))
     via_corpus = misfiled.where("rule = 'corpus-other-ecli'").select("text_id", ids.base_celex("celex").alias("base")).join(bases, "base").select("text_id", "owner_id")
     via_date = dated_owner(misfiled.where("rule <> 'corpus-other-ecli'"), cases)
-    owned = misfiled.join(via_corpus.unionByName(via_date), "text_id", "left")
+    # rows without an owner need none of the joins by owner, where they would all meet in one task
+    owners = cut(via_corpus.unionByName(via_date).where("owner_id IS NOT NULL"))
+    owned, unknown = misfiled.join(owners, "text_id"), misfiled.join(owners, "text_id", "left_anti")
     slots = texts.select(F.col("case_id").alias("owner_id"), F.lower("language").alias("language"), "text_source",
                          F.md5(F.col("text").cast("binary")).alias("digest"))
     same_body = slots.select("owner_id", "language", "digest").distinct().withColumn("same_body", F.lit(True))
@@ -218,19 +223,19 @@ def cleanup_plan(classified: DataFrame, cases: DataFrame, texts: DataFrame) -> D
         .join(same_source, ["owner_id", "language", "text_source"], "left")
         .join(owner_facts, "owner_id", "left")
     )
-    claims = rows.where("owner_id IS NOT NULL AND same_body IS NULL AND same_source IS NULL").groupBy(
+    claims = rows.where("same_body IS NULL AND same_source IS NULL").groupBy(
         "owner_id", "language", "text_source").agg(F.min("text_id").alias("claimant"))
     rows = rows.join(claims, ["owner_id", "language", "text_source"], "left")
     action = X.first_rule([
-        (F.col("owner_id").isNull(), F.lit("keep: owner unknown")),
         (F.col("same_body"), F.lit("drop")),
         (F.col("same_source") | (F.col("claimant") != F.col("text_id")), F.lit("keep: owner has another text from this source")),
     ], F.lit("move"))
     kind = F.when(X.caps_heading("head"), F.when(F.col("owner_doctype").isin(*fixed.DECISION_KINDS), F.col("owner_doctype")).otherwise("other")).otherwise("oj_notice")
     moving = F.col("action") == "move"
-    return rows.withColumn("action", action).select(
-        "text_id", "case_id", "language", "action", F.when(~F.col("action").startswith("keep: owner u"), F.col("owner_id")).alias("owner_id"),
+    planned = rows.withColumn("action", action).select(
+        "text_id", "case_id", "language", "action", "owner_id",
         F.when(moving, kind).alias("new_kind"), F.when(moving, F.col("owner_celex")).alias("new_celex"))
+    return planned.unionByName(unknown.select("text_id", "case_id", "language", F.lit("keep: owner unknown").alias("action")), allowMissingColumns=True)
 
 
 def carry_summaries(plan: DataFrame, texts: DataFrame) -> DataFrame:
