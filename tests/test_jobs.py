@@ -244,6 +244,16 @@ def test_fulltext_reads_no_eu_numbers(spark):
     assert {r for r in rows(out, "source_case_id", "appno") if r[0] < 3} == {(1, "24/08"), (2, "24/08")}
 
 
+def test_fulltext_reads_no_acts_or_papers(spark):
+    cat = catalog(spark, [(n, "judgment", "2000-01-01", False, "A", "Violation", f"i{n}", None, [a]) for n, a in ((10, "2001/02"), (11, "1408/71"), (12, "24/08"), (13, "44/20"))])
+    paper, act = "Kamerstukken II 2001/02, 28 000, nr. 3", "Regulation (EEC) No 1408/71"
+    texts = spark.createDataFrame([
+        (1, f"application no. 24/08) {paper}"), (2, f"{act} and no. 24/08"), (3, "x " * 30 + f"{paper} {'y' * 15} no. 24/08"),
+        (4, f"no. 24/08 {'z' * 54} 44/2001 and more"), (5, f"{act} alone")], "case_id long, text string").withColumn("source_date", F.lit(None).cast("date"))
+    out = linking.link_echr_fulltext(texts, texts.where("false"), cat)
+    assert rows(out, "source_case_id", "appno") == [(i, "24/08") for i in range(1, 5)]
+
+
 def test_replacement_of_just_the_ratio_is_not_longer(spark):
     stored = spark.createDataFrame([("E1", "en", "x" * 200), ("E2", "en", "x" * 200), ("E3", "en", "")], "ecli string, language string, text string")
     fetched = spark.createDataFrame([("E1", "EN", "x" * 201), ("E2", "EN", "x" * 202), ("E3", "EN", "x")], "ecli string, language string, text string")
