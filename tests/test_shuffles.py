@@ -1,5 +1,6 @@
 """Shuffles of a plan: each is bytes on the disks of the executors."""
 
+from lexmill.operators.communities import weights
 from lexmill.operators.sets import compare_edges
 
 
@@ -13,3 +14,10 @@ def test_edge_builds_are_compared_in_one_shuffle(spark):
     out = compare_edges(old, new)
     assert exchanges(out) == 1
     assert sorted(map(tuple, out.collect()), key=str) == [(1, 2, "kept"), (3, None, "kept"), (5, 6, "dropped"), (7, 8, "added")]
+
+
+def test_links_are_weighed_in_one_shuffle(spark):
+    edges = spark.createDataFrame([(1, 2), (1, 2), (2, 1), (3, 1), (4, 4), (4, 4), (None, 1), (5, None)], "source_case_id long, target_case_id long")
+    out = weights(edges)
+    assert exchanges(out) == 1
+    assert sorted(map(tuple, out.collect())) == [(1, 2, 2), (1, 3, 1), (2, 1, 2), (3, 1, 1), (4, 4, 2)]
