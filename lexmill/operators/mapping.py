@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import text as X
 from .aggregates import union_all
+from .lineage import cut
 
 
-def fan_out(df: DataFrame, keys: Sequence[str], cells: Mapping[str, str]) -> DataFrame:
-    """One wide row to (key, kind, value) rows: a single pass over all mapped cells."""
-    def pairs(column: str, kind: str):
-        return F.transform(X.toks(column), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+def fan_out(df: DataFrame, keys: Sequence[str], cells: Mapping[str, str], firsts: Mapping[str, str] | None = None) -> DataFrame:
+    """One wide row to (key, kind, value) rows: a single pass over all mapped cells; of ``firsts`` only the first token counts."""
+    def pairs(tokens: Column, kind: str) -> Column:
+        return F.transform(tokens, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
-    parts = [pairs(column, kind) for column, kind in cells.items()]
+    parts = [pairs(X.toks(column), kind) for column, kind in cells.items()]
+    parts += [pairs(F.slice(X.toks(column), 1, 1), kind) for column, kind in (firsts or {}).items()]
     return df.select(*keys, F.inline(F.concat(*parts)))
 
 
@@ -108,12 +110,10 @@ def map_cases(corpus: DataFrame) -> dict[str, DataFrame]:
     keyed = rows.withColumn("ecli", F.col("__ecli"))
     satellites = fan_out(keyed, ["ecli"], {
         "subject_matter": "domain:subject", "type_procedure": "domain:procedure", "judges": "judge:judge",
-        "agents": "party:agent", "cites": "cite:cites"})
-    rapporteur = keyed.select("ecli", F.lit("judge:rapporteur").alias("kind"), X.first_tok("judges").alias("value"))
-    state = keyed.select("ecli", F.lit("party:referring_state").alias("kind"), X.first_tok("origin_country").alias("value"))
+        "agents": "party:agent", "cites": "cite:cites"}, {"judges": "judge:rapporteur", "origin_country": "party:referring_state"})
     return {
         "case": case, "opinion": opinions,
-        "satellite": union_all([satellites, rapporteur.where("value IS NOT NULL"), state.where("value IS NOT NULL")]).distinct(),
+        "satellite": satellites.distinct(),
     }
 
 
@@ -131,15 +131,17 @@ def load_domains(satellites: DataFrame, existing: DataFrame) -> tuple[DataFrame,
 
 def load_people(satellites: DataFrame, existing_judges: DataFrame, existing_parties: DataFrame) -> dict[str, DataFrame]:
     """New judges and parties, and links with their roles."""
+    # four tables come of these rows, so the cells are read, and repeats dropped, once
+    satellites = cut(satellites.where("kind LIKE 'judge:%' OR kind LIKE 'party:%'").select("ecli", "kind", "value").distinct())
     judges = satellites.where("kind LIKE 'judge:%'").select("ecli", F.substring("kind", 7, 100).alias("role"), F.col("value").alias("name"))
     parties = satellites.where("kind LIKE 'party:%'").select(
         "ecli", F.substring("kind", 7, 100).alias("role"), F.col("value").alias("name"),
         F.when(F.col("kind") == "party:referring_state", "state").otherwise("agent").alias("role_class"))
     return {
         "judge": judges.select("name").distinct().join(existing_judges.select("name"), "name", "left_anti"),
-        "case_judge": judges.distinct(),
+        "case_judge": judges,
         "party": parties.select("name", "role_class").distinct().join(existing_parties.select("name", "role_class"), ["name", "role_class"], "left_anti"),
-        "case_party": parties.distinct(),
+        "case_party": parties,
     }
 
 

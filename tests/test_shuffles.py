@@ -1,6 +1,7 @@
 """Shuffles of a plan: each is bytes on the disks of the executors."""
 
 from lexmill.operators.communities import weights
+from lexmill.operators.mapping import load_people, map_cases
 from lexmill.operators.sets import compare_edges
 
 
@@ -21,3 +22,19 @@ def test_links_are_weighed_in_one_shuffle(spark):
     out = weights(edges)
     assert exchanges(out) == 1
     assert sorted(map(tuple, out.collect())) == [(1, 2, 2), (1, 3, 1), (2, 1, 2), (3, 1, 1), (4, 4, 2)]
+
+
+def test_cells_of_a_case_are_read_once(spark):
+    columns = "ecli celex title date_publication formation sector type_procedure language_procedure agents subject_matter judges cites origin_country".split()
+    row = {"ecli": "E1", "celex": "62000CJ0001", "judges": " ;A; B;A", "agents": "X", "origin_country": "NL", "cites": "1;2"}
+    corpus = spark.createDataFrame([tuple(row.get(c) for c in columns)] * 2, ", ".join(f"{c} string" for c in columns))
+    satellites = map_cases(corpus)["satellite"]
+    plan = satellites._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 1 and "Union" not in plan
+    got = {(r.kind, r.value) for r in satellites.collect()}
+    assert got == {("judge:judge", "A"), ("judge:judge", "B"), ("judge:rapporteur", "A"), ("party:agent", "X"), ("party:referring_state", "NL"), ("cite:cites", "1"), ("cite:cites", "2")}
+    names = spark.createDataFrame([("B",)], "name string")
+    parties = spark.createDataFrame([("X", "agent")], "name string, role_class string")
+    out = {k: sorted(map(tuple, v.collect())) for k, v in load_people(satellites.unionByName(satellites), names, parties).items()}
+    assert out == {"judge": [("A",)], "case_judge": [("E1", "judge", "A"), ("E1", "judge", "B"), ("E1", "rapporteur", "A")],
+                   "party": [("NL", "state")], "case_party": [("E1", "agent", "X", "agent"), ("E1", "referring_state", "NL", "state")]}
