@@ -29,8 +29,8 @@ PASSAGE_WORDS = 64
 BUCKETS = 128
 MAX_DOCS, MAX_PASSAGES = 8000, 400
 HIDDEN, GATE = 32, 16
-#: text bytes encoded at once
-SLICE = 2 << 20
+#: text bytes encoded at once; every byte takes some forty bytes of numbers on the way
+SLICE = 1 << 19
 
 _KINDS = np.zeros((6, 256), bool)  # upper, lower, digit, mark, other ASCII, beyond ASCII
 _KINDS[0, 65:91] = _KINDS[1, 97:123] = _KINDS[2, 48:58] = True
@@ -202,13 +202,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_docs
 
 def score(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, text_col: str = "text") -> DataFrame:
     """Rows (doc, score, predicted); ``doc`` holds the columns named by ``keep`` (all, if not given)."""
-    carried = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("doc")
+    kept = docs.columns if keep is None else list(keep)
+    carried = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc")
+    inside = kept.index(text_col) if kept.count(text_col) == 1 else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if inside is not None:
+            batches = (pa.RecordBatch.from_arrays([b.column(0), b.column(0).field(inside)], ["doc", "text"]) for b in batches)
         for batch in pieces(batches, limit=SLICE):
             found = model.score(*encode(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(found)], ["doc", "score"])
 
-    rows = docs.select(carried, F.col(text_col).alias("text"))
+    # a text that is carried along is handed over once
+    rows = docs.select(carried) if inside is not None else docs.select(carried, F.col(text_col).alias("text"))
     scored = rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
