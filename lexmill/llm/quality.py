@@ -62,7 +62,9 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
     chars = data[at]
     low = lower(chars).astype(np.int64)
-    pairs = _PAIRS[low * 256 + np.append(low[1:], 32)]
+    after = np.append(low[1:], 32)
+    after[np.cumsum(size) - 1] = 32  # a passage ends as with a space, whatever text comes next
+    pairs = _PAIRS[low * 256 + after]
     hashed = np.bincount(where * BUCKETS + pairs, minlength=len(own) * BUCKETS).reshape(-1, BUCKETS)
     kinds = np.bincount(where * 7 + _KIND[chars], minlength=len(own) * 7).reshape(-1, 7)
     n_words = np.bincount(np.searchsorted(own, passage), minlength=len(own))

@@ -63,3 +63,10 @@ def test_every_passage_counts():
     assert first.tolist() == [0, 4, 5, 6, 7, 8] and np.isfinite(x).all() and not x[4:7].any()
     a = quality.forward({"W": np.ones((quality.FEATURES, 3)), "b": np.zeros(3), "V": np.ones((3, 2)), "U": np.ones((3, 2)), "w": np.ones(2), "c": np.ones(3), "d": np.zeros(1)}, x, first)["a"]
     assert np.allclose(np.add.reduceat(a, first[:-1]), 1)
+
+
+def test_features_do_not_depend_on_the_neighbours():
+    texts = ["one two.", "Three", "", "four " * 100]
+    together, first = quality.encode(pa.array(texts))
+    for text, a, b in zip(texts, first[:-1], first[1:]):
+        assert (together[a:b] == quality.encode(pa.array([text]))[0]).all()
