@@ -1,6 +1,7 @@
 """Shuffles of a plan: each is bytes on the disks of the executors."""
 
 from lexmill.operators.communities import weights
+from lexmill.operators.linking import stage_to_edges
 from lexmill.operators.mapping import load_people, map_cases
 from lexmill.operators.sets import compare_edges
 
@@ -38,3 +39,18 @@ def test_cells_of_a_case_are_read_once(spark):
     out = {k: sorted(map(tuple, v.collect())) for k, v in load_people(satellites.unionByName(satellites), names, parties).items()}
     assert out == {"judge": [("A",)], "case_judge": [("E1", "judge", "A"), ("E1", "judge", "B"), ("E1", "rapporteur", "A")],
                    "party": [("NL", "state")], "case_party": [("E1", "agent", "X", "agent"), ("E1", "referring_state", "NL", "state")]}
+
+
+def test_staged_rows_meet_documents_that_are_resolved_once(spark):
+    staged = spark.createDataFrame([("r2", "scl_judgment", "i1", "i2"), ("r1", "scl_judgment", "i1b", "i2"), ("r0", "scl_judgment", "i1", "i3"), ("r3", "scl_judgment", "i1", "i1b"),
+                                    ("r4", "scl_judgment", "i1", "gone"), ("r5", "scl_judgment", "i4", "i1"), ("r6", "scl_judgment", None, "i1")],
+                                   "staged_id string, rule string, source_item_id string, target_item_id string")
+    documents = spark.createDataFrame([("i1", "E1"), ("i1b", "E1"), ("i2", "E2"), ("i3", None), ("i4", "unknown")], "item_id string, ecli string")
+    cases = spark.createDataFrame([("i1", "E1", 10), ("i1b", "E1", 11), ("i2", "E2", 20), ("i3", None, 30)], "item_id string, ecli string, case_id long")
+    out = stage_to_edges(staged, cases, documents)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "source_ecli" not in plan and "target_ecli" not in plan  # no key of a document travels with the staged rows
+    got = sorted((r.source_case_id, r.target_case_id, r.staged_id) for r in out.collect())
+    assert got == [(10, 20, "r1"), (10, 30, "r0")]
+    named = staged.join(documents.toDF("source_item_id", "source_ecli"), "source_item_id").join(documents.toDF("target_item_id", "target_ecli"), "target_item_id")
+    assert sorted((r.source_case_id, r.target_case_id, r.staged_id) for r in stage_to_edges(named, cases).collect()) == got
