@@ -1,5 +1,6 @@
 """Shuffles of a plan: each is bytes on the disks of the executors."""
 
+from lexmill.operators.aggregates import refresh_counts
 from lexmill.operators.communities import weights
 from lexmill.operators.linking import stage_to_edges
 from lexmill.operators.mapping import load_people, map_cases
@@ -54,3 +55,22 @@ def test_staged_rows_meet_documents_that_are_resolved_once(spark):
     assert got == [(10, 20, "r1"), (10, 30, "r0")]
     named = staged.join(documents.toDF("source_item_id", "source_ecli"), "source_item_id").join(documents.toDF("target_item_id", "target_ecli"), "target_item_id")
     assert sorted((r.source_case_id, r.target_case_id, r.staged_id) for r in stage_to_edges(named, cases).collect()) == got
+
+
+def test_edges_are_not_dealt_by_relation_type(spark):
+    edges = spark.createDataFrame([(1, 2, "cites", "a"), (1, 2, "appeal", "a"), (2, 1, "cites", "b"), (3, 2, "joins", "a"), (3, 3, "cites", "a"), (3, None, "cites", "a"), (4, 1, "cites", "a"),
+                                   (5, 1, "cites", "c")], "source_case_id long, target_case_id long, relation_type string, source_dataset string")
+    relations = spark.createDataFrame([("cites", True), ("appeal", True), ("joins", False)], "relation_type string, counted boolean")
+    datasets = spark.createDataFrame([("a", True), ("b", True), ("c", False)], "source_dataset string, counted boolean")
+    cases = spark.range(1, 6).withColumnRenamed("id", "case_id")
+    subset = spark.createDataFrame([(1,), (1,), (3,), (None,), (9,)], "case_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        every, some = refresh_counts(edges, relations, datasets, cases), refresh_counts(edges, relations, datasets, cases, subset)
+        for out in (every, some):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin [relation_type" not in plan and "SortMergeJoin [source_dataset" not in plan
+        assert sorted(map(tuple, every.collect())) == [(1, 1, 2), (2, 1, 1), (3, 0, 0), (4, 1, 0), (5, 0, 0)]
+        assert sorted(map(tuple, some.collect())) == [(1, 1, 2), (3, 0, 0)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
