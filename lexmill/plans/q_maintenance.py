@@ -296,7 +296,7 @@ SELECT text_id, ecli, language, text_source FROM (SELECT *, row_number() OVER (P
 def _(t):
     rows = t.texts.select("text_id", "ecli", F.upper("language").alias("language"), "text_source")
     first = F.col("text_source") == "CELLAR_ITEM"
-    return _stream(t, [rows.where(first), rows.where(~first)], lambda s: S.first_rows(s, ["ecli", "language"], "text_id"))
+    return _stream(t, [rows.where(first), rows.where(~first)], lambda s: S.first_rows(s, ["ecli", "language"], "text_id")).drop("version")
 
 
 @query("stream_citation_counts", "M08", """

@@ -4,9 +4,9 @@ State lives in the state store of the stream, by key: a batch reads and writes t
 keys only, however long the history is. Results are appended rows; a table of running values has a
 new row for each key that a batch changes, with a version that rises, and ``newest`` keeps the last.
 
-Running counts are sums of the engine's streaming aggregate, combined before the shuffle; the other jobs call a small
-processor for each key, whose rows of a batch pass one task in bounded pieces, never held together. Rows without a key are
-left out. A repeated batch starts from the state before it and its files are written once.
+Running counts are sums of the engine's streaming aggregate, combined before the shuffle, and first rows are found by its
+deduplication; the newest states call a small processor for each key, whose rows of a batch pass one task in bounded pieces,
+never held together. Rows without a key are left out. A repeated batch starts from the state before it and its files are written once.
 """
 
 from __future__ import annotations
@@ -22,32 +22,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class FirstRow(StatefulProcessor):
-    """The first row of every key, by an order column within its batch."""
-
-    def __init__(self, columns: Sequence[str], order: str):
-        self.columns, self.order = list(columns), order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.seen.exists():
-            for _ in rows:
-                pass
-            return
-        best = None
-        for frame in rows:
-            best = pd.concat([best, frame]) if best is not None else frame
-            best = best.sort_values(self.order, kind="stable").head(1)
-        if best is not None:
-            self.seen.update((True,))
-            yield best[self.columns]
-
-    def close(self) -> None:
-        pass
-
-
 class Newest(StatefulProcessor):
     """The value of the highest order number by key."""
 
@@ -82,10 +56,26 @@ def _stateful(stream: DataFrame, keys: Sequence[str], processor: StatefulProcess
 
 
 def first_rows(stream: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Rows whose key no earlier batch had: one a key, the lowest by ``order`` in its batch."""
-    columns = [c for c in stream.columns if c not in keys or c == order]
-    kinds = ", ".join(_kind(stream, c) for c in [*columns, *keys])
-    return _stateful(stream, keys, FirstRow([*columns, *keys], order), kinds)
+    """Rows whose key no earlier batch had: one a key, the lowest by ``order`` in its batch.
+
+    The engine's own deduplication holds the keys and lets those through that are new; ``run_to_end`` picks the lowest of
+    their rows, which come along in the same batch. No key costs a call.
+    """
+    keys = list(keys)
+    rows = stream.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    fresh = rows.select(*keys).dropDuplicates(keys).select(*keys, F.lit(None).cast(stream.schema).alias("row"))
+    out = fresh.unionByName(rows.select(*keys, row.alias("row")))
+
+    def lowest(batch: DataFrame) -> DataFrame:
+        # rows without an order number come last; a row is null only where the key is announced as new
+        first = F.min_by("row", F.when(F.col("row").isNotNull(), F.struct(F.col(f"row.`{order}`").isNull(), F.col(f"row.`{order}`"))))
+        found = batch.groupBy(*keys).agg(F.max(F.col("row").isNull()).alias("__new"), first.alias("__row"))
+        columns = [c for c in stream.columns if c not in keys or c == order]
+        return found.where("__new").select(*[F.col(f"__row.`{c}`").alias(c) for c in [*columns, *[k for k in keys if k not in columns]]])
+
+    out._each, out._mode = lowest, "append"
+    return out
 
 
 def running_counts(changes: DataFrame) -> DataFrame:
@@ -98,7 +88,7 @@ def running_counts(changes: DataFrame) -> DataFrame:
     deltas = changes.select(F.inline(F.array(part("new_source", 1, 0), part("new_target", 0, 1), part("old_source", -1, 0), part("old_target", 0, -1))))
     shown = lambda c: F.greatest(F.sum(c), F.lit(0).cast("long")).alias(f"{c}_count")
     out = deltas.where("case_id IS NOT NULL").groupBy("case_id").agg(shown("cites"), shown("cited_by"))
-    out._running = True
+    out._each, out._mode = lambda batch: batch, "update"
     return out
 
 
@@ -117,14 +107,15 @@ def newest(table: DataFrame, key: str) -> DataFrame:
 def run_to_end(result: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Process all files that are there, append the rows to ``table``, and stop.
 
-    Sums of the engine give the keys that a batch touches; they go to the folder of the batch, whose number is their
-    version, and a repeated batch writes its folder anew.
+    What the engine's own state gives, the sums of the keys that a batch touches or the keys that it has first, goes to
+    the folder of the batch, whose number is the version, and a repeated batch writes its folder anew.
     """
     spark: SparkSession = result.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    if getattr(result, "_running", False):
-        step = lambda batch, number: batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/version={number}")
-        writer = result.writeStream.foreachBatch(step).outputMode("update")
+    each = getattr(result, "_each", None)
+    if each:
+        step = lambda batch, number: each(batch).write.mode("overwrite").parquet(f"{table.rstrip('/')}/version={number}")
+        writer = result.writeStream.foreachBatch(step).outputMode(result._mode)
     else:
         writer = result.writeStream.format("parquet").option("path", table).outputMode("append")
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

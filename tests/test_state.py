@@ -64,3 +64,17 @@ def test_running_counts_hold_their_sums_in_the_engine(spark, tmp_path):
     assert rows.count() == 4 and sorted(map(tuple, S.newest(rows, "case_id").collect())) == [(1, 2, 1), (2, 0, 1), (3, 0, 0)]
     S.run_to_end(job(), table, ck)  # nothing new: no further rows
     assert spark.read.parquet(table).count() == 4
+
+
+def test_first_rows_are_found_by_the_engine(spark, tmp_path):
+    src, table, ck = paths(tmp_path)
+    schema = "n long, ecli string, text string"
+    job = lambda: S.first_rows(spark.readStream.schema(schema).json(str(src)), ["ecli"], "n")
+    drop(src, "1.json", [{"n": None, "ecli": "E1", "text": "unnumbered"}, {"n": 7, "ecli": "E1", "text": "b"}, {"n": 4, "ecli": "E1", "text": "a"}, {"n": None, "ecli": "E3", "text": None}])
+    drop(src, "2.json", [{"n": 3, "ecli": "E1", "text": "same batch"}, {"n": 1, "ecli": None, "text": "no key"}])
+    assert "Python" not in job()._jdf.queryExecution().analyzed().toString()  # no call of a processor for each key
+    S.run_to_end(job(), table, ck)
+    drop(src, "3.json", [{"n": 0, "ecli": "E1", "text": "again"}, {"n": 2, "ecli": "E2", "text": "c"}])
+    S.run_to_end(job(), table, ck)
+    S.run_to_end(job(), table, ck)  # nothing new: no further rows
+    assert sorted((r.ecli, r.n, r.text) for r in spark.read.parquet(table).collect()) == [("E1", 3, "same batch"), ("E2", 2, "c"), ("E3", None, None)]
