@@ -4,7 +4,7 @@ from lexmill.operators.aggregates import refresh_counts
 from lexmill.operators.communities import weights
 from lexmill.operators.linking import stage_to_edges
 from lexmill.operators.mapping import load_people, map_cases
-from lexmill.operators.sets import compare_edges
+from lexmill.operators.sets import compare_edges, provision_labels
 
 
 def exchanges(df):
@@ -74,3 +74,17 @@ def test_edges_are_not_dealt_by_relation_type(spark):
         assert sorted(map(tuple, some.collect())) == [(1, 1, 2), (3, 0, 0)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_labels_of_references_meet_their_case_once(spark):
+    refs = spark.createDataFrame([(1, "bwb", "R1", "1", 7, "Wet 1"), (1, "bwb", "R1", "1", 7, "Wet 1"), (2, "bwb", "R1", "A", None, ""), (3, "bwb", "R2", None, 8, None), (4, None, "R1", "1", 7, "no"),
+                                  (5, "bwb", None, "1", 7, "lost"), (6, "bwb", "R1", "", None, None)],
+                                 "case_id long, raw_scheme string, raw_resource string, raw_subdivision string, raw_label_id long, raw_reference string")
+    cases = spark.createDataFrame([(1, "E1"), (2, "E1"), (3, "E3"), (4, "E4"), (6, "E6")], "case_id long, ecli string")
+    acts = spark.createDataFrame([("R1", "Act"), ("R2", "")], "bwb_id string, title string")
+    provisions = spark.createDataFrame([("R1", "artikel", 7, "1", "first"), ("R1", "artikel", 7, "a", "letter"), ("R1", "wet", 7, "1", "Act"), ("R2", "artikel", 8, "1", ""), ("R2", "artikel", 8, None, "bare")],
+                                       "bwb_id string, element_type string, bwb_label_id long, number string, title string")
+    out = provision_labels(refs, cases, acts, provisions)
+    assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1  # the case; the catalogue is met unsorted
+    assert sorted(map(tuple, out.collect())) == sorted([
+        ("E1", "Wet 1"), ("E1", "first"), ("E1", "letter"), ("E1", "Act"), ("E1", "Act, Artikel 1"), ("E1", "Act, Bijlage 1"), ("E1", "Act, Artikel A"), ("E1", "Act, Bijlage A"), ("E3", "bare"), ("E6", "Act")])
