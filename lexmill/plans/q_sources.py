@@ -44,14 +44,20 @@ def _(t):
     return rows.select(F.col("case_id").cast("long").alias("case_id"), "ecli", "celex", "subject")
 
 
+def _json_lists(texts):
+    """One list of objects per window and slice, as the extractor writes it; a window has a slice for each MB of its own bodies."""
+    sizes = texts.groupBy(F.col("source_window").alias("w")).agg(F.sum(F.octet_length("text")).alias("size"))
+    rows = texts.select("source_window", F.struct("ecli", "text_id", "text_source", "text", "n_chars").alias("r")).join(
+        F.broadcast(sizes), F.col("source_window").eqNullSafe(F.col("w")))
+    slices = F.greatest(F.floor(F.coalesce("size", F.lit(0)) / (1 << 20)), F.lit(1))
+    return rows.groupBy("source_window", F.pmod(F.xxhash64("r.text_id"), slices).alias("slice")).agg(F.to_json(F.collect_list("r")).alias("value"))
+
+
 @query("read_window_json", "S02", """
 SELECT ecli, text_id, text_source, md5(text) AS body, n_chars FROM (SELECT ecli, CAST(text_id AS VARCHAR) AS text_id, text_source, text, CAST(n_chars AS VARCHAR) AS n_chars FROM fx_texts) x""")
 def _(t):
     folder = fresh_folder(t.spark, "json")
-    rows = t.texts.select("source_window", F.struct("ecli", "text_id", "text_source", "text", "n_chars").alias("r"))
-    # one list of objects per window and slice, as the extractor writes it; slices grow with the bodies
-    size = t.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    lists = rows.groupBy("source_window", F.pmod(F.xxhash64("r.text_id"), F.lit(max(1, size >> 20))).alias("slice")).agg(F.to_json(F.collect_list("r")).alias("value"))
+    lists = _json_lists(t.texts)
     lists.select("value", F.concat_ws("-", "source_window", "slice").alias("w")).repartition("w").write.partitionBy("w").option("maxRecordsPerFile", 1).text(folder)
     found, _ = R.read_window_json(t.spark, f"{folder}/*")
     return found.select("ecli", "text_id", "text_source", F.md5(F.col("text").cast("binary")).alias("body"), "n_chars")
