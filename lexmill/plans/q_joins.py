@@ -159,7 +159,8 @@ SELECT edge_id FROM fx_edges e JOIN fx_cases s ON s.case_id = e.source_case_id J
 def _(t):
     src = t.cases.select(F.col("case_id").alias("source_case_id"), F.col("date_decision").alias("source_date"))
     tgt = t.stored_cases.select(F.col("case_id").alias("target_case_id"), F.col("date_decision").alias("target_date"))
-    joined = t.edges.select("edge_id", "source_case_id", "target_case_id").join(src, "source_case_id").join(tgt, "target_case_id")
+    # both tables have a row for each case: a broadcast, chosen by their file size, would hold all of them in every executor
+    joined = t.edges.select("edge_id", "source_case_id", "target_case_id").join(src.hint("merge"), "source_case_id").join(tgt.hint("merge"), "target_case_id")
     return J.not_future(joined, "source_date", "target_date").select("edge_id")
 
 

@@ -88,3 +88,10 @@ def test_labels_of_references_meet_their_case_once(spark):
     assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1  # the case; the catalogue is met unsorted
     assert sorted(map(tuple, out.collect())) == sorted([
         ("E1", "Wet 1"), ("E1", "first"), ("E1", "letter"), ("E1", "Act"), ("E1", "Act, Artikel 1"), ("E1", "Act, Bijlage 1"), ("E1", "Act, Artikel A"), ("E1", "Act, Bijlage A"), ("E3", "bare"), ("E6", "Act")])
+
+
+def test_dates_of_all_cases_are_not_broadcast(spark):
+    from lexmill.plans.registry import load_all
+
+    out = load_all()["targets_not_in_the_future"](spark, "/root/testdata/sf0.001")
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
