@@ -2,6 +2,7 @@
 
 from lexmill.operators.aggregates import refresh_counts
 from lexmill.operators.communities import weights
+from lexmill.operators.joins import match_by_date_and_token
 from lexmill.operators.linking import stage_to_edges
 from lexmill.operators.mapping import load_people, map_cases
 from lexmill.operators.sets import compare_edges, provision_labels
@@ -95,3 +96,19 @@ def test_dates_of_all_cases_are_not_broadcast(spark):
 
     out = load_all()["targets_not_in_the_future"](spark, "/root/testdata/sf0.001")
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_a_date_and_token_are_not_held(spark):
+    schema = "doc_id long, date_decision string, zaaknummer string, instance string"
+    numbers = [(7, "d1", "AWB 12 / 345", "A"), (7, "d1", "AWB 12 / 345", "A"), (7, "d1", "awb12/3456", "A"), (7, "d1", "AWB 12 / 345", "B"), (7, "d2", "AWB 12 / 345", "A"), (8, "d1", "AWB 9 / 1234", None),
+               (None, "d1", "C 12/345", "A"), (None, "d1", "D 12/345", "A"), (9, "d1", "12/", "A"), (9, "d1", None, "A"), (10, None, "AWB 12 / 345", "A"), (11, "d3", "AWB 12 / 345", "A")]
+    tokens = [(1, "d1", "12/345"), (1, "d1", "12/345"), (2, "d1", "12/345"), (3, "d1", "awb1"), (4, "d1", "345awb"), (5, "d1", "345 awb"), (6, "d1", "12/"), (None, "d1", "12/3456"), (8, "d2", "12/345"), (9, None, "12/345"), (10, "d1", None)]
+    entries, docs = spark.createDataFrame(tokens, "e long, date_decision string, token string"), spark.createDataFrame(numbers, schema)
+    out = match_by_date_and_token(entries, docs)
+    assert out.columns == ["e", "date_decision", "token", "doc_id", "instance"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[:plan.index("Join")]  # pairs are distinct as the join gives them
+    plain = lambda s: "".join((s or "").lower().split())
+    want = {(e, d, t, i, c) for e, d, t in tokens for i, day, z, c in numbers if d and d == day and t and len(t) >= 4 and t in plain(z)}
+    got = [*map(tuple, out.collect())]
+    assert len(got) == len(want) and set(got) == want and len(want) == 10
