@@ -235,6 +235,36 @@ def test_timeline_doubles_its_jumps(spark, monkeypatch, length, growth):
     assert len(writes) <= 2 * 10 + 2  # a chain of 200 in at most ten rounds of two writes
 
 
+@pytest.mark.parametrize("few, held, walks, whole", [(0, 1000, 9, False), (1000, 1000, 9, False), (0, 0, 9, True), (0, 1000, 1, False), (0, 0, 1, True)])
+def test_timeline_writes_no_pairs(spark, monkeypatch, few, held, walks, whole):
+    edges = [(i, i + 1) for i in range(20)] + [(5, 1), (3, 3), (9, 0), (18, 30), (30, 31), (50, 51), (51, 50), (3, 4), (None, 2)]
+    df = spark.createDataFrame([(a, b, "appeal_of") for a, b in edges] + [(0, 50, "cites"), (7, None, "appeal_of")], "source_case_id long, target_case_id long, relation_type string")
+    dates = [(i, f"2001-01-{i + 1:02d}") for i in range(20)] + [(4, None), (4, None), (20, None), (90, "2001-01-01"), (90, "2001-01-02"), (None, "2001-01-03")]
+    roots, want = [*range(18), 30, 90, 91, None], []
+    for r in roots:
+        seen, front, n = {r: 0}, [r], 0
+        while front:
+            n += 1
+            front = sorted({b for a, b in edges if a in front and a is not None and b not in seen})
+            seen.update(dict.fromkeys(front, n))
+        want += [(r, c, s, d) for c, s in seen.items() for d in [d for i, d in dates if c is not None and i == c] or [None]]
+    rows_written, real = [], graph.cut
+
+    def counted(d):
+        out = real(d)
+        rows_written.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "cut", counted)
+    for name, value in (("FEW_STEPS", few), ("HELD_STEPS", held), ("WALKS", walks), ("LEVELS", 8)):
+        monkeypatch.setattr(graph, name, value)
+    got = graph.timeline(df, spark.createDataFrame(dates, "case_id long, date_decision string"), spark.createDataFrame([(r,) for r in roots * 2], "case_id long"), ["appeal_of"])
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(((r.root, r.case_id, r.step, r.date_decision) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert got.columns == ["case_id", "root", "step", "date_decision"]
+    assert (max(rows_written) > 2 * len(edges)) == whole and len(want) > 4 * len(edges)
+
+
 def test_fulltext_reads_no_eu_numbers(spark):
     cat = catalog(spark, [(n, "judgment", "2000-01-01", False, "A", "Violation", f"i{n}", None, [a]) for n, a in ((10, "17/98"), (11, "119/96"), (12, "24/08"), (13, "5/01"))])
     texts = spark.createDataFrame([
