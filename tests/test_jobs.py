@@ -265,6 +265,22 @@ def test_timeline_writes_no_pairs(spark, monkeypatch, few, held, walks, whole):
     assert (max(rows_written) > 2 * len(edges)) == whole and len(want) > 4 * len(edges)
 
 
+def test_timeline_roots_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(graph, "TASK_ROOTS", 10)
+    steps = spark.range(79).selectExpr("id AS source_case_id", "id + 1 AS target_case_id", "'appeal_of' AS relation_type")
+    cases = spark.range(80).selectExpr("id AS case_id", "DATE '2001-01-01' AS date_decision")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for value in zip(before, ("-1", "8")):
+        spark.conf.set(*value)
+    try:
+        out = graph.timeline(steps, cases, cases.where("case_id < 79"), ["appeal_of"])
+        assert "8), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == sum(range(2, 81))
+    finally:
+        for value in before.items():
+            spark.conf.set(*value)
+
+
 def test_fulltext_reads_no_eu_numbers(spark):
     cat = catalog(spark, [(n, "judgment", "2000-01-01", False, "A", "Violation", f"i{n}", None, [a]) for n, a in ((10, "17/98"), (11, "119/96"), (12, "24/08"), (13, "5/01"))])
     texts = spark.createDataFrame([
